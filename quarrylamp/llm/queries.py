@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, near_duplicates, neighbours, packing, splitting, token_budget
+from . import encoding, mojibake, near_duplicates, neighbours, packing, personal, splitting, token_budget
 from .base import table
 
 
@@ -32,6 +32,14 @@ def p3_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.similar_pairs(chunks, k=10, queries=queries, visits=0.3)
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return personal.found_items(table(spark, sf, "records"))
+
+
+def p4_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    return personal.redacted(table(spark, sf, "records"))
+
+
 def p5_token_budget(spark: SparkSession, sf: str) -> DataFrame:
     return token_budget.token_budget(*(table(spark, sf, t) for t in ("records", "documents", "sources")))
 
@@ -52,10 +60,21 @@ def p9_bins(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), table(spark, sf, "capacities"))
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return mojibake.garbled_ids(table(spark, sf, "documents"))
+
+
+def p10_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    return mojibake.repair_documents(table(spark, sf, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_groups, p3_found, p3_neighbours, p5_token_budget, p7_found, p7_pieces, p8_ids, p9_bins)
-}
+    for f in (
+        p2_found, p2_groups, p3_found, p3_neighbours, p4_found, p4_redacted, p5_token_budget, p7_found, p7_pieces,
+        p8_ids, p9_bins, p10_found, p10_repaired,
+    )
+}
 
 ORACLE = {
     "p7_found": "SELECT DISTINCT chunk_id FROM chunks WHERE length(text) > 1200",
