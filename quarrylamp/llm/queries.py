@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, mojibake, near_duplicates, neighbours, packing, personal, splitting, token_budget
+from . import encoding, languages, mojibake, near_duplicates, neighbours, packing, personal, splitting, token_budget
 from .base import table
 
 
@@ -44,6 +44,15 @@ def p5_token_budget(spark: SparkSession, sf: str) -> DataFrame:
     return token_budget.token_budget(*(table(spark, sf, t) for t in ("records", "documents", "sources")))
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return languages.mislabelled(table(spark, sf, "records"))
+
+
+def p6_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Language and confidence of each record's text and of each passage in another language."""
+    return languages.identify(table(spark, sf, "records"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.oversized(table(spark, sf, "chunks"))
 
@@ -71,7 +80,7 @@ def p10_repaired(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_groups, p3_found, p3_neighbours, p4_found, p4_redacted, p5_token_budget, p7_found, p7_pieces,
+        p2_found, p2_groups, p3_found, p3_neighbours, p4_found, p4_redacted, p5_token_budget, p6_found, p6_segments, p7_found, p7_pieces,
         p8_ids, p9_bins, p10_found, p10_repaired,
     )
 }
