@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, languages, mojibake, near_duplicates, neighbours, packing, personal, splitting, token_budget
+from . import encoding, languages, mojibake, near_duplicates, neighbours, packing, personal, scan_noise, splitting, token_budget
 from .base import table
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_noise.noise_kinds(table(spark, sf, "records"))
+
+
+def p1_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_noise.repaired(table(spark, sf, "records"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates.expand_copies(table(spark, sf, "records"))
 
@@ -80,7 +88,7 @@ def p10_repaired(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_groups, p3_found, p3_neighbours, p4_found, p4_redacted, p5_token_budget, p6_found, p6_segments, p7_found, p7_pieces,
+        p1_found, p1_repaired, p2_found, p2_groups, p3_found, p3_neighbours, p4_found, p4_redacted, p5_token_budget, p6_found, p6_segments, p7_found, p7_pieces,
         p8_ids, p9_bins, p10_found, p10_repaired,
     )
 }
