@@ -123,6 +123,7 @@ def layout(text: str) -> tuple[set[int], set[int], list[str]]:
     return numbers, headers, lines
 
 
+_ENDED = re.compile("[.!?。！？:：;；)）][\"'”’»]?[ \\t]*$")
 _BREAK = re.compile(f"([{_LETTER}0-9!]{{1,40}})([{_MARKS}])[ \\t]*\\n[ \\t]*([{_LETTER}0-9!]{{1,40}})")
 
 
@@ -131,7 +132,22 @@ def _body(text: str) -> tuple[str, set[int], set[int]]:
     numbers, headers, lines = layout(text)
     if not numbers and not headers:
         return text, numbers, headers
-    out = [line for i, line in enumerate(lines) if i not in numbers and i not in headers]
+    width = max((len(x) for i, x in enumerate(lines) if i not in numbers and i not in headers), default=0)
+    out: list[str] = []
+    gap = False
+    for i, line in enumerate(lines):
+        if i in numbers or i in headers:
+            gap = True
+            continue
+        if gap and line.strip(" \t\x0c"):
+            # a sentence that goes on after the page's end: the blank lines around the furniture go with it
+            k = len(out)
+            while k and not out[k - 1].strip(" \t\x0c"):
+                k -= 1
+            if k and not _ENDED.search(out[k - 1]) and len(out[k - 1]) * 2 > width:
+                del out[k:]
+            gap = False
+        out.append(line)
     return "\n".join(out), numbers, headers
 
 
@@ -411,7 +427,7 @@ def repair_text(text: str | None, words: dict[str, str], chars: dict[tuple[str,
     out = []
     for block in re.split(r"\n[ \t\x0c]*\n\s*", body.strip("\n\x0c")):
         lines = [x.rstrip() for x in block.split("\n")]
-        table = sum(bool(re.search(r"\t| \| |;[^ ]|^[-•*] |^[A-Z][a-z]+: \S", x)) for x in lines) * 2 >= len(lines)
+        table = sum(bool(re.search(r"\t| \| |;[^ ]|^[-•*] |^[A-Z][a-z]+: \S|^\d[\d/. A-Za-z-]{5,12} \d\d:\d\d ", x)) for x in lines) * 2 >= len(lines)
         if table or len(lines) == 1:
             out.append("\n".join(lines))
             continue
