@@ -7,8 +7,8 @@ shared pairs of either (s: how many of its pairs occur elsewhere), so only those
 which keeps the posting lists of boilerplate out of the join without losing a pair. Collisions are then counted over
 the whole signatures, and survivors are verified by the exact similarity of their run sets.
 
-At similarity 0.60 each coordinate agrees with probability 0.60 or more, so of 48 some 28.8 agree; the chance of
-fewer than 18 is below 0.001, at 0.63 below 0.0001.
+At similarity 0.63 each coordinate agrees with probability 0.63, so of 32 some 20 agree; the chance of fewer than 11
+is about 0.0004, at 0.70 below 0.00001.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from .base import has_text, map_batches
 
-RUN, COORDINATES, MATCHES = 5, 48, 18
+RUN, COORDINATES, MATCHES = 5, 32, 11
 MIN_TOKENS, SIMILARITY = 60, 0.60
 #: Largest class of equal texts whose members expand_copies puts in for their representative.
 EXPAND = 16
@@ -113,21 +113,30 @@ def _copies(records: DataFrame, min_tokens: int) -> tuple[DataFrame, DataFrame]:
 
 def _candidates(classes: DataFrame, matches: int) -> DataFrame:
     """Pairs (rep_a < rep_b) whose signatures agree in at least `matches` coordinates."""
-    posts = classes.select(F.posexplode("sig").alias("c", "v"), "rep").select(F.xxhash64("c", "v").alias("key"), "rep")
+    # eight bytes stand for an id here; two ids of one hash could only add a pair, which the exact step then refuses
+    numbered = classes.select("rep", F.xxhash64("rep").alias("r"), "sig")
+    posts = numbered.select(F.posexplode("sig").alias("c", "v"), "r").select(F.xxhash64("c", "v").alias("key"), "r")
     counts = posts.groupBy("key").agg(F.count("*").alias("freq")).where(F.col("freq") > 1)
-    shared = posts.join(counts, "key").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("freq", "key"))).alias("keys"))
-    prefix = shared.where(F.size("keys") >= matches).select(
-        "rep",
-        F.expr("transform(keys, x -> x.key)").alias("keys"),
-        F.explode(F.expr(f"slice(transform(keys, x -> x.key), 1, size(keys) - {matches - 1})")).alias("key"),
+    shared = posts.join(counts, "key").groupBy("r").agg(F.array_sort(F.collect_list(F.struct("freq", "key"))).alias("k"))
+    shared = checkpointed(
+        shared.where(F.size("k") >= matches).select("r", F.expr("transform(k, x -> x.key)").alias("keys"))
     )
-    prefix = checkpointed(prefix)
-    left = prefix.select("key", F.col("rep").alias("rep_a"), F.col("keys").alias("keys_a"))
-    right = prefix.select("key", F.col("rep").alias("rep_b"), F.col("keys").alias("keys_b"))
-    # a pair meets under several keys; only its first common prefix key goes on
-    met = left.join(right, "key").where(F.col("rep_a") < F.col("rep_b"))
+    prefix = shared.select("r", F.explode(F.expr(f"slice(keys, 1, size(keys) - {matches - 1})")).alias("key"))
+    left = prefix.select("key", F.col("r").alias("a"))
+    right = prefix.select("key", F.col("r").alias("b"))
+    met = left.join(right, "key").where(F.col("a") < F.col("b")).select("a", "b").distinct()
     both = F.array_intersect("keys_a", "keys_b")
-    return met.where(F.size(both) >= matches).select("rep_a", "rep_b").distinct()
+    agreed = (
+        met.join(shared.select(F.col("r").alias("a"), F.col("keys").alias("keys_a")), "a")
+        .join(shared.select(F.col("r").alias("b"), F.col("keys").alias("keys_b")), "b")
+        .where(F.size(both) >= matches)
+        .select("a", "b")
+    )
+    names = numbered.select("r", "rep")
+    named = agreed.join(names.select(F.col("r").alias("a"), F.col("rep").alias("x")), "a").join(
+        names.select(F.col("r").alias("b"), F.col("rep").alias("y")), "b"
+    )
+    return named.select(F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b"))
 
 
 def near_duplicate_pairs(
