@@ -121,3 +121,13 @@ def one_row_per_id(records: DataFrame, columns: list[str]) -> DataFrame:
         .agg(F.max_by(F.struct(*cols), rank).alias("r"))
         .select("id", *[F.col(f"r.{c}").alias(c) for c in cols])
     )
+
+
+#: Rows up to which a counted side of a join is broadcast.
+SMALL = 200_000
+
+
+def join_counted(df: DataFrame, side: DataFrame, on: str | list[str], how: str) -> DataFrame:
+    """`df` joined with `side`, which is counted first (so it should be stored or cheap): up to SMALL rows it is
+    broadcast and `df` stays where it is; a larger one is joined by a shuffle of both."""
+    return df.join(F.broadcast(side) if side.count() <= SMALL else side, on, how)
