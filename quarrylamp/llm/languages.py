@@ -24,7 +24,7 @@ from .base import has_text, label_lang, map_batches
 LANGS = ("zh", "ru", "en", "fr", "es", "de")
 FITTED = ("en", "fr", "es", "de")
 #: Labelled texts on which a language's model is fitted, at most.
-SAMPLE = 1200
+SAMPLE = 500
 MIN_CHARS = 60
 #: Log-likelihood that a further language must gain; whole sentences of a passage in it.
 PENALTY, SENTENCES = 12.0, 2
@@ -57,21 +57,29 @@ class Model:
     def __init__(self, counts: dict[str, Counter]):
         self.grams = [counts[k] for k in FITTED]
         self.norm = np.array([math.log(sum(c.values()) + _ALPHA * _KINDS) for c in self.grams])
-        self.cache: dict[str, np.ndarray] = {}
+        self.places: dict[str, int] = {}
+        self.rows = np.empty((1024, len(FITTED)))
 
     def __getstate__(self):
-        return {"grams": self.grams, "norm": self.norm, "cache": {}}
-
-    def word(self, w: str) -> np.ndarray:
-        if (v := self.cache.get(w)) is None:
-            if len(self.cache) > 500_000:
-                self.cache.clear()
-            p = f"^{w.lower()}$"
-            grams = [p[i : i + 3] for i in range(len(p) - 2)]
-            v = self.cache[w] = np.array(
-                [sum(math.log(c.get(g, 0) + _ALPHA) for g in grams) - len(grams) * n for c, n in zip(self.grams, self.norm, strict=True)]
-            )
-        return v
+        return {"grams": self.grams, "norm": self.norm, "places": {}, "rows": np.empty((1024, len(FITTED)))}
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Log-probabilities of each word under each fitted language; a word's are reckoned once."""
+        if len(self.places) > 500_000:
+            self.places.clear()
+        ids = []
+        for w in words:
+            if (k := self.places.get(w)) is None:
+                k = self.places[w] = len(self.places)
+                if k == len(self.rows):
+                    self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+                p = f"^{w.lower()}$"
+                grams = [p[i : i + 3] for i in range(len(p) - 2)]
+                self.rows[k] = [
+                    sum(math.log(c.get(g, 0) + _ALPHA) for g in grams) - len(grams) * n for c, n in zip(self.grams, self.norm, strict=True)
+                ]
+            ids.append(k)
+        return self.rows[ids]
 
 
 def _trigrams(words: Counter) -> Counter:
@@ -103,7 +111,7 @@ def fit(texts: dict[str, list[str]]) -> Model:
         model = Model({k: c or pooled for k, c in counts.items()})
         for j, k in enumerate(FITTED):
             for i, c in enumerate(words[k]):
-                score = sum((n * model.word(w) for w, n in c.items()), np.zeros(len(FITTED)))
+                score = np.array(list(c.values())) @ model.words(list(c)) if c else np.zeros(1)
                 keep[k][i] = bool(c) and int(score.argmax()) == j
     return model
 
@@ -111,24 +119,31 @@ def fit(texts: dict[str, list[str]]) -> Model:
 def likelihoods(text: str, spans: list[tuple[int, int]], model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Log-likelihood of every segment under each of LANGS, and which segments tell a language at all: those with
     five ideographs, three Cyrillic letters or two words in small letters."""
-    out = np.zeros((len(spans), len(LANGS)))
-    told = np.zeros(len(spans), bool)
+    n = len(spans)
+    out = np.zeros((n, len(LANGS)))
+    found, sizes = [], np.zeros(n, int)
+    cjk, cyr, chars, small = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n, int)
     for i, (s, e) in enumerate(spans):
         part = text[s:e]
-        ascii_only = part.isascii()
-        cjk = 0 if ascii_only else len(_CJK.findall(part))
-        cyr = 0 if ascii_only else len(_CYR.findall(part))
+        if not part.isascii():
+            cjk[i], cyr[i] = len(_CJK.findall(part)), len(_CYR.findall(part))
         words = _WORD.findall(part)
-        told[i] = cjk > 4 or cyr > 2 or sum(w[0].islower() for w in words) > 1
-        latin = sum((model.word(w) for w in words), np.zeros(len(FITTED)))
-        chars = sum(map(len, words))
-        # a letter of another script costs more than an unseen trigram; Latin words are no likelier in a text of
-        # another script than in the least fitting Latin language
-        far, foreign = 9.0, float(latin.min()) - 0.3 * chars
-        out[i, 0] = foreign - 6.0 * cjk - far * cyr
-        out[i, 1] = foreign - 6.0 * cyr - far * cjk
-        # an ideograph says about as much as three letters
-        out[i, 2:] = latin - far * (3 * cjk + cyr)
+        found += words
+        sizes[i] = len(words)
+        chars[i] = len("".join(words))
+        small[i] = sum(w[0].islower() for w in words[:12]) if len(words) > 1 else 0
+    told = (cjk > 4) | (cyr > 2) | (small > 1)
+    latin = np.zeros((n, len(FITTED)))
+    if found:
+        some = sizes > 0
+        latin[some] = np.add.reduceat(model.words(found), (np.cumsum(sizes) - sizes)[some], axis=0)
+    # a letter of another script costs more than an unseen trigram; Latin words are no likelier in a text of another
+    # script than in the least fitting Latin language
+    far, foreign = 9.0, latin.min(axis=1) - 0.3 * chars
+    out[:, 0] = foreign - 6.0 * cjk - far * cyr
+    out[:, 1] = foreign - 6.0 * cyr - far * cjk
+    # an ideograph says about as much as three letters
+    out[:, 2:] = latin - (far * (3 * cjk + cyr))[:, None]
     return out, told
 
 
@@ -154,7 +169,8 @@ def mixture(loglik: np.ndarray, weights: np.ndarray, penalty: float = PENALTY) -
 
     best = [int((loglik.sum(axis=0)).argmax())]
     score, pi, r = em(best)
-    while len(best) < loglik.shape[1]:
+    # no mixture is likelier than each segment's best language: where that gains too little there is nothing to try
+    while len(best) < loglik.shape[1] and loglik.max(axis=1).sum() - score >= penalty:
         tries = [(em([*best, k]), k) for k in range(loglik.shape[1]) if k not in best]
         (s, p, q), k = max(tries, key=lambda t: t[0][0])
         if s - score < penalty:
