@@ -48,6 +48,18 @@ _WORDLIKE = re.compile(f"[{_LETTER}]{{2}}|[{_LETTER}][!0156†ɑ][{_LETTER}]|^[{
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿŒœßẞ]+|[А-яЁё]+")
 _CJK_ODD = re.compile("(?=([一-鿿]?)([" + "".join(CJK_CONFUSIONS) + "".join(set(CJK_CONFUSIONS.values())) + "])([一-鿿]?))")
 
+
+
+def _context(before: str, after: str) -> str:
+    """Neighbours of an ideograph, as printed if they may be misread themselves."""
+    return f"{CJK_CONFUSIONS.get(before, before)} {CJK_CONFUSIONS.get(after, after)}"
+
+
+def _read_as(char: str) -> str:
+    """Pattern of an ideograph and of what it is misread as; '' for no neighbour."""
+    return f"[{char}{''.join(r for r, p in CJK_CONFUSIONS.items() if p == char)}]" if char else ""
+
+
 # ---------------------------------------------------------------- page layout
 
 _NUMBER = r"""(?P<n>(?:page|seite|página|pág\.|стр\.|p\.)[ ]?(?P<page>\d+)(?:[ ](?:of|von|de|sur|из)[ ]\d+)?
@@ -65,9 +77,10 @@ def _roman(s: str) -> int:
     return sum(-a if a < b else a for a, b in zip(v, [*v[1:], 0], strict=True))
 
 
-def _fold(line: str) -> str:
-    """A line as it looks whatever was misread in it."""
-    line = re.sub(r"\s+", " ", line.strip()).translate(_FOLD_CJK).lower()
+def _fold(text: str) -> str:
+    """Lines as they look whatever was misread in them; line ends stay."""
+    line = re.sub(r"[^\S\n]{2,}|[\t\x0c]", " ", text.strip(" \t\x0c"))
+    line = (line if line.isascii() else line.translate(_FOLD_CJK)).lower()
     return line.replace("rn", "m").replace("cl", "d").replace("vv", "w").replace("li", "h").translate(_FOLD).replace("q", "g")
 
 
@@ -75,13 +88,15 @@ def layout(text: str) -> tuple[set[int], set[int], list[str]]:
     """(lines that are page numbers, lines that are headers, all lines). A header line that holds the page number is
     in both. Bare numbers count only as an ascending run of two or more; a header only if it comes again."""
     lines = text.split("\n")
+    if len(lines) < 3:
+        return set(), set(), lines
     by_kind: dict[str, list[tuple[int, int]]] = defaultdict(list)
     heads: dict[int, str] = {}
     for i, line in enumerate(lines):
         if len(line) > 160 or not (s := line.strip(" \t\x0c")):
             continue
-        m = _ALONE.fullmatch(line)
-        inside = None if m else _IN_LINE.fullmatch(line)
+        m = _ALONE.fullmatch(line) if len(s) < 30 else None
+        inside = None if m or "  " not in s and "\t" not in s else _IN_LINE.fullmatch(line)
         if inside and ("\t" in s or ";" in s):
             inside = None
         for got, where in ((m, ""), (inside, "+")):
@@ -95,8 +110,10 @@ def layout(text: str) -> tuple[set[int], set[int], list[str]]:
                 heads[i] = body
     numbers: set[int] = set()
     same: dict[str, list[int]] = defaultdict(list)
-    for i, body in heads.items():
-        same[_fold(body)].append(i)
+    if len(heads) > 1:
+        folded = _fold("\n".join(body for i, body in heads.items())).split("\n")
+        for i, body in zip(heads, folded, strict=True):
+            same[body.strip()].append(i)
     headers: set[int] = set()
     for places in same.values():
         # not rows of one table: something else lies between
@@ -123,6 +140,7 @@ def layout(text: str) -> tuple[set[int], set[int], list[str]]:
     return numbers, headers, lines
 
 
+_MARK_END = re.compile(f"[{_MARKS}][ \\t]*\\n")
 _ENDED = re.compile("[.!?。！？:：;；)）][\"'”’»]?[ \\t]*$")
 _BREAK = re.compile(f"([{_LETTER}0-9!]{{1,40}})([{_MARKS}])[ \\t]*\\n[ \\t]*([{_LETTER}0-9!]{{1,40}})")
 
@@ -155,6 +173,8 @@ def _breaks(body: str) -> list[tuple[str, str, str]]:
     """(left, mark, right) of words divided at line ends, where the right part goes on in small letters. Names of
     things, identifiers and addresses (a digit, dot or sign beside) are not words."""
     out = []
+    if not _MARK_END.search(body):
+        return out
     for m in _BREAK.finditer(body):
         a, mark, b = m.groups()
         before, after = body[m.start() - 1 : m.start()], body[m.end() : m.end() + 2]
@@ -167,8 +187,9 @@ def _breaks(body: str) -> list[tuple[str, str, str]]:
 
 def _words(body: str) -> list[str]:
     """Tokens in order; a divided word is one."""
-    joined = _BREAK.sub(lambda m: m[1] + m[3] if m[3][:1].islower() else m[0], body)
-    return _TOKEN.findall(joined)
+    if _MARK_END.search(body):
+        body = _BREAK.sub(lambda m: m[1] + m[3] if m[3][:1].islower() else m[0], body)
+    return _TOKEN.findall(body)
 
 
 # ------------------------------------------------------- candidates, distance
@@ -244,7 +265,7 @@ def _counts(records: DataFrame) -> DataFrame:
                 words.update(tokens)
                 pairs.update(zip(tokens, tokens[1:], strict=False))
                 if not body.isascii():
-                    chars.update((f"{a} {c}", b) for a, b, c in _CJK_ODD.findall(body.replace("\n", "")))
+                    chars.update((_context(a, c), b) for a, b, c in _CJK_ODD.findall(body.replace("\n", "")))
             if len(words) + len(pairs) > 1_000_000:  # bounds the task's memory; partial counts are added up later
                 yield from flush()
         yield from flush()
@@ -364,7 +385,7 @@ def _signs(text: str, usual: frozenset[str]) -> set[tuple[str, str, str, str, st
     if not text.isascii():
         for a, c, z in _CJK_ODD.findall(body.replace("\n", "")):
             if c in CJK_CONFUSIONS:
-                out.add(("cjk", f"{a} {z}", c, "", ""))
+                out.add(("cjk", _context(a, z), c, "", ""))
     return out
 
 
@@ -422,8 +443,8 @@ def repair_text(text: str | None, words: dict[str, str], chars: dict[tuple[str,
         body = _TOKEN.sub(lambda m: words.get(m.group(), m.group()), body)
     if chars:
         for (context, read), meant in chars.items():
-            a, z = context.split(" ")
-            body = re.sub(f"({re.escape(a)}\n?){read}(?=\n?{re.escape(z)})", lambda m, y=meant: m[1] + y, body)
+            a, z = map(_read_as, context.split(" "))
+            body = re.sub(f"({a}\n?){read}(?=\n?{z})", lambda m, y=meant: m[1] + y, body)
     out = []
     for block in re.split(r"\n[ \t\x0c]*\n\s*", body.strip("\n\x0c")):
         lines = [x.rstrip() for x in block.split("\n")]
