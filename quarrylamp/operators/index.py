@@ -62,7 +62,8 @@ def deleted(records: DataFrame, manifest: DataFrame) -> DataFrame:
 def upsert_chunks(chunks: DataFrame, fresh: DataFrame, touched: DataFrame) -> DataFrame:
     """Chunks without those of touched documents (doc_id), and the fresh ones. Touched holds every staged document, so
     one that became empty loses its chunks and a repeated run adds nothing twice."""
-    return chunks.join(touched.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(fresh)
+    kept = chunks.join(touched.select("doc_id").distinct(), "doc_id", "left_anti").select(*chunks.columns)
+    return kept.unionByName(fresh)
 
 
 def upsert_manifest(manifest: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -158,7 +158,7 @@ def missing_attachments(issues: DataFrame, files: DataFrame) -> DataFrame:
         wanted.join(there, ["issue", "filename"], "left_anti")
         .withColumn("_plus", F.replace("filename", F.lit(" "), F.lit("+")))
         .join(plus, ["issue", "_plus"], "left_anti")
-        .drop("_plus")
+        .select("issue", "attachment_id", "filename")
     )
 
 

@@ -71,9 +71,13 @@ def read_shards(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     from pyspark.sql import types as T
 
     schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_bad", T.StringType())])
-    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_bad").json(path)
-    rows = rows.withColumn("shard_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    return rows.where(F.col("_bad").isNull()).drop("_bad"), rows.where(F.col("_bad").isNotNull()).select("shard_file", F.col("_bad").alias("line"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    lines = spark.read.text(path).select(
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("shard_file"), "value", F.from_json("value", schema, options).alias("r")
+    )
+    lines = lines.where(F.trim("value") != "")
+    good = lines.where(F.col("r._bad").isNull()).select("r.*", "shard_file").drop("_bad")
+    return good, lines.where(F.col("r._bad").isNotNull()).select("shard_file", F.col("value").alias("line"))
 
 
 def write_shards(records: DataFrame, path: str, mode: str = "append") -> None:
@@ -81,11 +85,11 @@ def write_shards(records: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", '""').csv(path)
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("nullValue", "\\N").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str = TRIAGE_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').option("nullValue", "\\N").option("emptyValue", "").option("multiLine", True).csv(path)
 
 
 def read_issues(spark: SparkSession, path: str) -> DataFrame:
