@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import spread
 
 K1, B, RRF_K = 1.2, 0.75, 60
 MODES = ("fts", "dense", "hybrid")
@@ -53,11 +54,9 @@ def where(prefixes: list[str] | None = None, lang: str | None = None, raw: str |
 
 
 def _tokens(chunks: DataFrame) -> DataFrame:
-    return chunks.where(F.col("chunk_id").isNotNull()).withColumn("_tokens", tx.search_tokens("text"))
-
-
-def _equals(value: str):
-    return lambda x: x == F.lit(value)
+    return spread(chunks.where(F.col("chunk_id").isNotNull())).select(
+        "*", F.explode(F.array(tx.search_tokens("text"))).alias("_tokens")  # a generator of one row: tokens are made once
+    )
 
 
 def bm25_stats(chunks: DataFrame) -> DataFrame:
@@ -72,19 +71,17 @@ def bm25(chunks: DataFrame, queries: list[Query], fetch_k: int, condition: Colum
     whole corpus. Only counts of query terms leave the scan."""
     terms = sorted({t for q in queries for t in tx.fold_query(q.text)})
     toks = _tokens(chunks)
-    tf = F.array(
-        *[F.struct(F.lit(t).alias("term"), F.size(F.filter("_tokens", _equals(t))).alias("tf")) for t in terms]
-    ) if terms else F.array().cast("array<struct<term:string,tf:int>>")
     keep = condition if condition is not None else F.lit(True)
     base = toks.groupBy("chunk_id").agg(
         F.max(F.size("_tokens")).alias("dl"),
-        F.first(F.filter(tf, lambda x: x["tf"] > 0)).alias("tf"),
+        F.first(F.filter("_tokens", lambda x: x.isin(terms))).alias("met"),
         F.max(F.coalesce(keep, F.lit(False))).alias("keep"),
         F.min("doc_id").alias("doc_id"),
         F.min("path").alias("path"),
     )
     totals = base.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).withColumn("_k", F.lit(1))
-    posts = base.select("chunk_id", "doc_id", "path", "dl", "keep", F.explode("tf").alias("p")).select("*", "p.term", "p.tf").drop("p")
+    key = ["chunk_id", "doc_id", "path", "dl", "keep"]
+    posts = base.select(*key, F.explode("met").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
     dfs = posts.groupBy("term").agg(F.count("*").alias("df"))
     pairs = sorted({(q.query_id, t) for q in queries for t in tx.fold_query(q.text)})
     asked = chunks.sparkSession.createDataFrame(pairs or [("", "")], "query_id string, term string").where("term <> ''")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import spread
 
 #: Defaults (fixed values): weights of the tiers, bonus of a tier that is hit, extensions of bulk data.
 WEIGHTS = {"high": 10, "medium": 3, "low": 1}
@@ -58,7 +59,8 @@ def with_hits(records: DataFrame, topic: Topic) -> DataFrame:
         for i, (t, x) in enumerate(topic.terms())
     ]
     kind = "array<struct<term:string,tier:string,ord:int,n:int>>"
-    return records.withColumn("hits", F.array(*one) if one else F.array().cast(kind))
+    # through a generator of one row, so that the counts are made once and not wherever they are used
+    return records.select("*", F.explode(F.array(F.array(*one) if one else F.array().cast(kind))).alias("hits"))
 
 
 def _of_tier(tier: str):
@@ -81,7 +83,7 @@ def score(
     that is hit and for each distinct term, and bulk data without a high term is scaled down; it is rounded half-even
     to one place. A term in two tiers scores twice and counts once as distinct. Null and empty texts match nothing.
     """
-    counted = with_hits(records.where(F.coalesce("text", F.lit("")) != ""), topic)
+    counted = with_hits(spread(records.where(F.coalesce("text", F.lit("")) != "")), topic)
     points = F.lit(0)
     for i, (tier, _) in enumerate(topic.terms()):
         n = F.col("hits")[i]["n"]

@@ -38,3 +38,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quarrylamp-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over at least as many tasks as there are cores, for work that costs far more than moving the rows.
+
+    Only a scan of a few files is moved: it has fewer partitions than cores. A scan of many files, and any plan that
+    shuffles already, comes back as it is.
+    """
+    if "Adaptive" in df._jdf.queryExecution().executedPlan().nodeName():
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
