@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .base import byte_bpe, map_batches
 
 #: Mean number of sure boundaries in a chunk, length from which any place may end a chunk, and the mean length then.
@@ -154,7 +155,7 @@ def encode_corpus(documents: DataFrame, tokenizer: str | None = None) -> DataFra
             yield o
 
     refs = "refs array<struct<doc_id:bigint,key:int,seq:int,of:int,sure:boolean>>"
-    chunks = map_batches(docs.where(filled), cut, f"salt int, chunk string, {refs}")
+    chunks = map_batches(spread(docs.where(filled)), cut, f"salt int, chunk string, {refs}")
     chunks = chunks.repartition(F.xxhash64("chunk"), F.col("salt"))
 
     def encode(batches):

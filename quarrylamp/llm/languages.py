@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .base import has_text, label_lang, map_batches
 
 LANGS = ("zh", "ru", "en", "fr", "es", "de")
@@ -275,7 +276,7 @@ def identify(records: DataFrame, model: Model | None = None, min_chars: int = 1)
                         o[k].append(v)
             yield o
 
-    return map_batches(rows, run, "id string, label string, lang string, confidence double, passage_start int, passage_end int").distinct()
+    return map_batches(spread(rows), run, "id string, label string, lang string, confidence double, passage_start int, passage_end int").distinct()
 
 
 def mislabelled(records: DataFrame, model: Model | None = None) -> DataFrame:

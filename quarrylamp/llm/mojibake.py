@@ -13,6 +13,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .base import map_batches
 
 MAX_LAYERS = 5
@@ -282,7 +283,7 @@ def repair_documents(documents: DataFrame) -> DataFrame:
                         o[k].append(v)
             yield o
 
-    return map_batches(docs, run, "doc_id bigint, text string, layers array<string>, whole boolean").distinct()
+    return map_batches(spread(docs), run, "doc_id bigint, text string, layers array<string>, whole boolean").distinct()
 
 
 def garbled_ids(documents: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, spread
 from .base import has_text, map_batches
 
 RUN, COORDINATES, MATCHES = 5, 32, 11
@@ -103,7 +103,7 @@ def _copies(records: DataFrame, min_tokens: int) -> tuple[DataFrame, DataFrame]:
                 "sig": [sigs[i].tolist() for i in keep],
             }
 
-    signed = map_batches(rows, sign, "id string, a bigint, b bigint, n_tokens int, sig array<int>")
+    signed = map_batches(spread(rows), sign, "id string, a bigint, b bigint, n_tokens int, sig array<int>")
     one = signed.groupBy("id").agg(F.max_by(F.struct("a", "b", "sig"), F.struct("n_tokens", "a")).alias("s")).select("id", "s.*")
     one = checkpointed(one)
     classes = one.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))

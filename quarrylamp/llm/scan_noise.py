@@ -17,7 +17,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, spread
 from .base import has_text, map_batches
 
 #: A lexicon word occurs at least MIN_COUNT times, and RATIO times as often as what is taken for its misreading.
@@ -270,7 +270,7 @@ def _counts(records: DataFrame) -> DataFrame:
                 yield from flush()
         yield from flush()
 
-    partial = map_batches(rows, count, "kind string, a string, b string, n bigint")
+    partial = map_batches(spread(rows), count, "kind string, a string, b string, n bigint")
     return partial.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -357,7 +357,7 @@ def analyse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
                         o[k].append(v)
             yield o
 
-    signs = map_batches(rows, look, "id string, noise string, token string, prev string, next string, left string")
+    signs = map_batches(spread(rows), look, "id string, noise string, token string, prev string, next string, left string")
     return signs, counts
 
 
