@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, spread
-from .base import has_text, map_batches
+from .base import has_text, map_batches, one_row_per_id
 
 #: A lexicon word occurs at least MIN_COUNT times, and RATIO times as often as what is taken for its misreading.
 MIN_COUNT, RATIO = 8, 12.0
@@ -462,7 +462,8 @@ def repair_text(text: str | None, words: dict[str, str], chars: dict[tuple[str,
 
 
 def repaired(records: DataFrame) -> DataFrame:
-    """id, text: each record's text as continuous readable paragraphs; one row for each id and distinct text with it.
+    """id, text: each record's text as continuous readable paragraphs; one row for each id, that of its row
+    with text.
 
     Null, blank and empty texts come out as they are. The repairs of a text (its misread words, ideographs and divided
     words) meet it by its id; a text has no more of them than it has words.
@@ -479,7 +480,7 @@ def repaired(records: DataFrame) -> DataFrame:
     )
     top = frozenset(r.word for r in _lexicon(counts).orderBy(F.desc("n"), "word").limit(TOP).collect())
     known = records.sparkSession.sparkContext.broadcast(top)
-    rows = records.where(F.col("id").isNotNull()).select("id", "text").distinct().join(fixes, "id", "left")
+    rows = one_row_per_id(records, ["text"]).join(fixes, "id", "left")
 
     def run(batches):
         usual = known.value
