@@ -4,9 +4,10 @@ Method: a symmetric-delete index over the corpus frequency lexicon generates cor
 distance with confusion pairs and bigram context picks the repairs. Page furniture (headers, page numbers) and lines
 are undone by layout rules for each text.
 
-The lexicon is counted over all texts. Misread words are rare words, so only tokens outside the TOP most frequent ones
-(a list of fixed size, sent to the tasks) leave their task for the joins with the candidates; the index, the candidates
-and the contexts are tables joined by key, and nothing that grows with the corpus is collected or broadcast.
+The lexicon is counted over all texts. What is a misreading depends on ratios of counts only, so it doesn't change with
+the size of the corpus. Only tokens outside the TOP most frequent words without a candidate (a list of fixed size, sent
+to the tasks) leave their task for the joins with the candidates; the index, the candidates and the contexts are tables
+joined by key, and nothing that grows with the corpus is collected or broadcast.
 """
 
 from __future__ import annotations
@@ -337,14 +338,21 @@ def _cjk_repairs(counts: DataFrame) -> DataFrame:
     return read.join(meant, ["context", "meant"]).where(F.col("usual") >= 6 * F.col("n")).select("context", F.col("ch").alias("read"), "meant")
 
 
-def analyse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(signs, counts). signs: id, noise, token, prev, next, left: what each text shows. noise is 'hyphen', 'header' or 'pageno' where the
+def _usual(counts: DataFrame, candidates: DataFrame) -> frozenset[str]:
+    """The TOP most frequent words that aren't taken for a misreading of another; a list of fixed size."""
+    words = _lexicon(counts).join(candidates.select(F.col("token").alias("word")).distinct(), "word", "left_anti")
+    return frozenset(r.word for r in words.orderBy(F.desc("n"), "word").limit(TOP).collect())
+
+
+def analyse(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, frozenset[str]]:
+    """(signs, counts, candidates, the usual words). signs: id, noise, token, prev, next, left: what each text shows. noise is 'hyphen', 'header' or 'pageno' where the
     layout proves it; 'hyphen?' with the joined word as token and its left part, where a plain hyphen may belong to a
-    compound; 'word' with a token outside the TOP words and its neighbours; 'cjk' with context and character."""
+    compound; 'word' with a token outside the usual words and its neighbours; 'cjk' with context and character."""
     spark = records.sparkSession
     counts = checkpointed(_counts(records))
-    top = _lexicon(counts).orderBy(F.desc("n"), "word").limit(TOP).collect()  # a list of fixed size
-    known = spark.sparkContext.broadcast(frozenset(r.word for r in top))
+    candidates = checkpointed(_candidates(counts))
+    words = _usual(counts, candidates)
+    known = spark.sparkContext.broadcast(words)
     rows = records.where(F.col("id").isNotNull() & has_text()).select("id", "text")
 
     def look(batches):
@@ -358,7 +366,7 @@ def analyse(records: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield o
 
     signs = map_batches(spread(rows), look, "id string, noise string, token string, prev string, next string, left string")
-    return signs, counts
+    return signs, counts, candidates, words
 
 
 def _signs(text: str, usual: frozenset[str]) -> set[tuple[str, str, str, str, str]]:
@@ -389,9 +397,8 @@ def _signs(text: str, usual: frozenset[str]) -> set[tuple[str, str, str, str, st
     return out
 
 
-def _resolved(signs: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _resolved(signs: DataFrame, counts: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kinds by layout, misread words, misread ideographs)."""
-    candidates = checkpointed(_candidates(counts))
     words = signs.where(F.col("noise") == "word").join(candidates, "token")
     pair = counts.where(F.col("kind") == "p").select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("n").alias("np"))
     before = pair.select(F.col("x").alias("prev"), F.col("y").alias("word"), F.col("np").alias("n_before"))
@@ -421,8 +428,8 @@ def noise_kinds(records: DataFrame) -> DataFrame:
 
     Null ids, null and blank texts give no row; hard-wrapped lines and numbers of the content are no noise.
     """
-    signs, counts = analyse(records)
-    plain, best, cjk = _resolved(checkpointed(signs), counts)
+    signs, counts, candidates, _ = analyse(records)
+    plain, best, cjk = _resolved(checkpointed(signs), counts, candidates)
     glyph = best.select("id").unionByName(cjk.select("id")).withColumn("noise", F.lit("glyph"))
     return plain.unionByName(glyph).distinct()
 
@@ -468,9 +475,9 @@ def repaired(records: DataFrame) -> DataFrame:
     Null, blank and empty texts come out as they are. The repairs of a text (its misread words, ideographs and divided
     words) meet it by its id; a text has no more of them than it has words.
     """
-    signs, counts = analyse(records)
+    signs, counts, candidates, words = analyse(records)
     signs = checkpointed(signs)
-    _, best, cjk = _resolved(signs, counts)
+    _, best, cjk = _resolved(signs, counts, candidates)
     lexicon = _lexicon(counts).select(F.col("word").alias("token"))
     divided = signs.where(F.col("noise") == "hyphen?").select("id", "token").distinct().join(lexicon, "token", "left_semi")
     fixes = (
@@ -478,8 +485,7 @@ def repaired(records: DataFrame) -> DataFrame:
         .join(cjk.groupBy("id").agg(F.collect_set(F.struct("context", "read", "meant")).alias("chars")), "id", "full")
         .join(divided.groupBy("id").agg(F.collect_set("token").alias("joined")), "id", "full")
     )
-    top = frozenset(r.word for r in _lexicon(counts).orderBy(F.desc("n"), "word").limit(TOP).collect())
-    known = records.sparkSession.sparkContext.broadcast(top)
+    known = records.sparkSession.sparkContext.broadcast(words)
     rows = one_row_per_id(records, ["text"]).join(fixes, "id", "left")
 
     def run(batches):

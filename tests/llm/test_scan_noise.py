@@ -46,3 +46,10 @@ def test_distance_and_index():
     assert sn.distance("casual", "formal") > sn.MAX_DISTANCE
     for read, word in (("co1lector", "collector"), ("fragrnents", "fragments"), ("hbrary", "library"), ("слабьіе", "слабые")):
         assert sn.deletions(read) & sn.deletions(word)
+
+
+def test_frequent_misreading_is_no_word(make_records):
+    rows = [(f"c{i}", CLEAN * 3) for i in range(60)] + [(f"g{i}", "The collector stored every packct.") for i in range(sn.MIN_COUNT + 2)]
+    df = make_records(rows)
+    assert {(r.id, r.noise) for r in sn.noise_kinds(df).collect()} == {(f"g{i}", "glyph") for i in range(sn.MIN_COUNT + 2)}
+    assert {r.text for r in sn.repaired(df).collect() if r.id[0] == "g"} == {"The collector stored every packet."}
