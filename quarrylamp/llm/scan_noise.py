@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, spread
@@ -186,11 +186,42 @@ def _breaks(body: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def _words(body: str) -> list[str]:
-    """Tokens in order; a divided word is one."""
-    if _MARK_END.search(body):
-        body = _BREAK.sub(lambda m: m[1] + m[3] if m[3][:1].islower() else m[0], body)
-    return _TOKEN.findall(body)
+def _words(body: str, divided: Counter | None = None) -> list[str]:
+    """Tokens in order; a divided word is one. `divided` counts those joined at a plain hyphen, which may be compounds."""
+    if not _MARK_END.search(body):
+        return _TOKEN.findall(body)
+    joints: list[int] = []
+    shift = 0
+
+    def join(m: re.Match) -> str:
+        nonlocal shift
+        if not m[3][:1].islower():
+            return m[0]
+        if m[2] == "-":
+            joints.append(m.end(1) - shift)
+        shift += len(m[0]) - len(m[1]) - len(m[3])
+        return m[1] + m[3]
+
+    body = _BREAK.sub(join, body)
+    if divided is None or not joints:
+        return _TOKEN.findall(body)
+    out, k = [], 0
+    for m in _TOKEN.finditer(body):
+        while k < len(joints) and joints[k] <= m.start():
+            k += 1
+        if k < len(joints) and joints[k] < m.end():
+            divided[m.group()] += 1
+        out.append(m.group())
+    return out
+
+
+_DASH = re.compile(f"-(?=([{_LETTER}0-9!]{{1,40}}))")
+_DASH_LEFT = re.compile(f"[{_LETTER}0-9!]{{1,40}}$")
+
+
+def _dashed(body: str) -> list[str]:
+    """Words written with a hyphen inside a line, without it; of several parts each neighbouring two."""
+    return [a[0] + m[1] for m in _DASH.finditer(body) if (a := _DASH_LEFT.search(body[max(0, m.start() - 40) : m.start()]))]
 
 
 # ------------------------------------------------------- candidates, distance
@@ -242,48 +273,64 @@ def distance(read: str, word: str) -> float:
 
 
 def _counts(records: DataFrame) -> DataFrame:
-    """kind, a, b, n over all texts: words ('w'), pairs of neighbouring words ('p': a before b) and ideographs that
-    can be confused, in their context ('c': a is the context with a blank for the character b)."""
+    """kind, a, b, n, divided, dashed over all texts: words ('w'), pairs of neighbouring words ('p': a before b) and
+    ideographs that can be confused, in their context ('c': a is the context with a blank for the character b). Of a
+    word's n occurrences `divided` were joined at a plain hyphen; `dashed` counts it with a hyphen inside a line."""
     rows = records.where(has_text()).select("text")
 
     def count(batches):
         words: Counter = Counter()
         pairs: Counter = Counter()
         chars: Counter = Counter()
+        divided: Counter = Counter()
+        dashed: Counter = Counter()
 
         def flush():
-            rows = [("w", w, "", n) for w, n in words.items()] + [("p", a, b, n) for (a, b), n in pairs.items()]
-            rows += [("c", a, b, n) for (a, b), n in chars.items()]
-            for c in (words, pairs, chars):
+            rows = [("w", w, "", words[w], divided[w], dashed[w]) for w in words.keys() | dashed.keys()]
+            rows += [("p", a, b, n, 0, 0) for (a, b), n in pairs.items()]
+            rows += [("c", a, b, n, 0, 0) for (a, b), n in chars.items()]
+            for c in (words, pairs, chars, divided, dashed):
                 c.clear()
             if rows:
-                yield dict(zip(("kind", "a", "b", "n"), map(list, zip(*rows, strict=True)), strict=True))
+                yield dict(zip(("kind", "a", "b", "n", "divided", "dashed"), map(list, zip(*rows, strict=True)), strict=True))
 
         for batch in batches:
             for text in batch["text"]:
                 body, _, _ = _body(text)
-                tokens = _words(body)
+                tokens = _words(body, divided)
                 words.update(tokens)
+                if "-" in body:
+                    dashed.update(_dashed(body))
                 pairs.update(zip(tokens, tokens[1:], strict=False))
                 if not body.isascii():
                     chars.update((_context(a, c), b) for a, b, c in _CJK_ODD.findall(body.replace("\n", "")))
-            if len(words) + len(pairs) > 1_000_000:  # bounds the task's memory; partial counts are added up later
+            if len(words) + len(pairs) + len(dashed) > 1_000_000:  # bounds the task's memory; partial counts are added up later
                 yield from flush()
         yield from flush()
 
-    partial = map_batches(spread(rows), count, "kind string, a string, b string, n bigint")
-    return partial.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+    partial = map_batches(spread(rows), count, "kind string, a string, b string, n bigint, divided bigint, dashed bigint")
+    return partial.groupBy("kind", "a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "divided", "dashed")])
+
+
+def _unbroken() -> Column:
+    return F.col("n") - F.col("divided")
+
+
+def _one_word() -> Column:
+    """Whether a word is written as one more often than with a hyphen; what breaks join proves nothing."""
+    return _unbroken() > F.col("dashed")
 
 
 def _lexicon(counts: DataFrame) -> DataFrame:
-    """word, n: plain words of one script that occur often enough."""
-    return counts.where((F.col("kind") == "w") & (F.col("n") >= MIN_COUNT) & F.col("a").rlike("^([A-Za-zÀ-ÖØ-öø-ÿŒœßẞ]+|[А-яЁё]+)$") & (F.length("a") > 2)).select(F.col("a").alias("word"), "n")
+    """word, n, one (whether a plain hyphen divides it): plain words of one script that occur often enough."""
+    often = (F.col("n") >= MIN_COUNT) & ((_unbroken() >= MIN_COUNT) | _one_word())
+    return counts.where((F.col("kind") == "w") & often & F.col("a").rlike("^([A-Za-zÀ-ÖØ-öø-ÿŒœßẞ]+|[А-яЁё]+)$") & (F.length("a") > 2)).select(F.col("a").alias("word"), "n", _one_word().alias("one"))
 
 
 def _candidates(counts: DataFrame) -> DataFrame:
     """token, word, dist, n (of the word): lexicon words that each rarer token may be a misreading of."""
     lexicon = _lexicon(counts)
-    tokens = counts.where((F.col("kind") == "w") & (F.length("a").between(3, 40)))
+    tokens = counts.where((F.col("kind") == "w") & (F.col("n") > 0) & (F.length("a").between(3, 40)))
 
     def index(batches):
         for b in batches:
@@ -339,8 +386,8 @@ def _cjk_repairs(counts: DataFrame) -> DataFrame:
 
 
 def _usual(counts: DataFrame, candidates: DataFrame) -> frozenset[str]:
-    """The TOP most frequent words that aren't taken for a misreading of another; a list of fixed size."""
-    words = _lexicon(counts).join(candidates.select(F.col("token").alias("word")).distinct(), "word", "left_anti")
+    """The TOP most frequent words that aren't compounds or taken for a misreading of another; a list of fixed size."""
+    words = _lexicon(counts).where("one").join(candidates.select(F.col("token").alias("word")).distinct(), "word", "left_anti")
     return frozenset(r.word for r in words.orderBy(F.desc("n"), "word").limit(TOP).collect())
 
 
@@ -397,6 +444,15 @@ def _signs(text: str, usual: frozenset[str]) -> set[tuple[str, str, str, str, st
     return out
 
 
+def _divided(signs: DataFrame, counts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """id, token: joined words that a plain hyphen divides, since they, or what they are misreadings of, are written as
+    one elsewhere, and more often so than with the hyphen."""
+    asked = signs.where(F.col("noise") == "hyphen?").select("id", "token").distinct()
+    words = counts.where((F.col("kind") == "w") & _one_word()).select(F.col("a").alias("token"))
+    misread = candidates.join(words.select(F.col("token").alias("word")), "word", "left_semi").select("token")
+    return asked.join(words.unionByName(misread).distinct(), "token", "left_semi")
+
+
 def _resolved(signs: DataFrame, counts: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kinds by layout, misread words, misread ideographs)."""
     words = signs.where(F.col("noise") == "word").join(candidates, "token")
@@ -415,10 +471,7 @@ def _resolved(signs: DataFrame, counts: DataFrame, candidates: DataFrame) -> tup
     w = Window.partitionBy("id", "token", "prev", "next").orderBy(F.desc("score"), "word")
     best = scored.withColumn("r", F.row_number().over(w)).where("r = 1").select("id", "token", "prev", "next", "word")
     cjk = signs.where(F.col("noise") == "cjk").select("id", F.col("token").alias("context"), F.col("prev").alias("read")).join(_cjk_repairs(counts), ["context", "read"])
-    # a plain hyphen divides a word if the joined word, or what it is a misreading of, is a word
-    asked = signs.where(F.col("noise") == "hyphen?").select("id", "token").distinct()
-    lexicon = _lexicon(counts).select(F.col("word").alias("token"))
-    proven = asked.join(lexicon.unionByName(candidates.select("token")).distinct(), "token", "left_semi").select("id", F.lit("hyphen").alias("noise"))
+    proven = _divided(signs, counts, candidates).select("id", F.lit("hyphen").alias("noise"))
     plain = signs.where(F.col("noise").isin("hyphen", "header", "pageno")).select("id", "noise").unionByName(proven)
     return plain, best, cjk
 
@@ -478,8 +531,7 @@ def repaired(records: DataFrame) -> DataFrame:
     signs, counts, candidates, words = analyse(records)
     signs = checkpointed(signs)
     _, best, cjk = _resolved(signs, counts, candidates)
-    lexicon = _lexicon(counts).select(F.col("word").alias("token"))
-    divided = signs.where(F.col("noise") == "hyphen?").select("id", "token").distinct().join(lexicon, "token", "left_semi")
+    divided = _divided(signs, counts, candidates)
     fixes = (
         best.groupBy("id").agg(F.collect_set(F.struct("token", "word")).alias("words"))
         .join(cjk.groupBy("id").agg(F.collect_set(F.struct("context", "read", "meant")).alias("chars")), "id", "full")

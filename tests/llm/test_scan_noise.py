@@ -53,3 +53,12 @@ def test_frequent_misreading_is_no_word(make_records):
     df = make_records(rows)
     assert {(r.id, r.noise) for r in sn.noise_kinds(df).collect()} == {(f"g{i}", "glyph") for i in range(sn.MIN_COUNT + 2)}
     assert {r.text for r in sn.repaired(df).collect() if r.id[0] == "g"} == {"The collector stored every packet."}
+
+
+def test_broken_compound_proves_nothing(make_records):
+    rows = [(f"c{i}", CLEAN * 3) for i in range(30)] + [(f"k{i}", "The second-\nline packet stored.") for i in range(2 * sn.MIN_COUNT)]
+    rows += [("u", "The second-line packet stored."), ("typo", "The secondline packet stored."), ("one", "The gateway stored."), ("hy", "The gate-\nway stored."), ("mis", "The co1lec-\ntor stored.")]
+    df = make_records(rows)
+    assert {(r.id, r.noise) for r in sn.noise_kinds(df).collect()} == {("hy", "hyphen"), ("mis", "hyphen"), ("mis", "glyph")}
+    out = {r.id: r.text for r in sn.repaired(df).collect()}
+    assert "second-" in out["k0"] and out["hy"] == "The gateway stored." and out["mis"] == "The collector stored."
