@@ -25,6 +25,8 @@ from .base import has_text, map_batches, one_row_per_id
 MIN_COUNT, RATIO = 8, 12.0
 #: Most frequent words that tasks know beforehand; deletions on either side of the index; greatest weighted distance.
 TOP, DELETES, MAX_DISTANCE = 50_000, 2, 1.0
+#: Words of up to so many letters get one deletion, and are met under all their misreadings instead.
+SHORT = 4
 #: Cost of an edit that is a known confusion, of any other edit, and what a hundredfold frequency is worth.
 CONFUSED, OTHER = 0.3, 1.4
 
@@ -228,9 +230,9 @@ def _dashed(body: str) -> list[str]:
 
 
 def deletions(word: str, most: int = DELETES) -> set[str]:
-    """The word and what is left of it after up to `most` deletions (one for words of four letters or fewer)."""
+    """The word and what is left of it after up to `most` deletions (one for words of SHORT letters or fewer)."""
     out, now = {word}, {word}
-    for _ in range(most if len(word) > 4 else 1):
+    for _ in range(most if len(word) > SHORT else 1):
         now = {w[:i] + w[i + 1 :] for w in now for i in range(len(w)) if len(w) > 1}
         out |= now
     return out
@@ -242,6 +244,29 @@ for _p, _r in CONFUSIONS:
     if len(_p) == 1:
         _PAIRS[_p.upper(), _r] = CONFUSED
 _READ = sorted({(len(p), len(r)) for p, r in _PAIRS})
+_READ_AS: dict[str, set[str]] = defaultdict(set)
+for _p, _r in _PAIRS:
+    _READ_AS[_p.lower()].add(_r.lower())
+
+
+def misreadings(word: str, most: int = int(MAX_DISTANCE / CONFUSED)) -> set[str]:
+    """The lower-case word and what up to `most` confusions make of it."""
+    if not word:
+        return {""}
+    out = {word[0] + rest for rest in misreadings(word[1:], most)}
+    for n in (1, 2) if most else ():
+        for read in _READ_AS.get(word[:n], ()) if n <= len(word) else ():
+            out |= {read + rest for rest in misreadings(word[n:], most - 1)}
+    return out
+
+
+def keys(word: str) -> set[str]:
+    """What a lexicon word is met under: its deletions and, where it or what is read is short, its misreadings."""
+    word = word.lower()
+    out = deletions(word)
+    if len(word) <= SHORT + 2:  # lengths differ by two at most
+        out |= {r for r in misreadings(word) if min(len(word), len(r)) <= SHORT}
+    return out
 
 
 def distance(read: str, word: str) -> float:
@@ -336,7 +361,7 @@ def _candidates(counts: DataFrame) -> DataFrame:
         for b in batches:
             o = {"key": [], "word": [], "n": []}
             for w, n in zip(b["word"], b["n"], strict=True):
-                for k in deletions(w.lower()):
+                for k in keys(w):
                     o["key"].append(k)
                     o["word"].append(w)
                     o["n"].append(n)

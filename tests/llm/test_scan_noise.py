@@ -62,3 +62,11 @@ def test_broken_compound_proves_nothing(make_records):
     assert {(r.id, r.noise) for r in sn.noise_kinds(df).collect()} == {("hy", "hyphen"), ("mis", "hyphen"), ("mis", "glyph")}
     out = {r.id: r.text for r in sn.repaired(df).collect()}
     assert "second-" in out["k0"] and out["hy"] == "The gateway stored." and out["mis"] == "The collector stored."
+
+
+def test_short_words_with_two_letter_confusions(make_records):
+    for read, word in (("clie", "die"), ("tecl", "ted"), ("vvas", "was"), ("rnay", "may"), ("bom", "born"), ("clic", "die")):
+        assert sn.distance(read, word) <= sn.MAX_DISTANCE and sn.deletions(read) & sn.keys(word)
+    df = make_records([(f"c{i}", CLEAN * 3) for i in range(30)] + [("s", "The table vvas rebuilt.")])
+    assert {(r.id, r.noise) for r in sn.noise_kinds(df).collect()} == {("s", "glyph")}
+    assert {r.id: r.text for r in sn.repaired(df).collect()}["s"] == "The table was rebuilt."
