@@ -136,11 +136,71 @@ def similar_pairs(
 
     Vectors that are null, of another size, not finite or all zero are left out; repeated rows of an id count once
     (equal ids have equal vectors). Vectors of exactly one direction form a class that its smallest id stands for in
-    the search; its other members get one row to and from that id, so a class of n copies gives 2 (n - 1) rows.
+    the search. With `min_similarity` its other members get one row to and from that id, so a class of n copies gives
+    2 (n - 1) rows (expand_copies gives all); else every asked member gets its own `k` neighbours, copies included.
     `visits` below 1 is a share of all leaves.
     `queries` (column id) restricts whose neighbours are looked for; every row is indexed. Ties go to the smaller
     id. An empty table gives no rows.
     """
+    best, members = _pairs_and_members(chunks, min_similarity, k, queries, visits, trees, leaf, id_col, vector, dim)
+    if min_similarity is None:
+        return _copies_answered(best, members, queries, k)
+    star = members.select("id", F.col("rep").alias("neighbour"), F.lit(1.0).alias("similarity"))
+    back = star.select(F.col("neighbour").alias("id"), F.col("id").alias("neighbour"), "similarity")
+    return best.unionByName(star).unionByName(back)
+
+
+def _with_rep(members: DataFrame) -> DataFrame:
+    """rep, id of all members of each class with copies, its smallest id among them."""
+    return members.select("rep", "id").unionByName(members.select("rep", F.col("rep").alias("id"))).distinct()
+
+
+def _copies_answered(best: DataFrame, members: DataFrame, queries: DataFrame | None, k: int) -> DataFrame:
+    """The `k` best of every asked id: those of the id that stands for it, with each class's members put in. No more
+    than the k + 1 smallest ids of a class can be among the k best, one of them being the asked id itself."""
+    from pyspark.sql import Window
+
+    if not members.count():
+        return best
+    every = checkpointed(_with_rep(members))
+    asked = every if queries is None else every.join(queries.select("id").distinct(), "id", "left_semi")
+    w = Window.partitionBy("rep").orderBy("id")
+    first = every.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k + 1).select(F.col("rep"), F.col("id").alias("copy"))
+    near = join_counted(best, first.withColumnRenamed("rep", "neighbour"), "neighbour", "left")
+    near = near.select("id", F.coalesce("copy", "neighbour").alias("neighbour"), "similarity")
+    near = join_counted(near, asked.select(F.col("rep").alias("id"), F.col("id").alias("own")), "id", "left")
+    near = near.select(F.coalesce("own", "id").alias("id"), "neighbour", "similarity")
+    own = asked.join(first, "rep").where(F.col("id") != F.col("copy"))
+    return _top(near.unionByName(own.select("id", F.col("copy").alias("neighbour"), F.lit(1.0).alias("similarity"))), k)
+
+
+def expand_copies(chunks: DataFrame, min_similarity: float, **kw) -> DataFrame:
+    """similar_pairs with `min_similarity`, all members of each class put in: directed rows (id, neighbour,
+    similarity). Nothing is capped, so a class of n copies gives n (n - 1) rows and each of its partners 2 n."""
+    best, members = _pairs_and_members(chunks, min_similarity, **kw)
+    if not members.count():
+        return best
+    every = checkpointed(_with_rep(members))
+    for side in ("id", "neighbour"):
+        best = join_counted(best, every.select(F.col("rep").alias(side), F.col("id").alias("copy")), side, "left")
+        best = best.withColumn(side, F.coalesce("copy", side)).select("id", "neighbour", "similarity")
+    within = every.join(every.select("rep", F.col("id").alias("neighbour")), "rep").where(F.col("id") != F.col("neighbour"))
+    return best.unionByName(within.select("id", "neighbour", F.lit(1.0).alias("similarity")))
+
+
+def _pairs_and_members(
+    chunks: DataFrame,
+    min_similarity: float | None = None,
+    k: int = K,
+    queries: DataFrame | None = None,
+    visits: float = VISITS,
+    trees: int = TREES,
+    leaf: int = LEAF,
+    id_col: str = "chunk_id",
+    vector: str = "vector",
+    dim: int = DIM,
+) -> tuple[DataFrame, DataFrame]:
+    """(id, neighbour, similarity among the ids that stand for their class; id, rep of all other members)."""
     good = spread(usable(chunks, id_col, vector, dim))
     keyed = _hashed(good)
     classes = checkpointed(
@@ -165,7 +225,9 @@ def similar_pairs(
     shared = chunks.sparkSession.sparkContext.broadcast((normals, offsets))
     asked = units.withColumn("asked", F.lit(True))
     if queries is not None:
-        wanted = queries.select("id", F.lit(True).alias("asked")).distinct()
+        # a copy is asked for by the id that stands for it
+        wanted = queries.select("id").join(members, "id", "left").select(F.coalesce("rep", "id").alias("id")).distinct()
+        wanted = wanted.withColumn("asked", F.lit(True))
         asked = units.join(wanted, "id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
 
     def place(batches):
@@ -204,9 +266,7 @@ def similar_pairs(
         ).distinct()
     else:
         best = _top(exact, k)
-    star = members.select("id", F.col("rep").alias("neighbour"), F.lit(1.0).alias("similarity"))
-    back = star.select(F.col("neighbour").alias("id"), F.col("id").alias("neighbour"), "similarity")
-    return best.unionByName(star).unionByName(back)
+    return best, members
 
 
 def _top(pairs: DataFrame, k: int) -> DataFrame:

@@ -27,7 +27,7 @@ def p2_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = neighbours.similar_pairs(table(spark, sf, "chunks"), min_similarity=0.80)
+    pairs = neighbours.expand_copies(table(spark, sf, "chunks"), min_similarity=0.80)
     return pairs.select(
         F.least("id", "neighbour").alias("chunk_id_a"), F.greatest("id", "neighbour").alias("chunk_id_b")
     ).distinct()

@@ -61,3 +61,19 @@ def test_search_order_is_that_of_a_shared_queue():
             for child, sign in ((2 * node + 1, -1), (2 * node + 2, 1)):
                 heapq.heappush(heap, (max(p, -sign * m), t, level + 1, child))
         assert set(own[r]) | set(visited[r]) == set(seen)
+
+
+def test_copies_get_all_their_pairs_and_neighbours(spark):
+    x, df = _table(spark)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    got = [(r.id, r.neighbour) for r in neighbours.expand_copies(df, 0.8, leaf=2048).collect()]
+    ids = {"c0007", "d1", "d2"}
+    near = {f"c{j:04d}" for j in np.flatnonzero(u[7] @ u.T >= 0.8)} - ids
+    assert near and {p for p in got if p[0] in ids} == {(a, b) for a in ids for b in ids | near if a != b} and len(got) == len(set(got))
+    q = spark.createDataFrame([("d2",), ("c0107",)], "id string")
+    out = neighbours.similar_pairs(df, k=10, queries=q, leaf=2048).collect()
+    assert {r.id for r in out} == {"d2", "c0107"} and len(out) == 20
+    s = u @ u.T
+    best = [f"c{j:04d}" for j in np.argsort(-s[7]) if j != 7][:8]
+    assert {r.neighbour for r in out if r.id == "d2"} == {"c0007", "d1", *best}
+    assert ids <= {r.neighbour for r in out if r.id == "c0107"}
