@@ -28,7 +28,8 @@ DIM, K = 128, 10
 #: Rows on which trees are fitted at most; trees; rows aimed at in a leaf; levels at most, which bounds the tree table
 #: that is sent to tasks to TREES * 2**MAX_DEPTH vectors (8 MB).
 SAMPLE, TREES, LEAF, MAX_DEPTH = 16_384, 4, 1024, 12
-#: Leaves that a query visits besides its own; eight-bit error allowed for; rows of a leaf compared at once.
+#: Leaves that a query visits besides its own; eight-bit error allowed for; rows of a leaf compared at once
+#: (with 4 * BLOCK members).
 VISITS, SLACK, SPARE, BLOCK = 6, 0.01, 6, 2048
 
 
@@ -277,8 +278,7 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def _runs(batches):
-    """(ids, members, asked, x) of one leaf after the other; visitors come in parts of at most BLOCK rows, each with
-    all members, and a leaf larger than 4 * BLOCK members is divided by further random projections."""
+    """(ids, members, asked, x) of one leaf after the other."""
     held: dict[str, list] = {}
     at = None
 
@@ -300,46 +300,32 @@ def _runs(batches):
     yield from flush()
 
 
-def _parts(x: np.ndarray, rows: np.ndarray, size: int, rng) -> list[np.ndarray]:
-    """Divides rows at medians of random projections until each part has at most `size`."""
-    if len(rows) <= size:
-        return [rows]
-    side = x[rows] @ rng.standard_normal(x.shape[1]).astype(np.float32)
-    order = np.argsort(side, kind="stable")
-    half = len(rows) // 2
-    return _parts(x, rows[order[:half]], size, rng) + _parts(x, rows[order[half:]], size, rng)
-
-
 def _in_leaf(ids: list[str], member: np.ndarray, asked: np.ndarray, x: np.ndarray, k: int, least: float | None):
-    rng = np.random.default_rng(len(ids))
+    """Every asked row against every member, in blocks of both."""
     names = np.array(ids, object)
-    rounds = 1 if member.sum() <= 4 * BLOCK else 3
-    for _ in range(rounds):
-        for part in _parts(x, np.arange(len(ids)), 4 * BLOCK, rng) if rounds > 1 else [np.arange(len(ids))]:
-            index = part[member[part]]
-            if not len(index):
-                continue
-            of_index = x[index]
-            ask = part[asked[part]]
-            for s in range(0, len(ask), BLOCK):
-                rows = ask[s : s + BLOCK]
-                sims = x[rows] @ of_index.T
-                sims[rows[:, None] == index[None, :]] = -2  # a row is in a leaf once
-                if least is not None:
-                    q, j = np.nonzero(sims >= least - SLACK)
-                else:
-                    take = min(k + SPARE, len(index))
-                    j = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-                    q = np.repeat(np.arange(len(rows)), take)
-                    j = j.reshape(-1)
-                    ok = sims[q, j] > -2
-                    q, j = q[ok], j[ok]
-                a, b = names[rows[q]], names[index[j]]
-                if least is not None and len(a):  # either order will do
-                    swap = a > b
-                    a, b = np.where(swap, b, a), np.where(swap, a, b)
-                if len(a):
-                    yield {"id": a.tolist(), "neighbour": b.tolist(), "similarity": sims[q, j].tolist()}
+    members, ask = np.flatnonzero(member), np.flatnonzero(asked)
+    for t in range(0, len(members), 4 * BLOCK):
+        index = members[t : t + 4 * BLOCK]
+        of_index = x[index]
+        for s in range(0, len(ask), BLOCK):
+            rows = ask[s : s + BLOCK]
+            sims = x[rows] @ of_index.T
+            sims[rows[:, None] == index[None, :]] = -2  # a row is in a leaf once
+            if least is not None:
+                q, j = np.nonzero(sims >= least - SLACK)
+            else:
+                take = min(k + SPARE, len(index))
+                j = np.argpartition(-sims, take - 1, axis=1)[:, :take]
+                q = np.repeat(np.arange(len(rows)), take)
+                j = j.reshape(-1)
+                ok = sims[q, j] > -2
+                q, j = q[ok], j[ok]
+            a, b = names[rows[q]], names[index[j]]
+            if least is not None and len(a):  # either order will do
+                swap = a > b
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+            if len(a):
+                yield {"id": a.tolist(), "neighbour": b.tolist(), "similarity": sims[q, j].tolist()}
 
 
 def _best_of(parts, most: int, held: int = 400_000):

@@ -77,3 +77,18 @@ def test_copies_get_all_their_pairs_and_neighbours(spark):
     best = [f"c{j:04d}" for j in np.argsort(-s[7]) if j != 7][:8]
     assert {r.neighbour for r in out if r.id == "d2"} == {"c0007", "d1", *best}
     assert ids <= {r.neighbour for r in out if r.id == "c0107"}
+
+
+def test_large_leaf_loses_no_pair(monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 4)
+    x = np.random.default_rng(3).standard_normal((100, 16)).astype("f4")
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids, yes = [f"c{i:03d}" for i in range(100)], np.ones(100, bool)
+    s = x @ x.T
+    want = {(ids[i], ids[j]) for i, j in zip(*np.nonzero(s >= 0.4), strict=True) if i < j}
+    parts = list(neighbours._in_leaf(ids, yes, yes, x, 10, 0.4 + neighbours.SLACK))
+    assert {p for b in parts for p in zip(b["id"], b["neighbour"], strict=True)} == want
+    parts = list(neighbours._in_leaf(ids, yes, yes, x, 10, None))
+    got = {p for b in parts for p in zip(b["id"], b["neighbour"], strict=True)}
+    np.fill_diagonal(s, -2)
+    assert {(ids[i], ids[j]) for i in range(100) for j in np.argsort(-s[i])[:10]} <= got
