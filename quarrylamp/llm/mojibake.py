@@ -194,6 +194,38 @@ def _rarity(phrase: str) -> float:
     return (sum(_RANK.get(c, 33) for c in phrase.lower() if c not in " -") + 4 * odd) / len(letters)
 
 
+#: Two neighbours that CP866 or ISO-8859-5 read as another Cyrillic page gives, letter beside sign.
+_BESIDE = re.compile("[А-яЁё][\xa1-\xaa\xac-\xba\xbc-\xbfЂ-Џђ-џҐґ─-╬■∙√≈≤≥⌠⌡÷]")
+#: Letters of a misread phrase that another page shows as letters too, at least, and its different letters.
+_LETTERS, _DIFFERENT = 0.1, 4
+
+
+@lru_cache(maxsize=None)
+def _page(read_as: str, intended: str) -> tuple[re.Pattern, dict[int, int]]:
+    """Pattern of phrases of one Cyrillic page as another shows them, and the map back to byte values."""
+    chars = _byte_chars(read_as)
+    letters = "".join(re.escape(chars[ord_]) for ord_ in (c.encode(intended)[0] for c in _RUSSIAN + _RUSSIAN.upper()))
+    return re.compile(f"[{letters}](?:[{letters} -]*[{letters}])?"), {ord(c): i for i, c in reversed(list(enumerate(chars)))}
+
+
+def _fix_page(text: str, read_as: str, intended: str) -> str:
+    """CP866 or ISO-8859-5 read as another page: phrases that become running Russian text in small letters."""
+    pattern, back = _page(read_as, intended)
+
+    def one(m: re.Match) -> str:
+        run = m.group()
+        old = [c for c in run if c not in " -"]
+        if len(old) < 5 or sum(c.isalpha() for c in old) < _LETTERS * len(old):
+            return run
+        new = bytes(back[ord(c)] for c in run).decode(intended)
+        got = [c for c in new if c not in " -"]
+        if len(set(got)) < _DIFFERENT or sum(c.islower() for c in got) < 0.6 * len(got):
+            return run
+        return new if _rarity(new) < _rarity(run) - 5 and _rarity(new) < 13 else run
+
+    return pattern.sub(one, text)
+
+
 def _fix_cyrillic(text: str, read_as: str, intended: str) -> str:
     """One Cyrillic page read as another: phrases whose letters become much more frequent ones of running text."""
 
@@ -253,9 +285,22 @@ def repair(text: str | None) -> tuple[str | None, bool, list[str]]:
         if _HIGH.search(text):
             found += [(f"{n} as cp1252", _fix_latin(text, n)) for n in ("gbk", "cp1251", "koi8_r", "big5")]
         found = [(cost(new), how, new) for how, new in found if new != text]
+        pages = []
+        if _HIGH.search(text) or _BESIDE.search(text) or _UPSIDE.search(text):
+            pages = [
+                (_rarity(new), f"{a} as {b}", new)
+                for a in ("cp866", "iso8859_5")
+                for b in ("cp1252", "cp1251", "koi8_r", "cp866", "iso8859_5")
+                if a != b and (new := _fix_page(text, b, a)) != text
+            ]
         if not found and _UPSIDE.search(text):
             found = [(_rarity(new), f"{a} as {b}", new) for a, b in (("koi8_r", "cp1251"), ("cp1251", "koi8_r")) if (new := _fix_cyrillic(text, b, a)) != text]
-        elif found and min(found)[0] >= cost(text):
+            found += pages
+        elif not found:
+            found = pages
+        elif pages and cost(min(pages)[2]) <= min(found)[0] and min(pages)[0] < _rarity(min(found)[2]):
+            found = pages
+        elif min(found)[0] >= cost(text):
             break
         if not found:
             break

@@ -47,3 +47,11 @@ def test_partial_and_lost(spark):
     assert set(out) == {1, 2, 6} and out[1].text == "good text\n\ndélai here" and out[1].whole and not out[2].whole
     assert {r.doc_id for r in mojibake.garbled_ids(df).collect()} == {1, 2, 6}
     assert mojibake.garbled_ids(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", ["cp866", "iso8859_5"])
+@pytest.mark.parametrize("read", ["cp1252", "cp1251", "koi8_r"])
+def test_dos_and_iso_cyrillic_pages(page, read):
+    chars = mojibake._byte_chars(read)
+    new, garbled, layers = mojibake.repair("".join(chars[b] for b in RU.encode(page)))
+    assert garbled and new == RU and layers == [f"{page} as {read}"]
