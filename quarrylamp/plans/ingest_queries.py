@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import ingest
-from ..session import checkpointed
+from ..session import fresh_folder
 from ..sources import io
 from ..tables import table
 
@@ -67,7 +65,9 @@ def inv_sniff_plan(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT id, path, ext, size_bytes, mtime FROM inventory")
 def inv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The inventory written to Parquet in the shared folder and read again."""
-    return checkpointed(table(spark, sf, "inventory").select("id", "path", "ext", "size_bytes", "mtime"))
+    folder = fresh_folder(spark)
+    table(spark, sf, "inventory").write.parquet(folder)
+    return spark.read.parquet(folder).select("id", "path", "ext", "size_bytes", "mtime")
 
 
 @query(None)
@@ -216,21 +216,13 @@ def attachment_missing(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT id, path, ext, lang, char_count, sha1(coalesce(text, '')) AS text_sha1 FROM records WHERE id IS NOT NULL")
 def shard_write(spark: SparkSession, sf: str) -> DataFrame:
     """Records written as JSON Lines shards to the shared folder and read again."""
-    folder = _shared(spark) + "/shards"
+    folder = fresh_folder(spark) + "/shards"
     r = table(spark, sf, "records").where("id is not null").drop("shard_file", "line_no")
     io.write_shards(r, folder, "overwrite")
     good, _ = io.read_shards(spark, folder)
     return good.select("id", "path", "ext", "lang", "char_count", F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1"))
 
 
-def _shared(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's checkpoint folder."""
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quarrylamp-")
-    return f"{base}/quarrylamp-{uuid.uuid4().hex}"
-
-
 @query("SELECT shard_file, count(*) AS n_records, count_if(error <> '') AS n_errors FROM records GROUP BY shard_file")
 def shard_scan(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "records").groupBy("shard_file").agg(F.count("*").alias("n_records"), F.count_if(F.col("error") != "").alias("n_errors"))

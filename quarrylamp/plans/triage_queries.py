@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import triage
+from ..session import fresh_folder
 from ..sources import io
 from ..tables import table
-from .ingest_queries import LAST, _shared
+from .ingest_queries import LAST
 
 QUERIES, ORACLE = {}, {}
 
@@ -112,7 +113,7 @@ def tier2_docs(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT id, path, score, raw_score, high_hits, {HITS} AS hits FROM {RANKED}")
 def triage_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Ranked rows written as CSV to the shared folder and read again; snippets hold quotes, commas and line ends."""
-    folder = _shared(spark) + "/triage"
+    folder = fresh_folder(spark) + "/triage"
     io.write_csv(_ranked(spark, sf), folder)
     return io.read_csv(spark, folder).select("id", "path", "score", "raw_score", "high_hits", "hits")
 

@@ -1,8 +1,8 @@
-"""Session defaults and the one place that knows where shared checkpoints go."""
+"""Session defaults and the one place that knows where shared intermediate data go."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # files of a checkpoint go when nothing refers to it any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -27,16 +29,31 @@ def local_session(cores: int = 8, memory: str = "8g", app: str = "quarrylamp", *
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df`, computed once, stored in the shared checkpoint folder and read from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that all executors see: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where none is set (tests) is a
-    temporary one made. Never a local checkpoint: its blocks die with their executor.
+    Where it is unset, a session on one machine (tests, the bench) gets a folder below its ``spark.local.dir``; any
+    other session raises, since a machine's own folder can't be read from another machine.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    conf = spark.sparkContext.getConf()
+    if named := conf.get("spark.checkpoint.dir"):
+        return named
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{conf.get('spark.local.dir', '/tmp')}/quarrylamp-{spark.sparkContext.applicationId}"
+
+
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/quarrylamp-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df`, computed once, stored in the shared folder and read from there. Never a local checkpoint: its blocks die
+    with their executor. A cluster that sets spark.cleaner.referenceTracking.cleanCheckpoints frees the files."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quarrylamp-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
