@@ -131,3 +131,18 @@ def join_counted(df: DataFrame, side: DataFrame, on: str | list[str], how: str)
     """`df` joined with `side`, which is counted first (so it should be stored or cheap): up to SMALL rows it is
     broadcast and `df` stays where it is; a larger one is joined by a shuffle of both."""
     return df.join(F.broadcast(side) if side.count() <= SMALL else side, on, how)
+
+
+def join_hot(df: DataFrame, side: DataFrame, on: list[str], size: str) -> DataFrame:
+    """`df` joined (inner) with `side`, one row for each key, whose column `size` counts the key's rows in `df`.
+
+    Keys that hold more than a thousandth of the counted rows are a thousand at most; they are broadcast, so that none is
+    one task's work. All other keys meet by a shuffle.
+    """
+    total = side.agg(F.sum(size).alias("n")).collect()[0].n or 0
+    large = F.col(size) > max(10_000, total // 1000)
+    hot = side.where(large)
+    if not side.where(large).take(1):
+        return df.join(side, on)
+    rest = df.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return df.join(F.broadcast(hot), on).unionByName(rest.join(side.where(~large), on))

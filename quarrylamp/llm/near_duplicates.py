@@ -7,6 +7,9 @@ shared pairs of either (s: how many of its pairs occur elsewhere), so only those
 which keeps the posting lists of boilerplate out of the join without losing a pair. Collisions are then counted over
 the whole signatures, and survivors are verified by the exact similarity of their run sets.
 
+Equal texts form a class first, of which one member is posted. Classes, their pairs and the members are tables; ids are
+put in for classes only where pairs of ids are asked for.
+
 At similarity 0.63 each coordinate agrees with probability 0.63, so of 32 some 20 agree; the chance of fewer than 11
 is about 0.0004, at 0.70 below 0.00001.
 """
@@ -16,16 +19,18 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, spread
-from .base import has_text, map_batches
+from .base import has_text, join_hot, map_batches
 
 RUN, COORDINATES, MATCHES = 5, 32, 11
 MIN_TOKENS, SIMILARITY = 60, 0.60
-#: Largest class of equal texts whose members expand_copies puts in for their representative.
-EXPAND = 16
+#: Size up to which near_duplicate_pairs writes out all pairs of a class of equal texts.
+EXPAND = 64
+#: Rows of one posting list, or of one class of equal texts, that a task handles together.
+POSTING = 4096
 
 _TOKEN = re.compile(r"[一-鿿]|[^\s一-鿿]+")
 _rng = np.random.default_rng(20240229)
@@ -86,10 +91,9 @@ def _signatures(texts: list[str], min_tokens: int) -> tuple[list[np.ndarray | No
 
 
 def _copies(records: DataFrame, min_tokens: int) -> tuple[DataFrame, DataFrame]:
-    """(classes, members): one row rep, h, sig for each distinct text of enough tokens; and id, rep for each id."""
-    rows = records.where(F.col("id").isNotNull() & has_text()).select(
-        "id", "text", F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")
-    )
+    """(classes, members): one row rep, a, b, sig, n_copies for each distinct text of enough tokens; and id, rep, n_copies
+    for each id."""
+    rows = records.where(F.col("id").isNotNull() & has_text()).select("id", "text", *_text_hash())
 
     def sign(batches):
         for b in batches:
@@ -104,11 +108,17 @@ def _copies(records: DataFrame, min_tokens: int) -> tuple[DataFrame, DataFrame]:
             }
 
     signed = map_batches(spread(rows), sign, "id string, a bigint, b bigint, n_tokens int, sig array<int>")
-    one = signed.groupBy("id").agg(F.max_by(F.struct("a", "b", "sig"), F.struct("n_tokens", "a")).alias("s")).select("id", "s.*")
+    one = signed.groupBy("id").agg(F.max_by(F.struct("a", "b", "sig"), F.struct("n_tokens", "a", "b")).alias("s")).select("id", "s.*")
     one = checkpointed(one)
-    classes = one.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))
-    members = one.select("id", "a", "b").join(classes.select("a", "b", "rep"), ["a", "b"]).select("id", "rep")
-    return classes.select("rep", "sig"), members
+    classes = checkpointed(
+        one.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.count("*").alias("n_copies"))
+    )
+    members = join_hot(one.select("id", "a", "b"), classes.select("a", "b", "rep", "n_copies"), ["a", "b"], "n_copies")
+    return classes, members.select("id", "rep", "n_copies")
+
+
+def _text_hash() -> tuple[Column, Column]:
+    return F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")
 
 
 def _candidates(classes: DataFrame, matches: int) -> DataFrame:
@@ -119,12 +129,17 @@ def _candidates(classes: DataFrame, matches: int) -> DataFrame:
     counts = posts.groupBy("key").agg(F.count("*").alias("freq")).where(F.col("freq") > 1)
     shared = posts.join(counts, "key").groupBy("r").agg(F.array_sort(F.collect_list(F.struct("freq", "key"))).alias("k"))
     shared = checkpointed(
-        shared.where(F.size("k") >= matches).select("r", F.expr("transform(k, x -> x.key)").alias("keys"))
+        shared.where(F.size("k") >= matches).select(
+            "r", F.expr("transform(k, x -> x.key)").alias("keys"), F.expr(f"slice(k, 1, size(k) - {matches - 1})").alias("prefix")
+        )
     )
-    prefix = shared.select("r", F.explode(F.expr(f"slice(keys, 1, size(keys) - {matches - 1})")).alias("key"))
-    left = prefix.select("key", F.col("r").alias("a"))
-    right = prefix.select("key", F.col("r").alias("b"))
-    met = left.join(right, "key").where(F.col("a") < F.col("b")).select("a", "b").distinct()
+    prefix = shared.select("r", F.explode("prefix").alias("p")).select("r", "p.key", F.ceil(F.col("p.freq") / F.lit(POSTING)).cast("int").alias("parts"))
+    prefix = prefix.withColumn("part", F.pmod(F.xxhash64("r", "key"), "parts").cast("int"))
+    # a long posting list meets itself part by part: no task gets more than POSTING**2 of its pairs
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    left = prefix.select("key", F.col("part").alias("i"), F.explode(every).alias("j"), F.col("r").alias("a"))
+    right = prefix.select("key", F.explode(every).alias("i"), F.col("part").alias("j"), F.col("r").alias("b"))
+    met = left.join(right, ["key", "i", "j"]).where(F.col("a") < F.col("b")).select("a", "b").distinct()
     both = F.array_intersect("keys_a", "keys_b")
     agreed = (
         met.join(shared.select(F.col("r").alias("a"), F.col("keys").alias("keys_a")), "a")
@@ -139,87 +154,104 @@ def _candidates(classes: DataFrame, matches: int) -> DataFrame:
     return named.select(F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b"))
 
 
-def near_duplicate_pairs(
+def class_pairs_and_members(
     records: DataFrame, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, matches: int = MATCHES
-) -> DataFrame:
-    """Pairs of ids with texts of at least `min_tokens` tokens and similarity of at least `similarity`:
-    id_a < id_b, similarity, copy.
+) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members). pairs: rep_a < rep_b, similarity, n_a, n_b: classes of equal texts, each named by its smallest
+    id, whose texts reach `similarity`, and their sizes. members: id, rep, n_copies of every id with at least
+    `min_tokens` tokens.
 
     Tokens are those of the lower-cased text: single ideographs U+4E00..U+9FFF, else runs without white space or such
-    ideographs; similarity is the share of distinct five-token runs that both texts have. Ids whose texts are equal
-    form a class: its smallest id stands for it in the pairs with other texts, and every other member has one row
-    with that id (copy is true, similarity 1), so a class of n copies gives n - 1 rows and not n * (n - 1) / 2.
-    Rows of one id count once, by the row with the most tokens; null ids, null, blank and short texts give no row;
-    an empty table gives none.
-    """
-    exact, members = _pairs_and_members(records, similarity, min_tokens, matches)
-    star = members.where(F.col("id") != F.col("rep")).select(
-        F.col("rep").alias("id_a"), F.col("id").alias("id_b"), F.lit(1.0).alias("similarity"), F.lit(True).alias("copy")
-    )
-    return exact.unionByName(star)
+    ideographs; similarity is the share of distinct five-token runs that both texts have. Together both tables give
+    every link: two ids are near duplicates if they have one rep, or their reps are a pair. Both grow in proportion
+    to the records and to the near pairs of different texts, however often a text was copied.
 
-
-def _pairs_and_members(
-    records: DataFrame, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, matches: int = MATCHES
-) -> tuple[DataFrame, DataFrame]:
-    """Verified pairs of class representatives, and id, rep of every id of enough tokens."""
+    Rows of one id count once, by the row with the most tokens (ties by hash); null ids, null, blank and short texts
+    give no row; empty tables give none. Other columns are ignored.
+    """
     classes, members = _copies(records, min_tokens)
-    classes = checkpointed(classes)
     pairs = checkpointed(_candidates(classes, matches))
-    wanted = pairs.select(F.col("rep_a").alias("id")).unionByName(pairs.select(F.col("rep_b").alias("id"))).distinct()
-    texts = records.where(has_text()).select("id", "text").join(wanted, "id", "left_semi")
+    wanted = pairs.select(F.col("rep_a").alias("rep")).unionByName(pairs.select(F.col("rep_b").alias("rep"))).distinct()
+    # the very text that was signed: another row of its id may hold another one
+    wanted = classes.select("rep", "a", "b", "n_copies").join(wanted, "rep", "left_semi").select(F.col("rep").alias("id"), "a", "b", "n_copies")
+    texts = records.where(has_text()).select("id", "text", *_text_hash()).join(wanted, ["id", "a", "b"])
 
     def runs(batches):
         for b in batches:
-            sets = [_run_hashes(t) for t in b["text"]]
             yield {
                 "id": b["id"],
-                "n": [n for _, n in sets],
-                "runs": [np.unique(h).view(np.int64).tolist() for h, _ in sets],
+                "n": b["n_copies"],
+                "runs": [run_set(t).view(np.int64).tolist() for t in b["text"]],
             }
 
-    sets = map_batches(texts, runs, "id string, n int, runs array<bigint>")
-    sets = checkpointed(sets.groupBy("id").agg(F.max_by("runs", "n").alias("runs")))
+    sets = map_batches(texts, runs, "id string, n bigint, runs array<bigint>")
+    sets = checkpointed(sets.groupBy("id").agg(F.first("n").alias("n"), F.first("runs").alias("runs")))
     common = F.size(F.array_intersect("runs_a", "runs_b"))
     exact = (
-        pairs.join(sets.select(F.col("id").alias("rep_a"), F.col("runs").alias("runs_a")), "rep_a")
-        .join(sets.select(F.col("id").alias("rep_b"), F.col("runs").alias("runs_b")), "rep_b")
+        pairs.join(sets.select(F.col("id").alias("rep_a"), F.col("n").alias("n_a"), F.col("runs").alias("runs_a")), "rep_a")
+        .join(sets.select(F.col("id").alias("rep_b"), F.col("n").alias("n_b"), F.col("runs").alias("runs_b")), "rep_b")
         .select(
-            F.col("rep_a").alias("id_a"),
-            F.col("rep_b").alias("id_b"),
-            (common / (F.size("runs_a") + F.size("runs_b") - common)).alias("similarity"),
-            F.lit(False).alias("copy"),
+            "rep_a", "rep_b", (common / (F.size("runs_a") + F.size("runs_b") - common)).alias("similarity"), "n_a", "n_b"
         )
         .where(F.col("similarity") >= similarity)
     )
     return exact, members
 
 
-def expand_copies(records: DataFrame, **kw) -> DataFrame:
-    """near_duplicate_pairs with the members of classes of up to EXPAND equal texts put in for them: id_a, id_b.
+def near_duplicate_pairs(records: DataFrame, expand: int = EXPAND, **kw) -> DataFrame:
+    """id_a < id_b: near duplicates by class_pairs_and_members, with the ids of equal texts put in for their class.
 
-    At most EXPAND**2 rows come of one pair; a larger class stays as its smallest id and one row for each member, so
-    a text that a third of all records share can't square the result, and no link is lost.
+    All pairs of ids come out where of two classes at least one has `expand` members or fewer, and within a class of so
+    many. Larger classes aren't squared: one of n members gives n - 1 rows with its smallest id, and two near ones of
+    n and m members give n + m - 1 rows, each member with the other class's smallest id. So every id keeps a link to
+    every different text that is near its own, and rows stay below 2 * expand times the links of classes; what is left
+    out is all in the two tables of class_pairs_and_members.
     """
-    pairs, members = _pairs_and_members(records, **kw)
-    size = members.groupBy("rep").agg(F.count("*").alias("n"))
-    sized = members.join(size, "rep")
-    stand = sized.where((F.col("n") <= EXPAND) | (F.col("id") == F.col("rep"))).select("rep", "id", "n")
-    a = stand.select(F.col("rep").alias("id_a"), F.col("id").alias("a"))
-    b = stand.select(F.col("rep").alias("id_b"), F.col("id").alias("b"))
-    across = pairs.select("id_a", "id_b").join(a, "id_a").join(b, "id_b").select("a", "b")
-    small = stand.where((F.col("n") > 1) & (F.col("n") <= EXPAND))
-    within = small.select("rep", F.col("id").alias("a")).join(small.select("rep", F.col("id").alias("b")), "rep")
-    large = sized.where((F.col("n") > EXPAND) & (F.col("id") != F.col("rep")))
-    every = (
-        across.unionByName(within.where(F.col("a") < F.col("b")).select("a", "b"))
-        .unionByName(large.select(F.col("rep").alias("a"), F.col("id").alias("b")))
-    )
-    return every.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
-
-
-def groups(pairs: DataFrame, rounds: int = 50) -> DataFrame:
-    """Connected groups of the pairs: id, group_id (smallest id of the group), links (pairs that the id is in).
+    pairs, members = class_pairs_and_members(records, **kw)
+    pairs, members = checkpointed(pairs), checkpointed(members)
+    small = lambda c: F.col(c) <= expand
+    across = pairs.withColumn("full", small("n_a") | small("n_b"))
+    # members of a large class are dealt over parts, so that no task gets them all
+    parts = lambda n: F.ceil(F.col(n) / F.lit(POSTING)).cast("int")
+    each = members.select("rep", "id", F.pmod(F.xxhash64("id"), parts("n_copies")).cast("int").alias("part"))
+
+    def put_in(df: DataFrame, side: str) -> DataFrame:
+        dealt = df.withColumn("part", F.explode(F.sequence(F.lit(0), parts(f"n_{side}") - 1)))
+        return dealt.join(each.select(F.col("rep").alias(f"rep_{side}"), "part", F.col("id").alias(side)), [f"rep_{side}", "part"]).drop("part")
+
+    full = put_in(put_in(across.where("full"), "a"), "b").select("a", "b")
+    large = across.where("not full")
+    star = put_in(large, "a").select("a", F.col("rep_b").alias("b")).unionByName(put_in(large, "b").select(F.col("rep_a").alias("a"), "b"))
+    twins = members.where((F.col("n_copies") > 1) & small("n_copies"))
+    within = twins.select("rep", F.col("id").alias("a")).join(twins.select("rep", F.col("id").alias("b")), "rep")
+    copies = members.where(~small("n_copies") & (F.col("id") != F.col("rep"))).select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    out = full.unionByName(star).unionByName(within.where(F.col("a") < F.col("b")).select("a", "b")).unionByName(copies)
+    return out.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
+
+
+def near_duplicate_members(records: DataFrame, rounds: int = 50, **kw) -> DataFrame:
+    """id, class_id, n_copies, links, group_id of every id that the comparison covers.
+
+    class_id is the smallest id with an equal text, n_copies the size of that class, links the number of other ids that
+    are near duplicates of this one (by the sizes of the classes, so no pair is written out), group_id the smallest id
+    that it is connected with by links (its own if it has none).
+    """
+    pairs, members = class_pairs_and_members(records, **kw)
+    pairs = checkpointed(pairs)
+    ends = pairs.select(F.col("rep_a").alias("rep"), F.col("n_b").alias("n")).unionByName(pairs.select(F.col("rep_b").alias("rep"), F.col("n_a").alias("n")))
+    near = ends.groupBy("rep").agg(F.sum("n").alias("n_near"))
+    label = components(pairs.select(F.col("rep_a").alias("id_a"), F.col("rep_b").alias("id_b")), rounds)
+    # one row for each class with a near one
+    known = checkpointed(near.join(label.select(F.col("id").alias("rep"), "group_id"), "rep"))
+    sized = known.join(members.where(F.col("id") == F.col("rep")).select("rep", "n_copies"), "rep")
+    lone = members.join(known.select("rep"), "rep", "left_anti").withColumns({"n_near": F.lit(0).cast("bigint"), "group_id": F.col("rep")})
+    met = join_hot(members.join(known.select("rep"), "rep", "left_semi").drop("n_copies"), sized, ["rep"], "n_copies")
+    every = met.unionByName(lone)
+    return every.select("id", F.col("rep").alias("class_id"), "n_copies", (F.col("n_copies") - 1 + F.col("n_near")).alias("links"), "group_id")
+
+
+def components(pairs: DataFrame, rounds: int = 50) -> DataFrame:
+    """Connected groups of the pairs (id_a, id_b): id, group_id (smallest id of the group).
 
     Labels spread along the links and jump to their label's label, so rounds grow with the logarithm of the longest
     chain; each round's result is checkpointed in the shared folder. Raises if `rounds` don't suffice.
@@ -229,8 +261,7 @@ def groups(pairs: DataFrame, rounds: int = 50) -> DataFrame:
         .unionByName(pairs.select(F.col("id_b").alias("u"), F.col("id_a").alias("v")))
         .distinct()
     )
-    links = edges.groupBy("u").agg(F.count("*").alias("links"), F.min("v").alias("m"))
-    label = checkpointed(links.select("u", F.least("u", "m").alias("g")))
+    label = checkpointed(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("g")))
     for _ in range(rounds):
         near = (
             edges.join(label.select(F.col("u").alias("v"), "g"), "v").groupBy("u").agg(F.min("g").alias("n"))
@@ -245,4 +276,4 @@ def groups(pairs: DataFrame, rounds: int = 50) -> DataFrame:
             break
     else:
         raise RuntimeError(f"labels still move after {rounds} rounds")
-    return label.join(links.select("u", "links"), "u").select(F.col("u").alias("id"), F.col("g").alias("group_id"), "links")
+    return label.select(F.col("u").alias("id"), F.col("g").alias("group_id"))

@@ -18,12 +18,17 @@ def p1_repaired(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates.expand_copies(table(spark, sf, "records"))
+    return near_duplicates.near_duplicate_pairs(table(spark, sf, "records"))
 
 
-def p2_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """One row for each id that has a near duplicate: its group and its number of links."""
-    return near_duplicates.groups(near_duplicates.near_duplicate_pairs(table(spark, sf, "records")))
+def p2_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Class of equal texts, number of links and group of every id."""
+    return near_duplicates.near_duplicate_members(table(spark, sf, "records"))
+
+
+def p2_class_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Near duplicates among different texts: pairs of classes, their similarity and sizes."""
+    return near_duplicates.class_pairs_and_members(table(spark, sf, "records"))[0]
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +98,7 @@ def p10_repaired(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_repaired, p2_found, p2_groups, p3_found, p3_neighbours, p3_every, p4_found, p4_redacted, p5_token_budget, p6_found, p6_segments, p7_found, p7_pieces,
+        p1_found, p1_repaired, p2_found, p2_members, p2_class_pairs, p3_found, p3_neighbours, p3_every, p4_found, p4_redacted, p5_token_budget, p6_found, p6_segments, p7_found, p7_pieces,
         p8_ids, p9_bins, p10_found, p10_repaired,
     )
 }
