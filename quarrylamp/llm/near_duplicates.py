@@ -90,9 +90,9 @@ def _signatures(texts: list[str], min_tokens: int) -> tuple[list[np.ndarray | No
     return out, sizes
 
 
-def _copies(records: DataFrame, min_tokens: int) -> tuple[DataFrame, DataFrame]:
-    """(classes, members): one row rep, a, b, sig, n_copies for each distinct text of enough tokens; and id, rep, n_copies
-    for each id."""
+def _copies(records: DataFrame, min_tokens: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classes, signatures, members): rep, a, b, n_copies of each distinct text of enough tokens; rep, sig likewise; and
+    id, rep, n_copies for each id."""
     rows = records.where(F.col("id").isNotNull() & has_text()).select("id", "text", *_text_hash())
 
     def sign(batches):
@@ -110,30 +110,32 @@ def _copies(records: DataFrame, min_tokens: int) -> tuple[DataFrame, DataFrame]:
     signed = map_batches(spread(rows), sign, "id string, a bigint, b bigint, n_tokens int, sig array<int>")
     one = signed.groupBy("id").agg(F.max_by(F.struct("a", "b", "sig"), F.struct("n_tokens", "a", "b")).alias("s")).select("id", "s.*")
     one = checkpointed(one)
-    classes = checkpointed(
-        one.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"), F.count("*").alias("n_copies"))
-    )
-    members = join_hot(one.select("id", "a", "b"), classes.select("a", "b", "rep", "n_copies"), ["a", "b"], "n_copies")
-    return classes, members.select("id", "rep", "n_copies")
+    classes = checkpointed(one.groupBy("a", "b").agg(F.min("id").alias("rep"), F.count("*").alias("n_copies")))
+    signatures = one.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("sig").alias("sig")).select("rep", "sig")
+    members = join_hot(one.select("id", "a", "b"), classes, ["a", "b"], "n_copies")
+    return classes, signatures, members.select("id", "rep", "n_copies")
 
 
 def _text_hash() -> tuple[Column, Column]:
     return F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")
 
 
-def _candidates(classes: DataFrame, matches: int) -> DataFrame:
+def _candidates(classes: DataFrame, signatures: DataFrame, matches: int) -> DataFrame:
     """Pairs (rep_a < rep_b) whose signatures agree in at least `matches` coordinates."""
     # eight bytes stand for an id here; two ids of one hash could only add a pair, which the exact step then refuses
-    numbered = classes.select("rep", F.xxhash64("rep").alias("r"), "sig")
-    posts = numbered.select(F.posexplode("sig").alias("c", "v"), "r").select(F.xxhash64("c", "v").alias("key"), "r")
+    posts = signatures.select(F.xxhash64("rep").alias("r"), "sig").select(F.posexplode("sig").alias("c", "v"), "r").select(F.xxhash64("c", "v").alias("key"), "r")
     counts = posts.groupBy("key").agg(F.count("*").alias("freq")).where(F.col("freq") > 1)
     shared = posts.join(counts, "key").groupBy("r").agg(F.array_sort(F.collect_list(F.struct("freq", "key"))).alias("k"))
     shared = checkpointed(
         shared.where(F.size("k") >= matches).select(
-            "r", F.expr("transform(k, x -> x.key)").alias("keys"), F.expr(f"slice(k, 1, size(k) - {matches - 1})").alias("prefix")
+            "r",
+            F.expr("transform(k, x -> x.key)").alias("keys"),
+            # parts of each key's posting list, null where all have one
+            F.expr(f"CASE WHEN exists(k, x -> x.freq > {POSTING}) THEN transform(k, x -> int(ceil(x.freq / {POSTING}))) END").alias("parts"),
         )
     )
-    prefix = shared.select("r", F.explode("prefix").alias("p")).select("r", "p.key", F.ceil(F.col("p.freq") / F.lit(POSTING)).cast("int").alias("parts"))
+    prefix = shared.select("r", "parts", F.posexplode(F.expr(f"slice(keys, 1, size(keys) - {matches - 1})")).alias("at", "key"))
+    prefix = prefix.select("r", "key", F.coalesce(F.get("parts", F.col("at")), F.lit(1)).alias("parts"))
     prefix = prefix.withColumn("part", F.pmod(F.xxhash64("r", "key"), "parts").cast("int"))
     # a long posting list meets itself part by part: no task gets more than POSTING**2 of its pairs
     every = F.sequence(F.lit(0), F.col("parts") - 1)
@@ -147,7 +149,7 @@ def _candidates(classes: DataFrame, matches: int) -> DataFrame:
         .where(F.size(both) >= matches)
         .select("a", "b")
     )
-    names = numbered.select("r", "rep")
+    names = classes.select(F.xxhash64("rep").alias("r"), "rep")
     named = agreed.join(names.select(F.col("r").alias("a"), F.col("rep").alias("x")), "a").join(
         names.select(F.col("r").alias("b"), F.col("rep").alias("y")), "b"
     )
@@ -169,8 +171,8 @@ def class_pairs_and_members(
     Rows of one id count once, by the row with the most tokens (ties by hash); null ids, null, blank and short texts
     give no row; empty tables give none. Other columns are ignored.
     """
-    classes, members = _copies(records, min_tokens)
-    pairs = checkpointed(_candidates(classes, matches))
+    classes, signatures, members = _copies(records, min_tokens)
+    pairs = checkpointed(_candidates(classes, signatures, matches))
     wanted = pairs.select(F.col("rep_a").alias("rep")).unionByName(pairs.select(F.col("rep_b").alias("rep"))).distinct()
     # the very text that was signed: another row of its id may hold another one
     wanted = classes.select("rep", "a", "b", "n_copies").join(wanted, "rep", "left_semi").select(F.col("rep").alias("id"), "a", "b", "n_copies")
@@ -185,7 +187,7 @@ def class_pairs_and_members(
             }
 
     sets = map_batches(texts, runs, "id string, n bigint, runs array<bigint>")
-    sets = checkpointed(sets.groupBy("id").agg(F.first("n").alias("n"), F.first("runs").alias("runs")))
+    sets = sets.groupBy("id").agg(F.first("n").alias("n"), F.first("runs").alias("runs"))  # one shuffle, read by both joins
     common = F.size(F.array_intersect("runs_a", "runs_b"))
     exact = (
         pairs.join(sets.select(F.col("id").alias("rep_a"), F.col("n").alias("n_a"), F.col("runs").alias("runs_a")), "rep_a")
