@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Container
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,10 +24,15 @@ from .base import has_text, map_batches, one_row_per_id
 
 #: A lexicon word occurs at least MIN_COUNT times, and RATIO times as often as what is taken for its misreading.
 MIN_COUNT, RATIO = 8, 12.0
+#: The same for an ideograph between its neighbours, whose windows are rarer than words.
+CJK_RATIO = 6
 #: Most frequent words that tasks know beforehand; deletions on either side of the index; greatest weighted distance.
 TOP, DELETES, MAX_DISTANCE = 50_000, 2, 1.0
-#: Words of up to so many letters get one deletion, and are met under all their misreadings instead.
-SHORT = 4
+#: Words of up to SHORT letters get one deletion, and are met under all their misreadings instead; words of more than
+#: LONG get one too, as two of them would give a key for each pair of their letters.
+SHORT, LONG = 4, 40
+#: What the layout rules take for furniture has at most so many characters: a header line, a page number's line.
+HEADER_CHARS, NUMBER_CHARS = 160, 30
 #: Cost of an edit that is a known confusion, of any other edit, and what a hundredfold frequency is worth.
 CONFUSED, OTHER = 0.3, 1.4
 
@@ -96,9 +102,9 @@ def layout(text: str) -> tuple[set[int], set[int], list[str]]:
     by_kind: dict[str, list[tuple[int, int]]] = defaultdict(list)
     heads: dict[int, str] = {}
     for i, line in enumerate(lines):
-        if len(line) > 160 or not (s := line.strip(" \t\x0c")):
+        if len(line) > HEADER_CHARS or not (s := line.strip(" \t\x0c")):
             continue
-        m = _ALONE.fullmatch(line) if len(s) < 30 else None
+        m = _ALONE.fullmatch(line) if len(s) < NUMBER_CHARS else None
         inside = None if m or "  " not in s and "\t" not in s else _IN_LINE.fullmatch(line)
         if inside and ("\t" in s or ";" in s):
             inside = None
@@ -172,10 +178,11 @@ def _body(text: str) -> tuple[str, set[int], set[int]]:
     return "\n".join(out), numbers, headers
 
 
-def _breaks(body: str) -> list[tuple[str, str, str]]:
-    """(left, mark, right) of words divided at line ends, where the right part goes on in small letters. Names of
-    things, identifiers and addresses (a digit, dot or sign beside) are not words."""
-    out = []
+def _breaks(body: str) -> list[tuple[int, int, str, str, str]]:
+    """(end of the left part, start of the right one, left, mark, right) of words divided at line ends, where the right
+    part goes on in small letters. Names of things, identifiers and addresses (a digit, dot or sign beside) are not
+    words."""
+    out: list[tuple[int, int, str, str, str]] = []
     if not _MARK_END.search(body):
         return out
     for m in _BREAK.finditer(body):
@@ -184,34 +191,35 @@ def _breaks(body: str) -> list[tuple[str, str, str]]:
         if b[0].islower() or b[0] in "0156!†ɑ" and any(c.islower() for c in b):
             if before in ("@", ".", "/", "_", "+") or re.match(r"[.@/_]\w", after) or not any(c.isalpha() for c in a):
                 continue
-            out.append((a, mark, b))
+            out.append((m.end(1), m.start(3), a, mark, b))
     return out
 
 
+def _join(body: str) -> tuple[str, list[tuple[int, str, str, str]]]:
+    """The body with every divided word as one, and of each joint its place, what stood there, the mark and the whole."""
+    parts, joints, at, n = [], [], 0, 0
+    for end, start, a, mark, b in _breaks(body):
+        parts.append(body[at:end])
+        n += end - at
+        joints.append((n, body[end:start], mark, a + b))
+        at = start
+    if not joints:
+        return body, joints
+    parts.append(body[at:])
+    return "".join(parts), joints
+
+
 def _words(body: str, divided: Counter | None = None) -> list[str]:
     """Tokens in order; a divided word is one. `divided` counts those joined at a plain hyphen, which may be compounds."""
-    if not _MARK_END.search(body):
-        return _TOKEN.findall(body)
-    joints: list[int] = []
-    shift = 0
-
-    def join(m: re.Match) -> str:
-        nonlocal shift
-        if not m[3][:1].islower():
-            return m[0]
-        if m[2] == "-":
-            joints.append(m.end(1) - shift)
-        shift += len(m[0]) - len(m[1]) - len(m[3])
-        return m[1] + m[3]
-
-    body = _BREAK.sub(join, body)
-    if divided is None or not joints:
-        return _TOKEN.findall(body)
+    whole, joints = _join(body)
+    plain = [at for at, _, mark, _ in joints if mark == "-"]
+    if divided is None or not plain:
+        return _TOKEN.findall(whole)
     out, k = [], 0
-    for m in _TOKEN.finditer(body):
-        while k < len(joints) and joints[k] <= m.start():
+    for m in _TOKEN.finditer(whole):
+        while k < len(plain) and plain[k] <= m.start():
             k += 1
-        if k < len(joints) and joints[k] < m.end():
+        if k < len(plain) and plain[k] < m.end():
             divided[m.group()] += 1
         out.append(m.group())
     return out
@@ -230,9 +238,10 @@ def _dashed(body: str) -> list[str]:
 
 
 def deletions(word: str, most: int = DELETES) -> set[str]:
-    """The word and what is left of it after up to `most` deletions (one for words of SHORT letters or fewer)."""
+    """The word and what is left of it after up to `most` deletions (one for words of SHORT letters or fewer, or of more
+    than LONG)."""
     out, now = {word}, {word}
-    for _ in range(most if len(word) > SHORT else 1):
+    for _ in range(most if SHORT < len(word) <= LONG else 1):
         now = {w[:i] + w[i + 1 :] for w in now for i in range(len(w)) if len(w) > 1}
         out |= now
     return out
@@ -243,9 +252,10 @@ for _p, _r in CONFUSIONS:
     _PAIRS[_p, _r] = CONFUSED
     if len(_p) == 1:
         _PAIRS[_p.upper(), _r] = CONFUSED
+_PAIRS |= {(p, r): CONFUSED for r, p in CJK_CONFUSIONS.items()}
 _READ = sorted({(len(p), len(r)) for p, r in _PAIRS})
 _READ_AS: dict[str, set[str]] = defaultdict(set)
-for _p, _r in _PAIRS:
+for _p, _r in CONFUSIONS:
     _READ_AS[_p.lower()].add(_r.lower())
 
 
@@ -355,7 +365,10 @@ def _lexicon(counts: DataFrame) -> DataFrame:
 def _candidates(counts: DataFrame) -> DataFrame:
     """token, word, dist, n (of the word): lexicon words that each rarer token may be a misreading of."""
     lexicon = _lexicon(counts)
-    tokens = counts.where((F.col("kind") == "w") & (F.col("n") > 0) & (F.length("a").between(3, 40)))
+    # words of one or two letters are like too many others to be told apart; none is longer than a word it may stand for
+    # by more than the deletions
+    longest = lexicon.agg(F.max(F.length("word")).alias("m"), (F.max("n") / RATIO).alias("most")).collect()[0]
+    tokens = counts.where((F.col("kind") == "w") & (F.col("n") > 0) & F.length("a").between(3, (longest.m or 0) + DELETES))
 
     def index(batches):
         for b in batches:
@@ -379,7 +392,7 @@ def _candidates(counts: DataFrame) -> DataFrame:
             yield o
 
     # what is frequent is a word itself: only tokens that some word could outnumber are asked for
-    most = lexicon.agg((F.max("n") / RATIO).alias("most")).collect()[0].most or 0
+    most = longest.most or 0
     asked = map_batches(tokens.where(F.col("n") <= most), ask, "key string, token string, m bigint")
     posted = map_batches(lexicon, index, "key string, word string, n bigint")
     met = (
@@ -402,12 +415,21 @@ def _candidates(counts: DataFrame) -> DataFrame:
 
 
 def _cjk_repairs(counts: DataFrame) -> DataFrame:
-    """context, read, meant: ideographs that their neighbours show to be misread."""
-    pairs = F.create_map(*[F.lit(x) for p in CJK_CONFUSIONS.items() for x in p])
+    """context, read, meant: windows of three ideographs whose middle is misread. A window is met under what is left of
+    it without its middle (the index's one deletion), by windows that outnumber it CJK_RATIO times, and taken for the
+    most frequent one within MAX_DISTANCE, where only confusion pairs are that near."""
     c = counts.where(F.col("kind") == "c").select(F.col("a").alias("context"), F.col("b").alias("ch"), "n")
-    read = c.where(F.col("ch").isin(*CJK_CONFUSIONS)).withColumn("meant", pairs[F.col("ch")])
-    meant = c.select("context", F.col("ch").alias("meant"), F.col("n").alias("usual"))
-    return read.join(meant, ["context", "meant"]).where(F.col("usual") >= 6 * F.col("n")).select("context", F.col("ch").alias("read"), "meant")
+    asked = c.select("context", F.col("ch").alias("read"), F.col("n").alias("m"))
+    posted = c.select("context", F.col("ch").alias("meant"), F.col("n").alias("usual"))
+    met = asked.join(posted, "context").where((F.col("read") != F.col("meant")) & (F.col("usual") >= CJK_RATIO * F.col("m")))
+
+    def weigh(batches):
+        for b in batches:
+            keep = [i for i, (r, w) in enumerate(zip(b["read"], b["meant"], strict=True)) if distance(r, w) <= MAX_DISTANCE]
+            yield {k: [b[k][i] for i in keep] for k in ("context", "read", "meant", "usual")}
+
+    near = map_batches(met, weigh, "context string, read string, meant string, usual bigint")
+    return near.groupBy("context", "read").agg(F.max_by("meant", F.struct("usual", "meant")).alias("meant"))
 
 
 def _usual(counts: DataFrame, candidates: DataFrame) -> frozenset[str]:
@@ -417,9 +439,10 @@ def _usual(counts: DataFrame, candidates: DataFrame) -> frozenset[str]:
 
 
 def analyse(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, frozenset[str]]:
-    """(signs, counts, candidates, the usual words). signs: id, noise, token, prev, next, left: what each text shows. noise is 'hyphen', 'header' or 'pageno' where the
-    layout proves it; 'hyphen?' with the joined word as token and its left part, where a plain hyphen may belong to a
-    compound; 'word' with a token outside the usual words and its neighbours; 'cjk' with context and character."""
+    """(signs, counts, candidates, the usual words). signs: id, noise, token, prev, next: what each text shows. noise is
+    'hyphen', 'header' or 'pageno' where the layout proves it; 'hyphen?' with the joined word as token, where a plain
+    hyphen may belong to a compound; 'word' with a token outside the usual words and its neighbours; 'cjk' with context
+    and character."""
     spark = records.sparkSession
     counts = checkpointed(_counts(records))
     candidates = checkpointed(_candidates(counts))
@@ -430,42 +453,37 @@ def analyse(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, frozen
     def look(batches):
         usual = known.value
         for b in batches:
-            o = {k: [] for k in ("id", "noise", "token", "prev", "next", "left")}
+            o = {k: [] for k in ("id", "noise", "token", "prev", "next")}
             for i, text in zip(b["id"], b["text"], strict=True):
                 for row in _signs(text, usual):
                     for k, v in zip(o, (i, *row), strict=True):
                         o[k].append(v)
             yield o
 
-    signs = map_batches(spread(rows), look, "id string, noise string, token string, prev string, next string, left string")
+    signs = map_batches(spread(rows), look, "id string, noise string, token string, prev string, next string")
     return signs, counts, candidates, words
 
 
-def _signs(text: str, usual: frozenset[str]) -> set[tuple[str, str, str, str, str]]:
+def _signs(text: str, usual: frozenset[str]) -> set[tuple[str, str, str, str]]:
     body, numbers, headers = _body(text)
     out = set()
     if numbers:
-        out.add(("pageno", "", "", "", ""))
+        out.add(("pageno", "", "", ""))
     if headers:
-        out.add(("header", "", "", "", ""))
-    for a, mark, b in _breaks(body):
-        if mark != "-":
-            out.add(("hyphen", "", "", "", ""))
-        elif a + b in usual:
-            out.add(("hyphen", "", "", "", ""))
-        else:
-            out.add(("hyphen?", a + b, "", "", a))
+        out.add(("header", "", "", ""))
+    for _, _, a, mark, b in _breaks(body):
+        out.add(("hyphen", "", "", "") if mark != "-" or a + b in usual else ("hyphen?", a + b, "", ""))
     tokens = _words(body)
     if headers:  # a misread header is misread text too
         lines = text.split("\n")
         tokens += ["", *(w for i in sorted(headers) for w in _TOKEN.findall(lines[i]))]
     for k, w in enumerate(tokens):
         if w not in usual and len(w) > 2 and _WORDLIKE.search(w):
-            out.add(("word", w, tokens[k - 1] if k else "", tokens[k + 1] if k + 1 < len(tokens) else "", ""))
+            out.add(("word", w, tokens[k - 1] if k else "", tokens[k + 1] if k + 1 < len(tokens) else ""))
     if not text.isascii():
         for a, c, z in _CJK_ODD.findall(body.replace("\n", "")):
             if c in CJK_CONFUSIONS:
-                out.add(("cjk", _context(a, z), c, "", ""))
+                out.add(("cjk", _context(a, z), c, ""))
     return out
 
 
@@ -512,22 +530,31 @@ def noise_kinds(records: DataFrame) -> DataFrame:
     return plain.unionByName(glyph).distinct()
 
 
-def repair_text(text: str | None, words: dict[str, str], chars: dict[tuple[str, str], str], joined: set[str]) -> str | None:
+def repair_text(
+    text: str | None, words: dict[tuple[str, str, str], str], chars: dict[tuple[str, str], str], joined: Container[str]
+) -> str | None:
     """Continuous paragraphs: furniture removed, divided words joined, misread ones replaced, wrapped lines joined.
-    Lines of tables and lists (tabs, separators, bullets, short fields) stay lines."""
+    `words` gives the word meant by (word before, token, word after). Lines of tables and lists (tabs, separators,
+    bullets, short fields) stay lines."""
     if not text:
         return text
-    body, _, _ = _body(text)
-
-    def undo(m: re.Match) -> str:
-        whole = m[1] + m[3]
-        return whole if m[2] != "-" or whole in joined else m[0]
-
-    body = _BREAK.sub(undo, body)
+    body, joints = _join(_body(text)[0])
+    edits = [(at, at, gap) for at, gap, mark, whole in joints if mark == "-" and whole not in joined]
     if words:
-        body = _TOKEN.sub(lambda m: words.get(m.group(), m.group()), body)
+        tokens = list(_TOKEN.finditer(body))
+        for k, m in enumerate(tokens):
+            before, after = tokens[k - 1].group() if k else "", tokens[k + 1].group() if k + 1 < len(tokens) else ""
+            if (meant := words.get((before, m.group(), after))) is not None:
+                edits.append((m.start(), m.end(), meant))
+    if edits:
+        parts, at = [], 0
+        for s, e, new in sorted(edits):
+            if s >= at:
+                parts += [body[at:s], new]
+                at = e
+        body = "".join(parts) + body[at:]
     if chars:
-        for (context, read), meant in chars.items():
+        for (context, read), meant in sorted(chars.items()):
             a, z = map(_read_as, context.split(" "))
             body = re.sub(f"({a}\n?){read}(?=\n?{z})", lambda m, y=meant: m[1] + y, body)
     out = []
@@ -558,7 +585,7 @@ def repaired(records: DataFrame) -> DataFrame:
     _, best, cjk = _resolved(signs, counts, candidates)
     divided = _divided(signs, counts, candidates)
     fixes = (
-        best.groupBy("id").agg(F.collect_set(F.struct("token", "word")).alias("words"))
+        best.groupBy("id").agg(F.collect_set(F.struct("prev", "token", "next", "word")).alias("words"))
         .join(cjk.groupBy("id").agg(F.collect_set(F.struct("context", "read", "meant")).alias("chars")), "id", "full")
         .join(divided.groupBy("id").agg(F.collect_set("token").alias("joined")), "id", "full")
     )
@@ -570,10 +597,9 @@ def repaired(records: DataFrame) -> DataFrame:
         for b in batches:
             new = []
             for text, ws, cs, js in zip(b["text"], b["words"], b["chars"], b["joined"], strict=True):
-                joined = set(js or ())
-                if text:
-                    joined |= {a + c for a, m, c in _breaks(_body(text)[0]) if a + c in usual}
-                new.append(repair_text(text, {w["token"]: w["word"] for w in ws or ()}, {(c["context"], c["read"]): c["meant"] for c in cs or ()}, joined))
+                joined = usual.union(js) if js else usual
+                meant = {(w["prev"], w["token"], w["next"]): w["word"] for w in ws or ()}
+                new.append(repair_text(text, meant, {(c["context"], c["read"]): c["meant"] for c in cs or ()}, joined))
             yield {"id": b["id"], "text": new}
 
     return map_batches(rows, run, "id string, text string")

@@ -70,3 +70,31 @@ def test_short_words_with_two_letter_confusions(make_records):
     df = make_records([(f"c{i}", CLEAN * 3) for i in range(30)] + [("s", "The table vvas rebuilt.")])
     assert {(r.id, r.noise) for r in sn.noise_kinds(df).collect()} == {("s", "glyph")}
     assert {r.id: r.text for r in sn.repaired(df).collect()}["s"] == "The table was rebuilt."
+
+
+def test_context_decides_at_each_place(make_records):
+    rows = [(f"b{i}", "They set the bit now. ") for i in range(30)] + [(f"s{i}", "We ate the blt here. ") for i in range(30)]
+    df = make_records(rows + [("x", "They set the b1t now. We ate her b1t here.")])
+    assert {r.id: r.text for r in sn.repaired(df).collect()}["x"] == "They set the bit now. We ate her blt here."
+
+
+def test_divided_and_misread(make_records):
+    rows = [(f"c{i}", "The farm sent a letter to the collector today. ") for i in range(30)]
+    df = make_records(rows + [("a", "The fa-\nrrn sent a let-\ntcr to us."), ("b", "The farm sent a well-\nknown letter.")])
+    got = {(r.id, r.noise) for r in sn.noise_kinds(df).collect()}
+    assert got == {("a", "hyphen"), ("a", "glyph")}
+    out = {r.id: r.text for r in sn.repaired(df).collect()}
+    assert out["a"] == "The farm sent a letter to us." and "well-" in out["b"]
+
+
+def test_all_that_is_found_is_repaired(corpus):
+    texts = {r.id: r.text for r in corpus.where("id is not null").collect()}
+    out = {r.id: r.text for r in sn.repaired(corpus).collect()}
+    found = {r.id for r in sn.noise_kinds(corpus).collect()}
+    assert found and all(out[i] != texts[i] and out[i].split() != texts[i].split() for i in found)
+
+
+def test_long_words():
+    long = "a" * 60
+    assert len(sn.deletions("x" + long)) == 3 and sn.distance("lettcr", "letter") == pytest.approx(0.3)
+    assert sn.distance("吋", "时") == pytest.approx(0.3) and sn.distance("三", "五") > sn.MAX_DISTANCE
