@@ -76,8 +76,8 @@ _NUMBER = r"""(?P<n>(?:page|seite|página|pág\.|стр\.|p\.)[ ]?(?P<page>\d+)(
   | \[(?P<br>\d+)\] | (?P<slash>\d+)/\d+ | (?P<rom>[ivxlc]+) | (?P<bare>\d{1,4}))"""
 _ALONE = re.compile(rf"[ \t\x0c]*{_NUMBER}[ \t\x0c]*", re.X | re.I)
 _IN_LINE = re.compile(rf"(?P<head>\S.*?\S)[ \t]{{2,}}{_NUMBER}[ \t\x0c]*", re.X | re.I)
-_FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "6": "b", "!": "l", "†": "t", "ɑ": "a", "3": "з", "c": "e"})
-_FOLD_CJK = str.maketrans(CJK_CONFUSIONS)
+_FOLD = [("rn", "m"), ("cl", "d"), ("vv", "w"), ("li", "h"), ("0", "o"), ("1", "l"), ("i", "l"), ("5", "s"), ("6", "b"), ("!", "l"), ("†", "t"), ("ɑ", "a"), ("3", "з"), ("c", "e"), ("q", "g")]
+_CJK_READ = re.compile("[" + "".join(CJK_CONFUSIONS) + "]")
 _ROMAN = dict(zip("ivxlc", (1, 5, 10, 50, 100), strict=True))
 
 
@@ -88,9 +88,14 @@ def _roman(s: str) -> int:
 
 def _fold(text: str) -> str:
     """Lines as they look whatever was misread in them; line ends stay."""
-    line = re.sub(r"[^\S\n]{2,}|[\t\x0c]", " ", text.strip(" \t\x0c"))
-    line = (line if line.isascii() else line.translate(_FOLD_CJK)).lower()
-    return line.replace("rn", "m").replace("cl", "d").replace("vv", "w").replace("li", "h").translate(_FOLD).replace("q", "g")
+    line = text.strip(" \t\x0c")
+    if "  " in line or "\t" in line or "\x0c" in line or not line.isascii():
+        line = re.sub(r"[^\S\n]{2,}|[\t\x0c]", " ", line)
+        line = _CJK_READ.sub(lambda m: CJK_CONFUSIONS[m.group()], line)
+    line = line.lower()
+    for read, printed in _FOLD:
+        line = line.replace(read, printed)
+    return line
 
 
 def layout(text: str) -> tuple[set[int], set[int], list[str]]:
@@ -321,13 +326,20 @@ def _counts(records: DataFrame) -> DataFrame:
         dashed: Counter = Counter()
 
         def flush():
-            rows = [("w", w, "", words[w], divided[w], dashed[w]) for w in words.keys() | dashed.keys()]
-            rows += [("p", a, b, n, 0, 0) for (a, b), n in pairs.items()]
-            rows += [("c", a, b, n, 0, 0) for (a, b), n in chars.items()]
+            names = list(words.keys() | dashed.keys())
+            single = len(names)
+            out = {
+                "kind": ["w"] * single + ["p"] * len(pairs) + ["c"] * len(chars),
+                "a": [*names, *(a for a, _ in pairs), *(a for a, _ in chars)],
+                "b": [*([""] * single), *(b for _, b in pairs), *(b for _, b in chars)],
+                "n": [*(words[w] for w in names), *pairs.values(), *chars.values()],
+            }
+            none = [0] * (len(pairs) + len(chars))
+            out |= {k: [*(c[w] for w in names), *none] for k, c in (("divided", divided), ("dashed", dashed))}
             for c in (words, pairs, chars, divided, dashed):
                 c.clear()
-            if rows:
-                yield dict(zip(("kind", "a", "b", "n", "divided", "dashed"), map(list, zip(*rows, strict=True)), strict=True))
+            if out["kind"]:
+                yield out
 
         for batch in batches:
             for text in batch["text"]:
