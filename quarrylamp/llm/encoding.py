@@ -24,8 +24,8 @@ from .base import byte_bpe, map_batches
 
 #: Mean number of sure boundaries in a chunk, length from which any place may end a chunk, and the mean length then.
 SPREAD, FORCE_AFTER, FORCE_SPREAD = 160, 8192, 1024
-#: Occurrences of a chunk within one batch from which its rows are spread over SALT partitions.
-HOT, SALT = 64, 16
+#: Occurrences of a chunk within one batch from which it is frequent; tasks that its rows are dealt over.
+HOT, SALT = 8, 64
 
 _WINDOW = 16
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -118,24 +118,18 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def encode_corpus(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Token ids of every document's text by byte_bpe_50k, without special tokens: doc_id, ids.
+_REFS = "refs array<struct<doc_id:bigint,key:int,seq:int,of:int,sure:boolean>>"
 
-    Null and empty texts give an empty list; blank texts are encoded as they are; a null doc_id with text is kept as
-    a row of its own. Repeated rows of a doc_id give one row each distinct text. Other columns are ignored.
 
-    Two shuffles: chunks by their hash (equal ones meet in one task, where each is encoded once) and ids, two bytes
-    each, back by document. Rows of a chunk that is frequent within a batch are spread over SALT tasks, so a hot
-    chunk is encoded at most SALT times and no task gets all of its rows.
-    """
-    docs = documents.select("doc_id", "text")
-    filled = F.length("text") > 0
-    empty = docs.where(F.coalesce(~filled, F.lit(True))).select(
-        "doc_id", F.array().cast("array<int>").alias("ids")
-    ).distinct()
+def _chunk_rows(docs: DataFrame) -> DataFrame:
+    """h, salt, chunk, refs: each distinct chunk of a batch with the places it stands at. Those of a frequent chunk are
+    dealt over SALT tasks by the partition that they come from."""
 
     def cut(batches):
-        for number, b in enumerate(batches):
+        from pyspark import TaskContext
+
+        partition = TaskContext.get().partitionId()
+        for b in batches:
             refs, order = defaultdict(list), []
             for doc, text in zip(b["doc_id"], b["text"], strict=True):
                 at, ends = 0, chunk_ends(text)
@@ -149,30 +143,56 @@ def encode_corpus(documents: DataFrame, tokenizer: str | None = None) -> DataFra
             o = {k: [] for k in ("salt", "chunk", "refs")}
             for part in order:
                 r = refs[part]
-                o["salt"].append(number % SALT if len(r) >= HOT else 0)
+                o["salt"].append(partition % SALT if len(r) >= HOT else 0)
                 o["chunk"].append(part)
                 o["refs"].append([dict(zip(("doc_id", "key", "seq", "of", "sure"), x, strict=True)) for x in r])
             yield o
 
-    refs = "refs array<struct<doc_id:bigint,key:int,seq:int,of:int,sure:boolean>>"
-    chunks = map_batches(spread(docs.where(filled)), cut, f"salt int, chunk string, {refs}")
-    chunks = chunks.repartition(F.xxhash64("chunk"), F.col("salt"))
+    chunks = map_batches(spread(docs), cut, f"salt int, chunk string, {_REFS}")
+    return chunks.select(F.xxhash64("chunk").alias("h"), "salt", "chunk", "refs")
+
+
+def _encoded(chunks: DataFrame, tokenizer: str | None) -> DataFrame:
+    """doc_id, key, seq, of, sure, bytes (ids, two bytes each), fresh (whether the chunk was encoded for this row): equal
+    chunks of one salt meet in one task, next to each other, where the first is encoded and the others take its ids."""
+    met = chunks.repartition("h", "salt").sortWithinPartitions("h", "chunk")
 
     def encode(batches):
         enc = byte_bpe(tokenizer)
+        last, ids = None, b""
         for b in batches:
-            o = {k: [] for k in ("doc_id", "key", "seq", "of", "sure", "bytes")}
-            seen: dict[str, bytes] = {}
+            o = {k: [] for k in ("doc_id", "key", "seq", "of", "sure", "bytes", "fresh")}
             for chunk, rs in zip(b["chunk"], b["refs"], strict=True):
-                if (ids := seen.get(chunk)) is None:
-                    ids = seen[chunk] = np.asarray(enc.encode_ordinary(chunk), np.uint16).tobytes()
+                fresh = chunk != last
+                if fresh:
+                    last, ids = chunk, np.asarray(enc.encode_ordinary(chunk), np.uint16).tobytes()
                 for r in rs:
                     for k in ("doc_id", "key", "seq", "of", "sure"):
                         o[k].append(r[k])
                     o["bytes"].append(ids)
+                    o["fresh"].append(fresh)
+                    fresh = False
             yield o
 
-    parts = map_batches(chunks, encode, "doc_id bigint, key int, seq int, of int, sure boolean, bytes binary")
+    return map_batches(met.select("chunk", "refs"), encode, "doc_id bigint, key int, seq int, of int, sure boolean, bytes binary, fresh boolean")
+
+
+def encode_corpus(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """Token ids of every document's text by byte_bpe_50k, without special tokens: doc_id, ids.
+
+    Null and empty texts give an empty list; blank texts are encoded as they are; a null doc_id with text is kept as
+    a row of its own. Repeated rows of a doc_id give one row each distinct text. Other columns are ignored.
+
+    Two shuffles: chunks by their hash (equal ones meet in one task, where each is encoded once) and ids, two bytes
+    each, back by document. A chunk that comes HOT times or more within a batch is dealt over SALT tasks by the partition
+    it comes from, so it is encoded at most SALT times and no task gets all of its rows.
+    """
+    docs = documents.select("doc_id", "text")
+    filled = F.length("text") > 0
+    empty = docs.where(F.coalesce(~filled, F.lit(True))).select(
+        "doc_id", F.array().cast("array<int>").alias("ids")
+    ).distinct()
+    parts = _encoded(_chunk_rows(docs.where(filled)), tokenizer).drop("fresh")
     parts = parts.repartition("doc_id", "key").sortWithinPartitions("doc_id", "key", "seq")
 
     def assemble(batches):

@@ -53,3 +53,17 @@ def test_corpus_with_dirt(spark):
     for i, t, _ in rows:
         assert out[i] == (enc.encode_ordinary(t) if t else [])
     assert encoding.encode_corpus(df.limit(0)).count() == 0
+
+
+def test_hot_chunk_is_dealt_over_tasks_and_encoded_once_in_each(spark):
+    hot = "the same words again and again. " * 10
+    docs = spark.range(0, 800, 1, 8).selectExpr("id AS doc_id", f"'{hot}' AS text")
+    rows = encoding._chunk_rows(docs)
+    assert rows.select("salt").distinct().count() == 8 and rows.count() == 8
+    out = encoding._encoded(rows.repartition(5).union(rows.limit(0)), None)
+    assert out.where("fresh").count() == 8 and out.count() == 800
+    few = spark.range(0, 40, 1, 8).selectExpr("id AS doc_id", f"'{hot}' AS text")
+    out = encoding._encoded(encoding._chunk_rows(few), None)
+    assert out.where("fresh").count() == 1 and out.count() == 40
+    ids = encoding.encode_corpus(few).collect()
+    assert len(ids) == 40 and len({tuple(r.ids) for r in ids}) == 1
