@@ -1,6 +1,7 @@
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarrylamp.llm import encoding
 from quarrylamp.llm.base import byte_bpe
@@ -60,8 +61,16 @@ def test_hot_chunk_is_dealt_over_tasks_and_encoded_once_in_each(spark):
     docs = spark.range(0, 800, 1, 8).selectExpr("id AS doc_id", f"'{hot}' AS text")
     rows = encoding._chunk_rows(docs)
     assert rows.select("salt").distinct().count() == 8 and rows.count() == 8
-    out = encoding._encoded(rows.repartition(5).union(rows.limit(0)), None)
-    assert out.where("fresh").count() == 8 and out.count() == 800
+    wide = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "512"}
+    old = {k: spark.conf.get(k) for k in wide}
+    try:
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        out = encoding._encoded(rows, None).where("fresh").select(F.spark_partition_id().alias("p")).collect()
+        assert len({r.p for r in out}) == len(out) == 8
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
     few = spark.range(0, 40, 1, 8).selectExpr("id AS doc_id", f"'{hot}' AS text")
     out = encoding._encoded(encoding._chunk_rows(few), None)
     assert out.where("fresh").count() == 1 and out.count() == 40
