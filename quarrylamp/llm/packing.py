@@ -5,8 +5,8 @@ two unpacked items that fill the widened gap more tightly, as long as such a pai
 
 Items of one size are alike, so bins are planned on the histogram of sizes, which has at most `capacity` entries
 whatever the number of items. A filling that fits n times over is planned once and repeated n times. The plan's
-slots then go to the items by their rank within their size; ranks are dealt over BUCKETS hash buckets, so a size that
-a third of all items have is no single task's work.
+slots then go to the items by their rank within their size; a size is ranked in as many hash buckets as its count asks
+for, so one that a third of all items have is no single task's work.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .base import map_batches
+from .base import join_hot, map_batches
 from .token_budget import token_counts
 
-BUCKETS = 64
+#: Items of one size that are ranked together in a task.
+BUCKET_ROWS = 1_000_000
 
 
 def _best_pair(sizes: np.ndarray, left: np.ndarray, low: int, high: int) -> tuple[int, int] | None:
@@ -30,19 +31,12 @@ def _best_pair(sizes: np.ndarray, left: np.ndarray, low: int, high: int) -> tupl
     if not len(live):
         return None
     partner = np.searchsorted(live, high - live, side="right") - 1
-    ok = partner >= 0
-    sums = np.where(ok, live + live[np.maximum(partner, 0)], 0)
-    single = dict(zip(sizes.tolist(), left.tolist(), strict=True))
-    for i in np.argsort(-sums, kind="stable")[:8].tolist():
-        total, j = int(sums[i]), int(partner[i])
-        if total <= low:
-            return None
-        if i == j and single[int(live[i])] < 2:
-            j -= 1  # only one item of this size is left
-            if j < 0 or live[i] + live[j] <= low:
-                continue
-        return int(live[i]), int(live[j])
-    return None
+    # where a size's best partner is itself and one item of it is left, the next smaller size is
+    alone = left[np.searchsorted(sizes, live)] < 2
+    partner -= (partner == np.arange(len(live))) & alone
+    sums = np.where(partner >= 0, live + live[np.maximum(partner, 0)], 0)
+    i = int(sums.argmax())
+    return (int(live[i]), int(live[partner[i]])) if sums[i] > low else None
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
@@ -132,11 +126,14 @@ def pack(items: DataFrame, capacities: DataFrame) -> DataFrame:
         F.pmod("whole", "c.cap").alias("rest"),
         F.col("c.cap").alias("cap"),
     )
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("item_id"), F.lit(BUCKETS)).cast("int"))
-    sizes = cut.where(F.col("rest") > 0).groupBy("k", "rest", "bucket").agg(F.count("*").alias("n"))
     hist: dict[int, dict[int, int]] = {i: {} for i in range(len(kinds))}
-    for r in sizes.groupBy("k", "rest").agg(F.sum("n").alias("n")).collect():
+    for r in cut.where(F.col("rest") > 0).groupBy("k", "rest").agg(F.count("*").alias("n")).collect():
         hist[r.k][r.rest] = r.n
+    buckets = spark.createDataFrame([(k, s, -(-n // BUCKET_ROWS)) for k, h in hist.items() for s, n in h.items()], "k int, rest long, buckets int")
+    bucket = F.pmod(F.xxhash64("item_id"), "buckets").cast("int").alias("bucket")
+    # one row for each size of each capacity
+    dealt = cut.where(F.col("rest") > 0).join(F.broadcast(buckets), ["k", "rest"]).select("k", "rest", bucket, "item_id", "full")
+    sizes = dealt.groupBy("k", "rest", "bucket").agg(F.count("*").alias("n"))
     plans = {i: plan(hist[i], kinds[i][1]) for i in hist}
     shared = spark.sparkContext.broadcast({i: _slots(p) for i, p in plans.items()})
     bins = {i: sum(t for t, _ in p) for i, p in plans.items()}
@@ -145,11 +142,9 @@ def pack(items: DataFrame, capacities: DataFrame) -> DataFrame:
         base[i] = sum(bins[j] for j in range(i) if kinds[j][0] == kind)
     w = Window.partitionBy("k", "rest", "bucket").orderBy("item_id")
     earlier = Window.partitionBy("k", "rest").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begin = sizes.select("k", "rest", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    begin = sizes.select("k", "rest", "bucket", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
     ranked = (
-        cut.where(F.col("rest") > 0)
-        .withColumn("r", F.row_number().over(w) - 1)
-        .join(begin, ["k", "rest", "bucket"])
+        join_hot(dealt.withColumn("r", F.row_number().over(w) - 1), begin, ["k", "rest", "bucket"], "n")
         .select("k", "rest", (F.col("begin") + F.col("r")).alias("rank"), "item_id", "full")
     )
     names = [kind for kind, _ in kinds]
@@ -172,20 +167,19 @@ def pack(items: DataFrame, capacities: DataFrame) -> DataFrame:
     # bins that a divided item fills alone: numbered after the planned ones, by a running count in each bucket
     kind_of = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1)
     large = cut.where(F.col("full") > 0)
-    first = {}
-    for r in sorted(large.groupBy("k", "bucket").agg(F.sum("full").alias("n")).collect(), key=lambda r: (r.k, r.bucket)):
-        kind = kinds[r.k][0]
-        total = sum(bins[j] for j in bins if kinds[j][0] == kind)
-        first[r.k, r.bucket] = total + first.get(kind, 0)
-        first[kind] = first.get(kind, 0) + r.n
-    cells = [F.lit(x) for key, at in first.items() if isinstance(key, tuple) for x in (f"{key[0]}/{key[1]}", at)]
-    if not cells:
+    counts = {r.k: r.n for r in large.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return packed
-    offset = F.element_at(F.create_map(*cells), F.concat_ws("/", "k", "bucket"))
+    buckets = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, -(-n // BUCKET_ROWS))]), F.col("k"))
+    planned = F.element_at(F.create_map(*[F.lit(x) for k in counts for x in (k, sum(bins[j] for j in bins if kinds[j][0] == kinds[k][0]))]), F.col("k"))
+    large = large.withColumn("bucket", F.pmod(F.xxhash64("item_id"), buckets).cast("int"))
+    before = Window.partitionBy("kind").orderBy("k", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    at = large.groupBy("k", "bucket").agg(F.sum("full").alias("n"), F.count("*").alias("rows")).withColumn("kind", kind_of)
+    at = at.select("k", "bucket", "rows", (planned + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("offset"))
     run = Window.partitionBy("k", "bucket").orderBy("item_id").rowsBetween(Window.unboundedPreceding, -1)
     alone = (
-        large.withColumn("before", F.coalesce(F.sum("full").over(run), F.lit(0)))
-        .select("k", "item_id", "cap", (offset + F.col("before")).alias("at"), F.posexplode(F.sequence(F.lit(1), F.col("full"))).alias("part", "_n"))
+        join_hot(large.withColumn("before", F.coalesce(F.sum("full").over(run), F.lit(0))), at, ["k", "bucket"], "rows")
+        .select("k", "item_id", "cap", (F.col("offset") + F.col("before")).alias("at"), F.posexplode(F.sequence(F.lit(1), F.col("full"))).alias("part", "_n"))
         .select(
             kind_of.alias("bin_kind"), (F.col("at") + F.col("part")).cast("long").alias("bin_id"), "item_id",
             F.col("part").cast("int").alias("part"), F.col("cap").alias("n_tokens"),

@@ -1,3 +1,4 @@
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -39,3 +40,40 @@ def test_pack_with_dirt(spark):
         assert all(len(v) == 1 for k, v in per.items() if good[k] <= cap)
         assert sum(bins.values()) / (len(bins) * cap) > 0.97
     assert packing.pack(items.limit(0), caps).count() == 0 and packing.pack(items, caps.limit(0)).count() == 0
+
+
+def test_best_pair_compares_all():
+    sizes = np.array([30, 50, 60])
+    assert sorted(packing._best_pair(sizes, np.array([1, 1, 1]), 20, 100)) == [30, 60]
+    assert packing._best_pair(sizes, np.array([1, 2, 1]), 20, 100) == (50, 50)
+    assert packing._best_pair(sizes, np.array([1, 1, 1]), 95, 100) is None
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        s = np.unique(rng.integers(1, 60, rng.integers(1, 9)))
+        n = rng.integers(0, 3, len(s))
+        low, high = int(rng.integers(1, 40)), int(rng.integers(40, 110))
+        items = [int(v) for v, k in zip(s, n, strict=True) for _ in range(k)]
+        best = max((a + b for i, a in enumerate(items) for b in items[i + 1 :] if a + b <= high and max(a, b) < high), default=0)
+        got = packing._best_pair(s, n, low, high)
+        assert (sum(got) if got else None) == (best if best > low else None)
+
+
+def test_sizes_and_large_items_in_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 7)
+    rows = [(f"i{k:03d}", 40) for k in range(90)] + [(f"l{k:02d}", 250 + k) for k in range(30)]
+    items = spark.createDataFrame(rows, "item_id string, n_tokens long")
+    caps = spark.createDataFrame([("a", 100), ("a", 120), ("b", 100)], "bin_kind string, capacity_tokens int")
+    out = packing.pack(items, caps).collect()
+    fill = {}
+    for r in out:
+        fill.setdefault((r.bin_kind, r.bin_id), []).append(r)
+    for kind, times in (("a", 2), ("b", 1)):
+        total = {}
+        for r in out:
+            if r.bin_kind == kind:
+                total[r.item_id] = total.get(r.item_id, 0) + r.n_tokens
+        assert total == {i: n * times for i, n in rows}
+        ids = sorted(b for k, b in fill if k == kind)
+        assert ids == list(range(ids[0], ids[0] + len(ids)))
+    assert all(sum(r.n_tokens for r in rs) <= 120 for rs in fill.values())
+    assert all(len(rs) == 1 for rs in fill.values() if rs[0].n_tokens in (100, 120))
