@@ -2,7 +2,7 @@
 
 Method: round-trip repair. Stretches of a text are re-encoded under a candidate legacy encoding and decoded strictly
 as the intended one; a stretch is replaced where that succeeds and its garbling cost drops, and the whole is repeated
-for nested layers. What can't be turned back (replacement characters, bytes lost on the way) still marks a text.
+for nested layers until nothing gets cheaper. What can't be turned back (replacement characters, bytes lost on the way) still marks a text.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..session import spread
 from .base import map_batches
 
-MAX_LAYERS = 5
 #: Encodings of one byte a character under which UTF-8 is misread. Undefined bytes stay as control characters.
 SINGLE = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1250", "cp1251", "koi8_r", "cp866")
 #: Misread by itself a Cyrillic page gives letters, so a lone pair proves nothing there.
@@ -114,6 +113,7 @@ _UTF8_RUN = re.compile(
 
 def _fix_double(text: str, name: str) -> str:
     """UTF-8 that was read as a two-byte encoding (GBK, Big5): runs whose bytes are mostly valid UTF-8."""
+    lone: list[bool] = []  # whether the text hardly has ideographs, looked up once
 
     def one(m: re.Match) -> str:
         run = m.group()
@@ -123,8 +123,11 @@ def _fix_double(text: str, name: str) -> str:
             return run
         if len(run) <= 2:
             a, b = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
-            if not (a.isascii() and a.isalnum() or b.isascii() and b.isalnum()) and not _lone(text):
-                return run
+            if not (a.isascii() and a.isalnum() or b.isascii() and b.isalnum()):
+                if not lone:
+                    lone.append(_lone(text))
+                if not lone[0]:
+                    return run
             try:
                 new = raw.decode("utf-8")
             except UnicodeDecodeError:
@@ -146,7 +149,7 @@ def _fix_double(text: str, name: str) -> str:
 
 def _lone(text: str) -> bool:
     """Whether the text has Latin letters but hardly any run of ideographs, so that a lone one is odd."""
-    return len(_CJK_RUN.findall(text)) == 0
+    return not _CJK_RUN.search(text)
 
 
 _CJK_RUN = re.compile(r"[一-龥]{4}")
@@ -246,7 +249,12 @@ def _fix_cyrillic(text: str, read_as: str, intended: str) -> str:
 _UPSIDE = re.compile("[а-яё][А-ЯЁ]|[А-ЯЁ]{4}")
 #: Two neighbours of which no plain text but a misread one has many: what single-byte repair looks at.
 _PAIR = re.compile("[\x80-\u024f\u0391-\u03c9\u2010-\u25ff\ufb01]{2}|[А-яЁё][^\x00-\x7fА-яЁё。，：、（）；！？“”\u4e00-\u9fa5]|[Р-Я][Ё-Џё-ў]")
-_LEFT = re.compile("[\x80-\x84\x86-\x9f�-]")
+#: What only a wrong decoding leaves: the replacement character, a private-use character beside an ideograph, a control
+#: character beside a sign of another page or inside the four bytes of a GB18030 character.
+_LEFT = re.compile("\ufffd|(?<=[一-鿿])[\ue000-\uf8ff]|[\ue000-\uf8ff](?=[一-鿿])|[\x80-\x84\x86-\x9f](?=[^\x00-\x7f])|(?<=[^\x00-\x7f])[\x80-\x84\x86-\x9f]|[\x81-\x9f][0-9][\x81-\xfe][0-9]")
+_MAYBE_LEFT = re.compile("[\x80-\x9f\ufffd\ue000-\uf8ff]")
+#: Control characters that are signs in Windows-1252, inside text.
+_SIGNS = re.compile("(?<=[\\w .,)])[\x80\x82-\x84\x86-\x8c\x8e\x91-\x9c\x9e\x9f]|[\x80\x82-\x84\x86-\x8c\x8e\x91-\x9c\x9e\x9f](?=[\\w ])")
 _GBK_SIGN = re.compile(rb"(?:[\xe2-\xe9\xef][\x80-\xbf]{2}){2}|(?:[\xd0\xd1][\x80-\xbf]){5}|\xf0[\x90-\xbf][\x80-\xbf]{2}")
 
 
@@ -271,13 +279,23 @@ def _may_be_double(text: str, name: str) -> bool:
     return bool(_GBK_SIGN.search(raw) or _LONE[name].search(text))
 
 
+def _unreadable(text: str) -> bool:
+    return bool(_MAYBE_LEFT.search(text) and _LEFT.search(text))
+
+
+def _fix_signs(text: str) -> str:
+    """Windows-1252 that was read as Latin-1: quotes, dashes and the like became control characters."""
+    return _SIGNS.sub(lambda m: m.group().encode("latin-1").decode("cp1252"), text)
+
+
 def repair(text: str | None) -> tuple[str | None, bool, list[str]]:
     """(text with all that can be restored, whether it was garbled, the layers undone from the outside in)."""
     if not text or text.isascii():
         return text, False, []
     layers: list[str] = []
-    garbled = bool(_LEFT.search(text))
-    for _ in range(MAX_LAYERS):
+    garbled = _unreadable(text)
+    seen = {text}
+    while True:
         found = [(n, _fix_double(text, n)) for n in ("gbk", "big5") if _may_be_double(text, n)]
         found = [(f"utf-8 as {n}", new) for n, new in found]
         if _PAIR.search(text):
@@ -304,8 +322,15 @@ def repair(text: str | None) -> tuple[str | None, bool, list[str]]:
             break
         if not found:
             break
-        _, how, text = min(found)
+        _, how, new = min(found)
+        if new in seen:
+            break
+        seen.add(new)
+        text = new
         layers.append(how)
+    if not layers and _MAYBE_LEFT.search(text) and (new := _fix_signs(text)) != text:
+        text = new
+        layers.append("cp1252 as latin-1")
     return text, garbled or bool(layers), layers
 
 
@@ -324,7 +349,7 @@ def repair_documents(documents: DataFrame) -> DataFrame:
             for doc, text in zip(b["doc_id"], b["text"], strict=True):
                 new, garbled, layers = repair(text)
                 if garbled:
-                    for k, v in zip(o, (doc, new, layers, not _LEFT.search(new)), strict=True):
+                    for k, v in zip(o, (doc, new, layers, not _unreadable(new)), strict=True):
                         o[k].append(v)
             yield o
 

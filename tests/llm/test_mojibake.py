@@ -55,3 +55,29 @@ def test_dos_and_iso_cyrillic_pages(page, read):
     chars = mojibake._byte_chars(read)
     new, garbled, layers = mojibake.repair("".join(chars[b] for b in RU.encode(page)))
     assert garbled and new == RU and layers == [f"{page} as {read}"]
+
+
+def test_signs_read_as_latin_1():
+    assert mojibake.repair("it\x92s the \x93same\x94 \x96 once") == ("it’s the “same” – once", True, ["cp1252 as latin-1"])
+    assert mojibake.repair("next\x85line")[1] is False
+
+
+def test_private_use_alone_proves_nothing():
+    assert mojibake.repair("press  to go on")[1] is False and mojibake.repair("录")[1] is True
+
+
+def test_many_layers_and_long_texts_in_proportion():
+    import time
+
+    text = want = "Prüfgerät für Höchstwerte, déjà vérifié. "
+    for _ in range(7):
+        text = text.encode("utf-8").decode("latin-1")
+    new, garbled, layers = mojibake.repair(text)
+    assert new == want and garbled and len(layers) == 7
+    part = "恥��亥砭頝舐�勗極雿�銵� v6.6.36\n"
+    took = []
+    for n in (200, 2000):
+        t = time.process_time()
+        mojibake.repair(part * n)
+        took.append(time.process_time() - t)
+    assert took[1] < 40 * took[0] + 0.5
