@@ -4,9 +4,11 @@ Method: multilingual mixture inference. Every segment (a sentence, or a paragrap
 under each language's n-gram model; expectation-maximisation estimates the document's language proportions from them,
 and the set of languages grows while the likelihood gains more than a penalty for each.
 
-Languages with a script of their own need no fitting; the others have character-trigram models fitted on a bounded
-sample of labelled texts (SAMPLE for each language), refitted once without the texts that the first fit puts elsewhere,
-since labels are unreliable.
+All six languages have n-gram models (character trigrams of words, pairs of ideographs) fitted on a bounded sample of
+labelled texts (SAMPLE for each language), refitted once without the segments that the first fit puts elsewhere, since
+labels are unreliable and texts are mixed. A text with many letters that its likeliest language doesn't have is in another language; one in
+another language with the same letters gets the nearest of the six, as a narrow corpus can't tell it from an unusual
+text.
 """
 
 from __future__ import annotations
@@ -16,27 +18,38 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import spread
 from .base import has_text, label_lang, map_batches
 
 LANGS = ("zh", "ru", "en", "fr", "es", "de")
-FITTED = ("en", "fr", "es", "de")
-#: Labelled texts on which a language's model is fitted, at most.
-SAMPLE = 500
+#: What a text in none of these languages comes out as.
+OTHER = "other"
+#: Labelled texts on which a language's model is fitted, at most, and characters of each of them.
+SAMPLE, SAMPLE_CHARS = 500, 20_000
 MIN_CHARS = 60
 #: Log-likelihood that a further language must gain; whole sentences of a passage in it.
 PENALTY, SENTENCES = 12.0, 2
 #: Log-likelihood by which a lone segment in another language must beat the main one.
 MARGIN = 8.0
-_ALPHA, _KINDS = 0.05, 8000.0
-
-#: Words that can tell a language: no parts of names with numbers, addresses or identifiers, none all in capitals.
-_WORD = re.compile(r"(?<![\w@.+-])[A-Za-zÀ-ÖØ-öø-ÿŒœẞ]*[a-zà-öø-ÿœß](?![\w@+]|-\d|\.\w)")
+#: Share of a text's letters, and number of them, that its language doesn't have, from which it is in another language.
+STRANGE, STRANGE_LETTERS = 0.05, 8
+_ALPHA = 0.05
+#: Kinds of n-grams reckoned with in each script: trigrams of Latin and Cyrillic words, pairs of ideographs.
+_KINDS = (8000.0, 8000.0, 60_000.0)
+
+_LATIN, _CYRILLIC = "A-Za-zÀ-ÖØ-öø-ÿŒœẞ", "А-яЁЂ-Џѐ-џҐґ"
+#: Words that can tell a language: no parts of names with numbers, addresses or identifiers, none all in capitals; and
+#: runs of ideographs.
+_WORD = re.compile(
+    rf"(?<![\w@.+-])(?:[{_LATIN}]*[a-zà-öø-ÿœß]|[{_CYRILLIC}]*[а-яѐ-џґ])(?![\w@+]|-\d|\.\w)|[一-鿿]+"
+)
 _CJK = re.compile(r"[一-鿿]")
-_CYR = re.compile(r"[А-яЁё]")
+_CYR = re.compile(rf"[{_CYRILLIC}]")
+_ODD = re.compile(r"[^\W\d_\x00-\x7f一-鿿]")
+_PLAIN = re.compile("[A-Za-z一-鿿]")
 _END = re.compile(r"(?<=[.!?…])[\"'”’»)]*\s+(?=[\"'“‘«(¿¡-]*\s?[A-ZÀ-ÖØ-ÞА-ЯЁ\d一-鿿])|(?<=[。！？])[”’」』）]*\s*|\n[ \t]*\n\s*|\n(?=[-•*] )")
 
 
@@ -52,100 +65,133 @@ def segments(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _units(part: str) -> list[str]:
+    """Words of a text, and its ideographs in pairs of neighbours."""
+    found = _WORD.findall(part)
+    if part.isascii():
+        return found
+    out = []
+    for w in found:
+        if w[0] < "一":
+            out.append(w)
+        elif len(w) == 1:
+            out.append(w)
+        else:
+            out += map("".join, zip(w, w[1:], strict=False))
+    return out
+
+
+def _script(unit: str) -> int:
+    """0 Latin, 1 Cyrillic, 2 ideographs."""
+    return 2 if unit[0] >= "一" else 1 if "Ѐ" <= unit[0] < "԰" else 0
+
+
+def _grams(unit: str) -> list[str]:
+    if unit[0] >= "一":
+        return [unit]
+    p = f"^{unit.lower()}$"
+    return [p[i : i + 3] for i in range(len(p) - 2)]
+
+
 class Model:
-    """Trigram log-probabilities of words under each fitted language."""
+    """Log-probabilities of n-grams under each language: that of the n-gram's script in the language, times that of the
+    n-gram among those of the script. `letters` are each language's letters beyond ASCII and ideographs."""
 
     def __init__(self, counts: dict[str, Counter]):
-        self.grams = [counts[k] for k in FITTED]
-        self.norm = np.array([math.log(sum(c.values()) + _ALPHA * _KINDS) for c in self.grams])
+        self.grams = [counts[k] for k in LANGS]
+        self.letters = []
+        for c in self.grams:
+            seen: Counter = Counter()
+            for g, n in c.items():
+                for x in g:
+                    if not x.isascii() and x < "一":
+                        seen[x] += n
+            most = max(3, sum(c.values()) // 2000)
+            self.letters.append(frozenset(x for x, n in seen.items() if n >= most))
+        self.base = np.empty((3, len(LANGS)))
+        for j, c in enumerate(self.grams):
+            held = np.zeros(3)
+            for g, n in c.items():
+                held[_script(g.strip("^$") or "a")] += n
+            for s in range(3):
+                self.base[s, j] = math.log((held[s] + 1) / (held.sum() + 3)) - math.log(held[s] + _ALPHA * _KINDS[s])
+        self._clear()
+
+    def _clear(self) -> None:
         self.places: dict[str, int] = {}
-        self.rows = np.empty((1024, len(FITTED)))
+        self.rows = np.empty((1024, len(LANGS)))
 
     def __getstate__(self):
-        return {"grams": self.grams, "norm": self.norm, "places": {}, "rows": np.empty((1024, len(FITTED)))}
+        return {"grams": self.grams, "letters": self.letters, "base": self.base}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._clear()
 
-    def words(self, words: list[str]) -> np.ndarray:
-        """Log-probabilities of each word under each fitted language; a word's are reckoned once."""
+    def units(self, units: list[str]) -> np.ndarray:
+        """Log-probabilities of each unit under each language; a unit's are reckoned once."""
         if len(self.places) > 500_000:
-            self.places.clear()
+            self._clear()
         ids = []
-        for w in words:
+        for w in units:
             if (k := self.places.get(w)) is None:
                 k = self.places[w] = len(self.places)
                 if k == len(self.rows):
                     self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-                p = f"^{w.lower()}$"
-                grams = [p[i : i + 3] for i in range(len(p) - 2)]
-                self.rows[k] = [
-                    sum(math.log(c.get(g, 0) + _ALPHA) for g in grams) - len(grams) * n for c, n in zip(self.grams, self.norm, strict=True)
-                ]
+                grams, script = _grams(w), _script(w)
+                for j, c in enumerate(self.grams):
+                    self.rows[k, j] = sum(math.log(c.get(g, 0) + _ALPHA) for g in grams) + len(grams) * self.base[script, j]
             ids.append(k)
         return self.rows[ids]
 
 
-def _trigrams(words: Counter) -> Counter:
-    out: Counter = Counter()
-    for w, n in words.items():
-        p = f"^{w.lower()}$"
-        for i in range(len(p) - 2):
-            out[p[i : i + 3]] += n
-    return out
-
-
 def fit(texts: dict[str, list[str]]) -> Model:
-    """Fits the models on texts by label, drops what they put under another label, and fits again. A language without
-    texts gets the pooled counts, so it never wins by being unknown."""
-    words = {k: [Counter(_WORD.findall(t)) for t in texts.get(k, [])] for k in FITTED}
-    keep = {k: [True] * len(words[k]) for k in FITTED}
+    """Fits the models on texts by label, then again on those segments of them only that the first fit puts under their
+    label, since labels are unreliable and texts are mixed. A language without texts gets the pooled counts of all, so it
+    never wins by being unknown."""
+    cut = {k: [(t, segments(t)) for t in texts.get(k, [])] for k in LANGS}
     model = None
     for _ in range(2):
-        counts = {}
-        for k in FITTED:
-            total: Counter = Counter()
-            for c, ok in zip(words[k], keep[k], strict=True):
-                if ok:
-                    total.update(c)
-            counts[k] = _trigrams(total)
+        counts: dict[str, Counter] = {}
+        for j, k in enumerate(LANGS):
+            units: Counter = Counter()
+            for t, spans in cut[k]:
+                keep = spans
+                if model and spans:
+                    best = likelihoods(t, spans, model)[0].argmax(axis=1)
+                    keep = [span for span, i in zip(spans, best, strict=True) if i == j]
+                for s, e in keep:
+                    units.update(_units(t[s:e]))
+            counts[k] = Counter()
+            for u, n in units.items():
+                for g in _grams(u):
+                    counts[k][g] += n
         pooled: Counter = Counter()
         for c in counts.values():
             pooled.update(c)
         model = Model({k: c or pooled for k, c in counts.items()})
-        for j, k in enumerate(FITTED):
-            for i, c in enumerate(words[k]):
-                score = np.array(list(c.values())) @ model.words(list(c)) if c else np.zeros(1)
-                keep[k][i] = bool(c) and int(score.argmax()) == j
     return model
 
 
-def likelihoods(text: str, spans: list[tuple[int, int]], model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Log-likelihood of every segment under each of LANGS, and which segments tell a language at all: those with
-    five ideographs, three Cyrillic letters or two words in small letters."""
+def likelihoods(text: str, spans: list[tuple[int, int]], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log-likelihood of every segment under each of LANGS, which segments tell a language at all: those with five
+    ideographs, three Cyrillic letters or two words in small letters; and their weights: the letters of words that
+    aren't capitalised, as lists of names belong to any language)."""
     n = len(spans)
     out = np.zeros((n, len(LANGS)))
-    found, sizes = [], np.zeros(n, int)
-    cjk, cyr, chars, small = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n, int)
+    found, sizes, told, weights = [], np.zeros(n, int), np.zeros(n, bool), np.ones(n)
     for i, (s, e) in enumerate(spans):
         part = text[s:e]
-        if not part.isascii():
-            cjk[i], cyr[i] = len(_CJK.findall(part)), len(_CYR.findall(part))
-        words = _WORD.findall(part)
-        found += words
-        sizes[i] = len(words)
-        chars[i] = len("".join(words))
-        small[i] = sum(w[0].islower() for w in words[:12]) if len(words) > 1 else 0
-    told = (cjk > 4) | (cyr > 2) | (small > 1)
-    latin = np.zeros((n, len(FITTED)))
+        units = _units(part)
+        found += units
+        sizes[i] = len(units)
+        small = sum(w[0].islower() for w in units[:12]) if len(units) > 1 else 0
+        weights[i] += sum(len(w) for w in units if not w[0].isupper())
+        told[i] = small > 1 or not part.isascii() and (len(_CYR.findall(part)) > 2 or len(_CJK.findall(part)) > 4)
     if found:
         some = sizes > 0
-        latin[some] = np.add.reduceat(model.words(found), (np.cumsum(sizes) - sizes)[some], axis=0)
-    # a letter of another script costs more than an unseen trigram; Latin words are no likelier in a text of another
-    # script than in the least fitting Latin language
-    far, foreign = 9.0, latin.min(axis=1) - 0.3 * chars
-    out[:, 0] = foreign - 6.0 * cjk - far * cyr
-    out[:, 1] = foreign - 6.0 * cyr - far * cjk
-    # an ideograph says about as much as three letters
-    out[:, 2:] = latin - (far * (3 * cjk + cyr))[:, None]
-    return out, told
+        out[some] = np.add.reduceat(model.units(found), (np.cumsum(sizes) - sizes)[some], axis=0)
+    return out, told, weights
 
 
 def mixture(loglik: np.ndarray, weights: np.ndarray, penalty: float = PENALTY) -> tuple[list[int], np.ndarray, np.ndarray]:
@@ -185,13 +231,16 @@ def analyse(text: str, model: Model) -> tuple[list[tuple[str, float]], list[tupl
     other language). A passage has at least SENTENCES whole sentences; what is shorter belongs to the language
     around it."""
     spans = segments(text)
-    loglik, tells = likelihoods(text, spans, model)
+    loglik, tells, weights = likelihoods(text, spans, model)
     told = np.flatnonzero(tells)
     if not len(told):
-        return [], []
+        strange, letters = _strange(text, frozenset())
+        return ([(OTHER, strange / letters)], []) if strange >= STRANGE_LETTERS and 2 * strange > letters else ([], [])
     x = loglik[told]
-    sizes = np.array([e - s for s, e in spans], float)[told]
-    langs, pi, r = mixture(x, sizes)
+    langs, pi, r = mixture(x, weights[told])
+    strange, letters = _strange(text, frozenset().union(*(model.letters[k] for k in langs)))
+    if strange >= STRANGE_LETTERS and strange > STRANGE * letters:
+        return [(OTHER, min(1.0, strange / (2 * STRANGE * letters)))], []
     order = np.argsort(-pi)
     main = langs[int(order[0])]
     runs: list[tuple[int, int, int, float]] = []
@@ -227,6 +276,14 @@ def analyse(text: str, model: Model) -> tuple[list[tuple[str, float]], list[tupl
     return out, [(s, e, LANGS[k], c) for s, e, k, c in runs]
 
 
+def _strange(text: str, known: frozenset[str]) -> tuple[int, int]:
+    """(letters that are neither ASCII, ideographs nor known; all letters)."""
+    if text.isascii():
+        return 0, len(text)
+    odd = _ODD.findall(text)
+    return sum(c.lower() not in known for c in odd), len(odd) + len(_PLAIN.findall(text))
+
+
 def _whole(text: str, span: tuple[int, int], lang: int) -> bool:
     """Whether the segment is a sentence with its end, long enough to be one."""
     part = text[span[0] : span[1]].rstrip(" \n\t\"'”’»)]")
@@ -234,18 +291,17 @@ def _whole(text: str, span: tuple[int, int], lang: int) -> bool:
 
 
 def fit_on(records: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model fitted on at most `sample` texts for each fitted language, picked by the hash of their id."""
-    labelled = records.where(F.col("id").isNotNull() & has_text()).select("id", label_lang("lang").alias("lang"), "text").where(F.col("lang").isin(*FITTED))
-    sizes = {r.lang: r["count"] for r in labelled.select("lang").groupBy("lang").count().collect()}
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
-    pick = F.lit(False)
-    for k, n in sizes.items():
-        pick = pick | ((F.col("lang") == k) & (place < int(min(1.0, sample / n) * (1 << 20))))
-    texts: dict[str, list[str]] = {k: [] for k in FITTED}
-    rows = sorted(labelled.where(pick).select("lang", "id", "text").limit(2 * sample * len(FITTED)).collect(), key=lambda r: (r.id, r.text))
-    for r in rows:
-        if len(texts[r.lang]) < sample:
-            texts[r.lang].append(r.text)
+    """The model fitted on `sample` texts for each language at most, those with the smallest hashes of their ids, and on
+    SAMPLE_CHARS characters of each of them, taken from its middle. One pass over the texts."""
+    labelled = records.where(F.col("id").isNotNull() & has_text()).select("id", label_lang("lang").alias("lang"), "text").where(F.col("lang").isin(*LANGS))
+    at = F.greatest(F.floor((F.length("text") - SAMPLE_CHARS) / 2), F.lit(0)).cast("int") + 1
+    row = F.struct(F.xxhash64("id").alias("h"), "id", F.substring("text", at, F.lit(SAMPLE_CHARS)).alias("text"))
+    w = Window.partitionBy("lang").orderBy("h", "id", "text")
+    # each task hands on the best rows of its own only
+    first = labelled.select("lang", row.alias("r")).select("lang", "r.*").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= sample)
+    texts: dict[str, list[str]] = {k: [] for k in LANGS}
+    for r in sorted(first.select("lang", "h", "id", "text").collect(), key=lambda r: (r.h, r.id, r.text)):
+        texts[r.lang].append(r.text)
     return fit(texts)
 
 
@@ -255,7 +311,7 @@ def identify(records: DataFrame, model: Model | None = None, min_chars: int = 1)
 
     label is the language that the record's own label names, '' if none. Null ids, null and blank texts and texts of
     fewer than `min_chars` code points give no row; a text that tells no language (digits, names) gives one with lang
-    null and confidence 0. Repeated rows count once. One pass, no shuffle of texts; the model is small and fixed in
+    null and confidence 0, one in none of the languages has lang 'other'. Repeated rows count once. One pass, no shuffle of texts; the model is small and fixed in
     size by the number of trigrams.
     """
     shared = records.sparkSession.sparkContext.broadcast(model or fit_on(records))
@@ -282,7 +338,7 @@ def identify(records: DataFrame, model: Model | None = None, min_chars: int = 1)
 def mislabelled(records: DataFrame, model: Model | None = None) -> DataFrame:
     """id, lang: every language of each text of at least MIN_CHARS whose label names none of them or that has a passage
     in a second one."""
-    found = identify(records, model, MIN_CHARS).where(F.col("lang").isNotNull())
+    found = identify(records, model, MIN_CHARS).where(F.col("lang").isin(*LANGS))
     per = found.groupBy("id").agg(
         F.collect_set("lang").alias("langs"),  # at most the languages there are
         F.max("label").alias("label"),

@@ -16,7 +16,7 @@ SENTENCES = {
 
 @pytest.fixture(scope="module")
 def model():
-    return languages.fit({k: [" ".join(SENTENCES[k])] * 3 for k in languages.FITTED} | {"en": [" ".join(SENTENCES["en"])] * 3 + [" ".join(SENTENCES["fr"])]})
+    return languages.fit({k: [" ".join(SENTENCES[k])] * 3 for k in languages.LANGS} | {"en": [" ".join(SENTENCES["en"])] * 3 + [" ".join(SENTENCES["fr"])]})
 
 
 @pytest.mark.parametrize("lang", languages.LANGS)
@@ -57,7 +57,34 @@ def test_held_out_accuracy(spark):
     def make(k):
         words = " ".join(SENTENCES[k]).replace(".", "").split()
         return " ".join(rng.choice(words) for _ in range(12)) + "."
-    m = languages.fit({k: [make(k) for _ in range(30)] for k in languages.FITTED})
-    ask = [(k, make(k)) for k in languages.FITTED for _ in range(25)]
+    m = languages.fit({k: [make(k) for _ in range(30)] for k in languages.LANGS})
+    ask = [(k, make(k)) for k in languages.LANGS for _ in range(25)]
     right = sum(languages.analyse(t, m)[0][:1] != [] and languages.analyse(t, m)[0][0][0] == k for k, t in ask)
     assert right / len(ask) >= 0.97
+
+
+UKRAINIAN = "Нічна зміна перевірила сервер і нічого не знайшла. Кожен запит зберегли до повернення живлення. Будь ласка, надішліть звіт до офісу."
+JAPANESE = "夜勤はサーバーを確認し、何も問題を見つけませんでした。すべての要求は電源が戻る前に保存されました。"
+
+
+def test_other_languages_by_their_letters(model):
+    for text in (UKRAINIAN, JAPANESE, "Η νυχτερινή βάρδια έλεγξε τον διακομιστή και δεν βρήκε τίποτα.", "야간 근무조가 서버를 점검했지만 아무 문제도 찾지 못했습니다."):
+        langs, runs = languages.analyse(text, model)
+        assert [k for k, _ in langs] == [languages.OTHER] and not runs
+
+
+def test_scripts_are_told_by_their_n_grams(model):
+    # an English sentence inside Chinese text, and Latin names, change nothing
+    text = "".join(SENTENCES["zh"]) + "请把 server report 发送到 office 办公室。"
+    assert [k for k, _ in languages.analyse(text, model)[0]] == ["zh"]
+    mixed = "".join(SENTENCES["zh"]) + "\n\n" + " ".join(SENTENCES["ru"][:2])
+    assert {k for k, _ in languages.analyse(mixed, model)[0]} == {"zh", "ru"}
+
+
+def test_sample_is_bounded(spark, make_records, monkeypatch):
+    monkeypatch.setattr(languages, "SAMPLE_CHARS", 50)
+    seen = {}
+    monkeypatch.setattr(languages, "fit", lambda texts: seen.update(texts))
+    rows = [(f"{k}{i}", " ".join(SENTENCES[k]), k) for k in languages.LANGS for i in range(9)]
+    languages.fit_on(make_records(rows + [("n", None, "en"), ("b", " ", "en"), ("x", "ciao a tutti", "it")]), sample=4)
+    assert {k: len(v) for k, v in seen.items()} == dict.fromkeys(languages.LANGS, 4) and all(len(t) <= 50 for v in seen.values() for t in v)
