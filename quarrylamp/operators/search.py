@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import spread
+from .index import Store
 
 K1, B, RRF_K = 1.2, 0.75, 60
 MODES = ("fts", "dense", "hybrid")
@@ -65,11 +66,8 @@ def bm25_stats(chunks: DataFrame) -> DataFrame:
     return each.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def bm25(chunks: DataFrame, queries: list[Query], fetch_k: int, condition: Column | None = None) -> DataFrame:
-    """query_id, chunk_id, doc_id, path, score, rank (from 0) of each query's best chunks by Okapi BM25, with
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)) over all chunks. The condition applies before the cut; statistics are of the
-    whole corpus. Only counts of query terms leave the scan."""
-    terms = sorted({t for q in queries for t in tx.fold_query(q.text)})
+def _scanned(chunks: DataFrame, terms: list[str], condition: Column | None) -> tuple[DataFrame, DataFrame]:
+    """(postings of the terms, totals) of a chunk table without an index. Only counts of query terms leave the scan."""
     toks = _tokens(chunks)
     keep = condition if condition is not None else F.lit(True)
     base = toks.groupBy("chunk_id").agg(
@@ -79,18 +77,36 @@ def bm25(chunks: DataFrame, queries: list[Query], fetch_k: int, condition: Colum
         F.min("doc_id").alias("doc_id"),
         F.min("path").alias("path"),
     )
-    totals = base.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).withColumn("_k", F.lit(1))
+    totals = base.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     key = ["chunk_id", "doc_id", "path", "dl", "keep"]
-    posts = base.select(*key, F.explode("met").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
+    return base.select(*key, F.explode("met").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf")), totals
+
+
+def bm25(chunks: DataFrame | Store, queries: list[Query], fetch_k: int, condition: Column | None = None, spark: SparkSession | None = None) -> DataFrame:
+    """query_id, chunk_id, doc_id, path, score, rank (from 0) of each query's best chunks by Okapi BM25, with
+    idf = ln(1 + (N - df + 0.5) / (df + 0.5)) over all chunks. The condition applies before the cut; statistics are of the
+    whole corpus.
+
+    Of a Store only the postings of the query terms are read, and the condition may speak of doc_id, path, lang and ext;
+    a DataFrame is scanned whole."""
+    terms = sorted({t for q in queries for t in tx.fold_query(q.text)})
+    if isinstance(chunks, Store):
+        spark = spark or SparkSession.active()
+        posts = chunks.postings(spark, terms)
+        keep = F.coalesce(condition, F.lit(False)) if condition is not None else F.lit(True)
+        posts, totals = posts.withColumn("keep", keep), chunks.totals(spark)
+    else:
+        spark = chunks.sparkSession
+        posts, totals = _scanned(chunks, terms, condition)
     dfs = posts.groupBy("term").agg(F.count("*").alias("df"))
     pairs = sorted({(q.query_id, t) for q in queries for t in tx.fold_query(q.text)})
-    asked = chunks.sparkSession.createDataFrame(pairs or [("", "")], "query_id string, term string").where("term <> ''")
+    asked = spark.createDataFrame(pairs or [("", "")], "query_id string, term string").where("term <> ''")
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     scored = (
         posts.where("keep").withColumn("_k", F.lit(1))
         .join(F.broadcast(dfs), "term")  # no more rows than the queries have terms
-        .join(F.broadcast(totals), "_k")  # one row
+        .join(F.broadcast(totals.withColumn("_k", F.lit(1))), "_k")  # one row
         .join(F.broadcast(asked), "term")
         .groupBy("query_id", "chunk_id", "doc_id", "path")
         .agg(F.round(F.sum(weight), 6).alias("score"))
@@ -152,11 +168,15 @@ def _nearest(shared, dim: int, k: int, cols: list[str], schema: str):
             x = flat.reshape(-1, dim).astype(np.float64)
             x /= np.linalg.norm(x, axis=1)[:, None]
             sims = np.round(q @ x.T, 6)
-            take = min(3 * k, sims.shape[1])  # repeated rows may hold places
+            _, first = np.unique(b.column(0).to_numpy(zero_copy_only=False), return_index=True)
+            again = np.ones(sims.shape[1], bool)
+            again[first] = False  # repeated rows must hold no places
+            sims[:, again] = -9
+            take = min(k, sims.shape[1])
             best = np.argpartition(-sims, take - 1, axis=1)[:, :take]
             # all rows as good as the last one taken stay in, so ties are cut by key, not by chance
             edge = np.take_along_axis(sims, best, 1).min(axis=1)
-            qi, xi = np.nonzero(sims >= edge[:, None])
+            qi, xi = np.nonzero((sims >= edge[:, None]) & ~again)
             idx = pa.array(xi)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([names[i] for i in qi], pa.string()), *[b.column(c).take(idx) for c in range(len(cols))], pa.array(sims[qi, xi])],
@@ -183,10 +203,10 @@ def group_by_doc(hits: DataFrame, per_doc: int, top: int) -> DataFrame:
 
 
 def search(
-    chunks: DataFrame, queries: list[Query], mode: str = "hybrid", top: int = 10, per_doc: int = 2, rrf_k: int = RRF_K,
+    chunks: DataFrame | Store, queries: list[Query], mode: str = "hybrid", top: int = 10, per_doc: int = 2, rrf_k: int = RRF_K,
     fetch_k: int | None = None, condition: Column | None = None,
 ) -> DataFrame:
-    """Grouped hits of every query. fts never looks at vectors; another mode than fts, dense and hybrid raises."""
+    """Grouped hits of every query, in a chunk table or a stored index. fts never looks at vectors; another mode than fts, dense and hybrid raises."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     n = fetch_size(top, fetch_k)
@@ -194,7 +214,8 @@ def search(
     if mode != "dense":
         legs.append(bm25(chunks, queries, n, condition))
     if mode != "fts":
-        legs.append(dense(chunks, queries, n, condition))
+        vectors = chunks.chunks(SparkSession.active()) if isinstance(chunks, Store) else chunks
+        legs.append(dense(vectors, queries, n, condition))
     cols = ["query_id", "chunk_id", "doc_id", "path", "score", "rank"]
     if len(legs) == 1:
         hits = legs[0].select(*cols)

@@ -8,6 +8,7 @@ import zipfile
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ def walk(spark: SparkSession, root: str) -> DataFrame:
         .select(F.col("path").alias("abs_path"), F.col("length").alias("size_bytes"), F.unix_timestamp("modificationTime").alias("mtime"))
     )
     base = "file:" + root.rstrip("/") + "/" if root.startswith("/") else root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.col("abs_path"), "^" + base.replace(".", r"\."), "")
+    rel = F.when(F.startswith("abs_path", F.lit(base)), F.substring("abs_path", len(base) + 1, 1 << 20)).otherwise(F.col("abs_path"))
     skip = r"(^|/)(" + "|".join(d.replace(".", r"\.") for d in SKIP_DIRS) + ")/"
     return (
         files.withColumn("path", rel).where(~F.col("path").rlike(skip))
@@ -66,18 +67,65 @@ def expand_archives(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInPandas(run, "archive string, member string, content binary, error string")
 
 
-def read_shards(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(records, bad lines) of JSON Lines shards; a line that can't be parsed is no record, and missing keys are null."""
+BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def shard_lines(files: DataFrame) -> DataFrame:
+    """shard_file, line_no, byte_offset, value of the lines of JSON Lines files (path, content) that aren't blank. A shard
+    is read as one row: write_shards keeps shards to SHARD_ROWS records, and the source ends at 2 GB."""
+
+    def run(batches):
+        for b in batches:
+            for path, raw in zip(b.column(0), b.column(1), strict=True):
+                name, at = path.as_py().rsplit("/", 1)[-1], 0
+                data = raw.as_py() or b""
+                numbers, places, values = [], [], []
+                for n, line in enumerate(data.split(b"\n")):
+                    if line.strip():
+                        numbers.append(n)
+                        places.append(at)
+                        values.append(line.decode("utf-8", "replace"))
+                    at += len(line) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(values), pa.string()), pa.array(numbers, pa.int32()), pa.array(places, pa.int64()), pa.array(values, pa.string())],
+                    names=["shard_file", "line_no", "byte_offset", "value"],
+                )
+
+    return files.select("path", "content").mapInArrow(run, "shard_file string, line_no int, byte_offset bigint, value string")
+
+
+def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records with shard_file, line_no, byte_offset; bad lines) of shard_lines. A line that can't be parsed is no record,
+    and missing keys are null."""
     from pyspark.sql import types as T
 
     schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_bad", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    lines = spark.read.text(path).select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("shard_file"), "value", F.from_json("value", schema, options).alias("r")
-    )
-    lines = lines.where(F.trim("value") != "")
-    good = lines.where(F.col("r._bad").isNull()).select("r.*", "shard_file").drop("_bad")
-    return good, lines.where(F.col("r._bad").isNotNull()).select("shard_file", F.col("value").alias("line"))
+    place = ["shard_file", "line_no", "byte_offset"]
+    parsed = lines.select(*place, "value", F.from_json("value", schema, options).alias("r"))
+    good = parsed.where(F.col("r._bad").isNull()).select("r.*", *place).drop("_bad")
+    return good, parsed.where(F.col("r._bad").isNotNull()).select(*place, F.col("value").alias("line"))
+
+
+def read_shards(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """parse_lines of all shards below a folder, or of the files that a pattern names."""
+    reader = spark.read.format("binaryFile")
+    files = (reader if any(c in path for c in "*?[{") else reader.option("recursiveFileLookup", "true")).load(path)
+    return parse_lines(shard_lines(files))
+
+
+def lookup(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """rows (doc_id, shard_file, byte_offset) with text and found: the record that stands at the place, if it is still
+    that document's. Only the shards asked for are read; rows are few (one search's hits), their shard names are listed."""
+    shards = [r.shard_file for r in rows.select("shard_file").where("shard_file is not null").distinct().collect()]
+    if not shards:
+        return rows.withColumns({"text": F.lit(None).cast("string"), "found": F.lit(False)})
+    files = spark.read.format("binaryFile").load([f"{root.rstrip('/')}/{s}" for s in shards])
+    wanted = rows.select("shard_file", "byte_offset").distinct()
+    lines = shard_lines(files).join(F.broadcast(wanted), ["shard_file", "byte_offset"], "left_semi")
+    records, _ = parse_lines(lines)
+    there = records.select(F.col("id").alias("doc_id"), "shard_file", "byte_offset", "text", F.lit(True).alias("found"))
+    return rows.join(there, ["doc_id", "shard_file", "byte_offset"], "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def write_shards(records: DataFrame, path: str, mode: str = "append") -> None:

@@ -10,38 +10,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import chunking, index
-from ..tables import RECORD_SCHEMA
+from ..operators.ingest import dedup
+from ..sources import io
 
 
-def index_batch(batch: DataFrame, folder: str, version: str, exclude: list[str], **options) -> str:
-    """Folds a batch of records into the index at `folder` and commits it as `version`."""
+def index_batch(batch: DataFrame, folder: str, exclude: list[str], **options) -> index.Store:
+    """Folds a batch of records into the index at `folder`: chunks of new and changed documents and manifest rows of all
+    touched ones make a part of their own, of moved ones the location is brought up to date, and nothing else is
+    written. Null columns shard_file, line_no and byte_offset are put in where a batch lacks them."""
     spark = batch.sparkSession
-    base = index.current(spark, folder)
-    columns = "doc_id string, path string, ext string, lang string, char_count bigint, text_sha1 string, n_chunks int, shard_file string, byte_offset bigint, status string, indexed_at timestamp"
-    manifest = spark.read.parquet(f"{base}/manifest") if base else spark.createDataFrame([], columns)
+    store = index.open_store(spark, folder)
+    manifest = store.manifest(spark) if store else spark.createDataFrame([], index.MANIFEST + ", n_tokens bigint, part int")
     rows = batch
-    for name, kind in (("shard_file", "string"), ("line_no", "int")):
+    for name, kind in (("shard_file", "string"), ("line_no", "int"), ("byte_offset", "bigint")):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(kind))
-    classes = index.classify(rows, manifest, exclude).where("class <> 'unchanged'")
-    staged = classes.join(index.dedup(rows, "first").select("id", "ext", "lang", "char_count", "text"), "id")
-    fresh = chunking.chunk_documents(staged.where(F.col("class").isin("new", "changed")), "id", ("path", "ext", "lang"), **options).withColumnRenamed("id", "doc_id")
-    old = spark.read.parquet(f"{base}/chunks") if base else fresh.limit(0)
-    chunks = index.upsert_chunks(old, fresh, staged.select(F.col("id").alias("doc_id")))
-    sizes = fresh.groupBy("doc_id").agg(F.count("*").cast("int").alias("n_chunks"))
+    classes = index.classify(rows, manifest.drop("n_tokens", "part"), exclude)
+    touched = classes.where("class <> 'unchanged'")
+    staged = touched.select("id", "class", "text_sha1").join(
+        dedup(rows.select("id", "path", "ext", "lang", "char_count", "shard_file", "line_no", "byte_offset", "text"), "first"), "id"
+    )
+    new = staged.where(F.col("class").isin("new", "changed"))
+    fresh = chunking.chunk_documents(new, "id", ("path", "ext", "lang"), **options).withColumnRenamed("id", "doc_id")
     status = F.when(F.col("class").isin("new", "changed"), "indexed").otherwise(F.col("class"))
-    rows_new = staged.withColumnRenamed("id", "doc_id").join(sizes, "doc_id", "left").select(
-        "doc_id", "path", "ext", "lang", "char_count", "text_sha1", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"), "shard_file",
-        F.lit(0).cast("bigint").alias("byte_offset"), status.alias("status"), F.current_timestamp().alias("indexed_at"),
+    rows_new = staged.select(
+        F.col("id").alias("doc_id"), "path", "ext", "lang", "char_count", "text_sha1", F.lit(0).alias("n_chunks"), "shard_file", "byte_offset",
+        status.alias("status"), F.current_timestamp().alias("indexed_at"), F.lit(None).cast("bigint").alias("n_tokens"), F.lit(None).cast("int").alias("part"),
     )
-    return index.commit(folder, version, chunks, index.upsert_manifest(manifest, rows_new))
+    place = dedup(rows.select("id", "shard_file", "line_no", "byte_offset"), "first").select(F.col("id").alias("doc_id"), F.col("shard_file").alias("_s"), F.col("byte_offset").alias("_o"))
+    moved = manifest.join(classes.where("moved").select(F.col("id").alias("doc_id")), "doc_id", "left_semi").join(place, "doc_id")
+    moved = moved.withColumns({"shard_file": F.col("_s"), "byte_offset": F.col("_o")}).select(*rows_new.columns)
+    store = index.commit(store, folder, fresh, rows_new.unionByName(moved))
+    return index.compact(spark, store) if len(store.parts) >= index.COMPACT_FROM else store
 
 
-def stream_shards(spark: SparkSession, shards: str, folder: str, checkpoint: str, exclude: list[str] | None = None, **options):
-    """Runs over all shards that have arrived and stops; call it again for later ones."""
-    rows = spark.readStream.schema(RECORD_SCHEMA).json(shards)
+def stream_shards(spark: SparkSession, shards: str, folder: str, checkpoint: str, exclude: list[str] | None = None, bad: str | None = None, **options):
+    """Runs over all shards that have arrived and stops; call it again for later ones. Lines that can't be read go to the
+    folder `bad` (default <folder>/bad_lines) as shard_file, line; they are never records."""
+    files = spark.readStream.format("binaryFile").schema(io.BINARY_SCHEMA).option("recursiveFileLookup", "true").load(shards)
 
     def each(batch: DataFrame, number: int) -> None:
-        index_batch(batch, folder, f"{number:08d}", exclude or [], **options)
+        records, broken = io.parse_lines(io.shard_lines(batch))
+        index_batch(records, folder, exclude or [], **options)
+        broken.select("shard_file", "line_no", "line").write.mode("overwrite").json(f"{bad or folder + '/bad_lines'}/batch={number}")
 
-    return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

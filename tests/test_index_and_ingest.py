@@ -59,18 +59,50 @@ def test_stream_indexes_and_then_finds_nothing_changed(spark, tmp_path):
     def write(name, rows):
         (tmp_path / "shards").mkdir(exist_ok=True)
         (tmp_path / "shards" / name).write_text("\n".join(rows), encoding="utf-8")
-    write("shard_00000.jsonl", [json.dumps({"id": "a", "path": "p/a", "text": "one\n\ntwo"}), "{broken", json.dumps({"id": "b", "path": "p/b", "text": ""})])
-    incremental.stream_shards(spark, shards, folder, check).awaitTermination()
-    base = index.current(spark, folder)
-    assert {r.doc_id: r.status for r in spark.read.parquet(f"{base}/manifest").collect()} == {"a": "indexed", "b": "empty"}
-    write("shard_00001.jsonl", [json.dumps({"id": "a", "path": "p/a", "text": "three"}), json.dumps({"id": "c", "path": "p/c", "text": "new"})])
-    incremental.stream_shards(spark, shards, folder, check).awaitTermination()
-    base = index.current(spark, folder)
-    assert {r.doc_id: r.text for r in spark.read.parquet(f"{base}/chunks").collect()} == {"a": "three", "c": "new"}
+    def run():
+        incremental.stream_shards(spark, shards, folder, check).awaitTermination()
+        return index.open_store(spark, folder)
+    a = {"id": "a", "path": "p/a", "text": "one\n\ntwo"}
+    write("shard_00000.jsonl", [json.dumps(a), "{broken", json.dumps({"id": "b", "path": "p/b", "text": ""}), json.dumps({"id": "d", "path": "p/d", "text": "stays é"}), json.dumps(a | {"text": "later"})])
+    store = run()
+    rows = {r.doc_id: r for r in store.manifest(spark).collect()}
+    assert {i: r.status for i, r in rows.items()} == {"a": "indexed", "b": "empty", "d": "indexed"} and rows["d"].byte_offset > 0
+    write("shard_00001.jsonl", [json.dumps({"id": "a", "path": "p/a", "text": "three"}), json.dumps({"id": "c", "path": "p/c", "text": "new"}), json.dumps({"id": "d", "path": "p/d", "text": "stays é"})])
+    store = run()
+    assert store.parts == (1, 2)
+    text = lambda st: {r.doc_id: r.text for r in st.chunks(spark).collect()}
+    rows = {r.doc_id: r for r in store.manifest(spark).collect()}
+    assert text(store) == {"a": "three", "c": "new", "d": "stays é"} and (rows["d"].shard_file, rows["d"].part, rows["a"].part) == ("shard_00001.jsonl", 1, 2)
+    assert {(r.term, r.doc_id) for r in store.postings(spark, ["one", "three", "stays"]).collect()} == {("three", "a"), ("stays", "d")}
+    assert tuple(store.totals(spark).collect()[0]) == (3, 4 / 3)
+    # points to the very line, and tells when another document stands there
+    there = store.manifest(spark).where("n_chunks > 0").select("doc_id", "shard_file", "byte_offset")
+    assert {r.doc_id: r.text for r in io.lookup(spark, shards, there).collect()} == text(store)
+    wrong = there.withColumn("doc_id", F.lit("x"))
+    assert not any(r.found for r in io.lookup(spark, shards, wrong).collect())
+    write("shard_00002.jsonl", [json.dumps({"id": "c", "path": "p/c", "text": " "})])
+    store = run()
+    assert text(store) == {"a": "three", "d": "stays é"}
+    one = index.compact(spark, store)
+    assert one.parts == (4,) and text(one) == text(store) and tuple(one.totals(spark).collect()[0]) == (2, 1.5)
+    assert {r.doc_id: (r.status, r.shard_file) for r in one.manifest(spark).collect()} == {r.doc_id: (r.status, r.shard_file) for r in store.manifest(spark).collect()}
     records, bad = io.read_shards(spark, shards)
-    assert bad.count() == 1 and records.where("id = 'c'").collect()[0].ocr is None
-    latest = records.where("shard_file = 'shard_00001.jsonl'").withColumn("line_no", F.lit(0))
-    assert {r["class"] for r in index.classify(latest, spark.read.parquet(f"{base}/manifest"), []).collect()} == {"unchanged"}
+    assert [(r.line_no, r.line) for r in bad.collect()] == [(1, "{broken")] and records.where("id = 'c'").collect()[0].ocr is None
+    assert spark.read.json(f"{folder}/bad_lines/batch=0").collect()[0].line == "{broken"
+    newest = records.where("shard_file = 'shard_00001.jsonl' and id <> 'c'")
+    assert {r["class"] for r in index.classify(newest, one.manifest(spark), []).collect()} == {"unchanged"}
+
+
+def test_versions_go_by_number(spark, tmp_path):
+    chunks = spark.createDataFrame([("a:0000", "a", "p/a", "x y")], "chunk_id string, doc_id string, path string, text string")
+    store = None
+    for _ in range(2):
+        store = index.build(spark, str(tmp_path / "i"), chunks)
+    (tmp_path / "i/current-10").mkdir()
+    (tmp_path / "i/current-10/_SUCCESS").write_text("")
+    (tmp_path / "i/current-10/part-0.txt").write_text('{"version": 10, "parts": [2]}')
+    assert store.version == 2 and index.open_store(spark, str(tmp_path / "i")).version == 10
+    assert index.open_store(spark, str(tmp_path / "none")) is None
 
 
 def test_csv_round_trip(spark, tmp_path):
