@@ -184,20 +184,20 @@ def commit(store: Store | None, folder: str, chunks: DataFrame, manifest: DataFr
     written = spark.read.parquet(f"{base}/chunks")
     postings(written).sortWithinPartitions("bucket", "term", "chunk_id").write.mode("overwrite").partitionBy("bucket").parquet(f"{base}/postings")
     sizes = written.where(F.col("chunk_id").isNotNull()).select("doc_id", "chunk_id", F.size(tx.search_tokens("text")).alias("t"))
-    sizes = sizes.groupBy("doc_id").agg(F.count_distinct("chunk_id").cast("int").alias("_n"), F.sum("t").alias("_t"))
+    sizes = sizes.dropDuplicates(["chunk_id"]).groupBy(F.col("doc_id").alias("_doc")).agg(F.count("*").cast("int").alias("_n"), F.sum("t").alias("_t"))
     if "part" not in manifest.columns:
         manifest = manifest.withColumn("part", F.lit(None).cast("int"))
     if "n_tokens" not in manifest.columns:
         manifest = manifest.withColumn("n_tokens", F.lit(None).cast("bigint"))
     here = F.col("part").isNull()
-    rows = manifest.join(sizes, "doc_id", "left").withColumns(
+    rows = manifest.join(sizes, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").withColumns(
         {
             "n_chunks": F.when(here, F.coalesce("_n", F.lit(0))).otherwise(F.col("n_chunks")),
             "n_tokens": F.when(here, F.coalesce("_t", F.lit(0))).otherwise(F.col("n_tokens")),
             "part": F.coalesce("part", F.lit(version)),
         }
     )
-    rows.drop("_n", "_t").write.mode("overwrite").parquet(f"{base}/manifest")
+    rows.drop("_doc", "_n", "_t").write.mode("overwrite").parquet(f"{base}/manifest")
     pointer = spark.createDataFrame([(json.dumps({"version": version, "parts": parts}),)], "value string").coalesce(1)
     pointer.write.mode("overwrite").text(f"{folder}/current-{version}")
     return Store(folder, version, parts)

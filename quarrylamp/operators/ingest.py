@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 
+#: Limits that results depend on (fixed values).
 MAX_FILE_BYTES = 100 * 1024 * 1024
 SNIFF_BELOW = 50_000_000
 SYSTEM_STATE = "sosreport"
 OCR_EXTS, OCR_MIN_CHARS = [".pdf", ".ppt", ".pptx"], 300
 MAX_TEXT_CHARS = 2_000_000
+#: Words that tell a language in its first characters.
+STOP_WORDS = {
+    "en": "the|of|and|from|with|was|were", "fr": "le|la|les|des|une|est|du", "de": "der|die|das|und|ist|mit|den", "es": "el|los|las|una|y|con|del",
+}
 
 
 def inventory_groups(inventory: DataFrame) -> DataFrame:
@@ -164,7 +169,8 @@ def missing_attachments(issues: DataFrame, files: DataFrame) -> DataFrame:
 
 def fetch(rows: DataFrame, records: DataFrame) -> DataFrame:
     """Rows with their record's text and error by id, of the last record of an id; `found` tells of misses."""
-    last = dedup(records, "last").select("id", "text", "error", F.lit(True).alias("found"))
+    asked = records.select("id", "shard_file", "line_no", "text", "error").join(rows.select("id").distinct(), "id", "left_semi")
+    last = dedup(asked, "last").select("id", "text", "error", F.lit(True).alias("found"))
     return rows.join(last, "id", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
@@ -179,10 +185,7 @@ def detect_lang(text: Column) -> Column:
     n = F.length(F.coalesce(text, F.lit("")))
     cjk = F.length(F.regexp_replace(head, "[^\\u4e00-\\u9fff]", ""))
     cyr = F.length(F.regexp_replace(head, "[^\\u0400-\\u04ff]", ""))
-    words = {
-        "en": "the|of|and|from|with|was|were", "fr": "le|la|les|des|une|est|du", "de": "der|die|das|und|ist|mit|den", "es": "el|los|las|una|y|con|del",
-    }
-    score = {k: F.regexp_count(head, F.lit(rf"(?i)\b({w})\b")) for k, w in words.items()}
+    score = {k: F.regexp_count(head, F.lit(rf"(?i)\b({w})\b")) for k, w in STOP_WORDS.items()}
     best = F.greatest(*score.values())
     out = F.when(n < 40, "").when(cjk * 4 > F.length(head), "zh").when(cyr * 4 > F.length(head), "ru").when(best == 0, "")
     for k, s in score.items():

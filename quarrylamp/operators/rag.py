@@ -54,7 +54,8 @@ def complete_all(prompts: DataFrame, completer: Completer, attempts: int = 2) ->
 def windows(hits: DataFrame, records: DataFrame, chars: int = CONTEXT_CHARS) -> DataFrame:
     """hits with `window`: the record's text around each chunk, `chars` to either side. Without a record or usable
     offsets it is the chunk's own text."""
-    last = dedup(records, "last").select(F.col("id").alias("doc_id"), F.col("text").alias("_doc"))
+    asked = records.select("id", "shard_file", "line_no", "text").join(hits.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
+    last = dedup(asked, "last").select(F.col("id").alias("doc_id"), F.col("text").alias("_doc"))
     a = F.greatest(F.col("char_start") - chars, F.lit(0))
     b = F.least(F.col("char_end") + chars, F.length("_doc"))
     inside = (F.col("char_start") >= 0) & (F.col("char_end") >= F.col("char_start")) & (F.col("char_start") < F.length("_doc"))

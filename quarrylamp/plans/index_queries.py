@@ -44,9 +44,10 @@ def index_dry_run(spark: SparkSession, sf: str) -> DataFrame:
     return _classes(spark, sf).groupBy("class").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT doc_id FROM {LATEST} WHERE doc_id NOT IN (SELECT id FROM records WHERE id IS NOT NULL)")
+@query(f"SELECT doc_id FROM {LATEST} WHERE doc_id NOT IN (SELECT id FROM records WHERE id IS NOT NULL AND {FILLED})")
 def index_deleted(spark: SparkSession, sf: str) -> DataFrame:
-    return index.deleted(table(spark, sf, "records"), table(spark, sf, "docs"))
+    """Documents of the manifest that no record with text stands for any more."""
+    return index.deleted(ingest.nonempty(table(spark, sf, "records")), table(spark, sf, "docs"))
 
 
 @query("SELECT (SELECT count(*) FROM chunks) AS n_chunks, (SELECT count(*) FROM docs) AS n_docs")
@@ -64,9 +65,9 @@ def chunk_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks of touched documents replaced by one whole-text chunk each."""
     c = _classes(spark, sf)
     touched = c.where("class in ('changed', 'new', 'empty')").select(F.col("id").alias("doc_id"))
-    first = ingest.dedup(table(spark, sf, "records"), "first").select("id", "text")
-    fresh = c.where("class in ('changed', 'new')").select("id").join(first, "id").select(
-        F.concat("id", F.lit(":0000")).alias("chunk_id"), F.col("id").alias("doc_id"), F.sha1("text").alias("text_sha1")
+    slim = table(spark, sf, "records").select("id", "shard_file", "line_no", F.sha1("text").alias("text_sha1"))
+    fresh = c.where("class in ('changed', 'new')").select("id").join(ingest.dedup(slim, "first"), "id").select(
+        F.concat("id", F.lit(":0000")).alias("chunk_id"), F.col("id").alias("doc_id"), "text_sha1"
     )
     old = table(spark, sf, "chunks").select("chunk_id", "doc_id", F.sha1("text").alias("text_sha1"))
     return index.upsert_chunks(old, fresh, touched)

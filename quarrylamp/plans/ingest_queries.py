@@ -124,9 +124,10 @@ def raster_tally(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "inventory").agg(F.count_if(ext.isin(".pptx", ".ppt")).alias("n_slides"), F.count_if(ext == ".pdf").alias("n_pdf"))
 
 
-@query(f"""SELECT i.id, i.path FROM inventory i WHERE {EXTRACTABLE.replace('ext IN', 'i.ext IN')} AND NOT EXISTS (SELECT 1 FROM records r WHERE r.id = i.id)""")
+@query(f"""SELECT i.id, i.path FROM inventory i WHERE {EXTRACTABLE.replace('ext IN', 'i.ext IN')} AND NOT EXISTS (SELECT 1 FROM records r WHERE r.id = i.id AND {FILLED.replace('text', 'r.text')})""")
 def resume_anti(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.pending(table(spark, sf, "inventory"), table(spark, sf, "records")).select("id", "path")
+    """Files still to extract where only records with text count as done."""
+    return ingest.pending(table(spark, sf, "inventory"), ingest.nonempty(table(spark, sf, "records"))).select("id", "path")
 
 
 def _manual(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,14 +158,19 @@ def manual_tier(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.manual_tier(ingest.manual_candidates(_manual(spark, sf)).where("reject is null"))
 
 
+def _hashed(spark: SparkSession, sf: str) -> DataFrame:
+    """Records by the hash of their text, which so isn't shuffled."""
+    return table(spark, sf, "records").select("id", "shard_file", "line_no", F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1"))
+
+
 @query(f"SELECT id, shard_file, line_no, sha1(coalesce(text, '')) AS text_sha1 FROM {FIRST}")
 def dedup_first(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.dedup(table(spark, sf, "records"), "first").select("id", "shard_file", "line_no", F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1"))
+    return ingest.dedup(_hashed(spark, sf), "first")
 
 
 @query(f"SELECT id, shard_file, line_no, sha1(coalesce(text, '')) AS text_sha1 FROM {LAST}")
 def dedup_last(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.dedup(table(spark, sf, "records"), "last").select("id", "shard_file", "line_no", F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1"))
+    return ingest.dedup(_hashed(spark, sf), "last")
 
 
 @query(f"""SELECT t.id, coalesce(length(r.text), 0) AS n_chars, r.id IS NOT NULL AS found
@@ -201,15 +207,16 @@ ATT = r"regexp_extract(path, 'attachments/(\d+)_attachments_(.*)$', 2)"
 
 
 @query(rf"""SELECT issue, attachment_id, filename FROM (SELECT DISTINCT split_part(path, '/', 1) AS issue, regexp_extract(path, 'attachments/(\d+)_attachments_(.*)$', 1) AS attachment_id, {ATT} AS filename
-FROM inventory WHERE path LIKE '%attachments/%' AND {ATT} <> '') w WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT split_part(path, '/', 1) AS issue, {ATT} AS name FROM records WHERE {ATT} <> '') f
+FROM inventory WHERE path LIKE '%attachments/%' AND {ATT} <> '') w WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT split_part(path, '/', 1) AS issue, {ATT} AS name FROM records WHERE {ATT} <> '' AND {FILLED}) f
 WHERE f.issue = w.issue AND (f.name = w.filename OR f.name = replace(w.filename, ' ', '+')))""")
 def attachment_missing(spark: SparkSession, sf: str) -> DataFrame:
     pat = r"attachments/(\d+)_attachments_(.*)$"
     part = lambda i: F.regexp_extract("path", pat, i)
+    # an attachment counts as there once it gave text
     inv = table(spark, sf, "inventory").where(part(2) != "").select(F.substring_index("path", "/", 1).alias("issue"), part(1).alias("id"), part(2).alias("filename")).distinct()
     # one row for each file, so no issue gathers an unbounded list
     issues = inv.select("issue", F.array(F.struct("id", "filename")).alias("attachments"))
-    files = table(spark, sf, "records").where(part(2) != "").select(F.substring_index("path", "/", 1).alias("issue"), part(2).alias("name"))
+    files = ingest.nonempty(table(spark, sf, "records")).where(part(2) != "").select(F.substring_index("path", "/", 1).alias("issue"), part(2).alias("name"))
     return ingest.missing_attachments(issues, files)
 
 
@@ -223,9 +230,18 @@ def shard_write(spark: SparkSession, sf: str) -> DataFrame:
     return good.select("id", "path", "ext", "lang", "char_count", F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1"))
 
 
-@query("SELECT shard_file, count(*) AS n_records, count_if(error <> '') AS n_errors FROM records GROUP BY shard_file")
+@query("""SELECT shard_file || '.jsonl' AS shard_file, count(*) AS n_records, count_if(error <> '') AS n_errors, 1 AS n_bad, count(DISTINCT line_no) > 0 AS placed FROM records GROUP BY shard_file""")
 def shard_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "records").groupBy("shard_file").agg(F.count("*").alias("n_records"), F.count_if(F.col("error") != "").alias("n_errors"))
+    """Records written as one file for each shard, with a line that can't be read at its end, and scanned again."""
+    folder = fresh_folder(spark) + "/shards"
+    r = table(spark, sf, "records")
+    line = F.to_json(F.struct(*[c for c in r.columns if c not in ("shard_file", "line_no")]), {"ignoreNullFields": "true"})
+    lines = r.select("shard_file", "line_no", line.alias("value"))
+    broken = r.select("shard_file").distinct().select("shard_file", F.lit(1 << 30).alias("line_no"), F.lit('{"id": "cut').alias("value"))
+    io.write_lines(lines.unionByName(broken), folder)
+    good, bad = io.read_shards(spark, folder)
+    n = good.groupBy("shard_file").agg(F.count("*").alias("n_records"), F.count_if(F.col("error") != "").alias("n_errors"), (F.count_distinct("byte_offset") == F.count("*")).alias("placed"))
+    return n.join(bad.groupBy("shard_file").agg(F.count("*").cast("int").alias("n_bad")), "shard_file")
 
 
 @query("SELECT id, size_bytes FROM inventory ORDER BY size_bytes DESC, id, mtime LIMIT 100")
@@ -243,13 +259,20 @@ _CJK = "length(regexp_replace(left(text, 4000), '[^一-鿿]', '', 'g'))"
 _CYR = "length(regexp_replace(left(text, 4000), '[^Ѐ-ӿ]', '', 'g'))"
 
 
-@query(f"""SELECT id, shard_file, line_no, CASE WHEN length(coalesce(text, '')) < 40 THEN 'short' WHEN {_CJK} * 4 > length(left(text, 4000)) THEN 'zh'
-WHEN {_CYR} * 4 > length(left(text, 4000)) THEN 'ru' ELSE 'latin' END AS script FROM records""")
+def _score_sql(words: str) -> str:
+    """Whole words counted by doubling what no word holds, so that neighbours don't share it."""
+    return rf"len(regexp_extract_all(regexp_replace(head, '([^A-Za-z0-9_])', '\1\1', 'g'), '(?i)(^|[^A-Za-z0-9_])({words})($|[^A-Za-z0-9_])'))"
+
+
+SCORES = ", ".join(f"{_score_sql(w)} AS s_{k}" for k, w in ingest.STOP_WORDS.items())
+BEST = "greatest(" + ", ".join(f"s_{k}" for k in ingest.STOP_WORDS) + ")"
+
+
+@query(f"""SELECT id, shard_file, line_no, CASE WHEN n < 40 THEN '' WHEN {_CJK.replace('left(text, 4000)', 'head')} * 4 > length(head) THEN 'zh' WHEN {_CYR.replace('left(text, 4000)', 'head')} * 4 > length(head) THEN 'ru'
+WHEN {BEST} = 0 THEN '' {' '.join(f"WHEN s_{k} = {BEST} THEN '{k}'" for k in ingest.STOP_WORDS)} ELSE '' END AS lang
+FROM (SELECT *, {SCORES} FROM (SELECT id, shard_file, line_no, length(coalesce(text, '')) AS n, left(coalesce(text, ''), 4000) AS head FROM records))""")
 def lang_detect(spark: SparkSession, sf: str) -> DataFrame:
-    """Script classes of the detector (its stop-word scores have their own tests)."""
-    lang = ingest.detect_lang(F.col("text"))
-    script = F.when(F.length(F.coalesce("text", F.lit(""))) < 40, "short").when(lang.isin("zh", "ru"), lang).otherwise("latin")
-    return table(spark, sf, "records").select("id", "shard_file", "line_no", script.alias("script"))
+    return table(spark, sf, "records").select("id", "shard_file", "line_no", ingest.detect_lang(F.col("text")).alias("lang"))
 
 
 @query(None)

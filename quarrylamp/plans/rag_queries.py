@@ -9,7 +9,7 @@ from ..operators import audit, ingest, rag, search
 from ..sources import io
 from ..tables import table
 from .ingest_queries import LAST
-from .search_queries import RESCORED, TEXTS, _chunks, _queries, bm25_sql, group_sql, leg_hits
+from .search_queries import RESCORED, TEXTS, _chunks, _queries, _store, bm25_sql, group_sql, leg_hits
 
 QUERIES, ORACLE = {}, {}
 
@@ -47,15 +47,17 @@ STRIP = r"regexp_replace(w, '^[\s\p{Z}\x{0085}\x{001c}-\x{001f}]+|[\s\p{Z}\x{008
 @query(f"""SELECT query_id, sha1(string_agg('### Source: ' || coalesce(path, '') || chr(10) || {STRIP}, chr(10) || chr(10) ORDER BY doc_rank, chunk_rank, chunk_id)) AS context_sha1
 FROM (SELECT g.query_id, g.doc_rank, g.chunk_rank, g.chunk_id, c.path, {WINDOW} AS w FROM {GROUPED} g JOIN {ONE} c ON c.chunk_id = g.chunk_id LEFT JOIN {LAST} r ON r.id = c.doc_id) GROUP BY query_id""")
 def gather_context(spark: SparkSession, sf: str) -> DataFrame:
-    hits = search.search(_chunks(spark, sf), _queries(TEXTS), "fts").drop("doc_id")
+    hits = search.search(_store(spark, sf), _queries(TEXTS), "fts").drop("doc_id")
     w = rag.windows(hits.join(_one(spark, sf), "chunk_id"), table(spark, sf, "records"))
     return rag.gather(w).select("query_id", F.sha1("context").alias("context_sha1"))
 
 
 @query(f"SELECT id, path, coalesce(length(text), 0) AS n_chars, sha1(coalesce(text, '')) AS text_sha1 FROM {LAST}")
 def show_doc(spark: SparkSession, sf: str) -> DataFrame:
-    r = ingest.dedup(table(spark, sf, "records"), "last")
-    return r.select("id", "path", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"), F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1"))
+    slim = table(spark, sf, "records").select(
+        "id", "shard_file", "line_no", "path", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"), F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1")
+    )
+    return ingest.dedup(slim, "last").select("id", "path", "n_chars", "text_sha1")
 
 
 BUDGET = 6000
@@ -69,7 +71,9 @@ def budget_trim(spark: SparkSession, sf: str) -> DataFrame:
 
     docs = search.rescore(leg_hits(spark, sf)).withColumn("query_id", F.lit("battery"))
     ranked = search.top_k(docs, 10_000, key="doc_id")  # the battery's documents, at most twelve for each leg
-    sizes = ingest.dedup(table(spark, sf, "records"), "last").select(F.col("id").alias("doc_id"), F.size(tx.stub_tokens("text")).alias("n_tokens"))
+    slim = table(spark, sf, "records").join(F.broadcast(ranked.select(F.col("doc_id").alias("id"))), "id", "left_semi")
+    slim = slim.select("id", "shard_file", "line_no", F.size(tx.stub_tokens("text")).alias("n_tokens"))
+    sizes = ingest.dedup(slim, "last").select(F.col("id").alias("doc_id"), "n_tokens")
     return rag.trim(ranked.join(sizes, "doc_id"), BUDGET).select("doc_id", F.col("rank").cast("long"), F.col("total_tokens").cast("long"))
 
 
@@ -93,7 +97,7 @@ def battery_load(spark: SparkSession, sf: str) -> DataFrame:
 def battery_prompt(spark: SparkSession, sf: str) -> DataFrame:
     topics = rag.battery(spark, BATTERY)
     qs = [search.Query(t["id"], t["question"]) for s in BATTERY["sections"] for t in s["topics"]]
-    hits = search.search(_chunks(spark, sf), qs, "fts", top=5).drop("doc_id")
+    hits = search.search(_store(spark, sf), qs, "fts", top=5).drop("doc_id")
     context = rag.gather(rag.windows(hits.join(_one(spark, sf), "chunk_id"), table(spark, sf, "records"), 300))
     return rag.battery_prompts(topics, context)
 
@@ -125,8 +129,8 @@ FROM (SELECT id, path, length(coalesce(text, '')) AS k FROM {LAST} WHERE path IS
 
 
 def _markdown(spark: SparkSession, sf: str) -> DataFrame:
-    r = ingest.dedup(table(spark, sf, "records"), "last").where("path is not null")
-    r = r.select("id", "path", F.length(F.coalesce("text", F.lit(""))).cast("int").alias("k")).withColumn("n", F.col("k") % 6)
+    slim = table(spark, sf, "records").select("id", "shard_file", "line_no", "path", F.length(F.coalesce("text", F.lit(""))).cast("int").alias("k"))
+    r = ingest.dedup(slim, "last").where("path is not null").select("id", "path", "k").withColumn("n", F.col("k") % 6)
     n, k = F.col("n"), F.col("k")
     words = lambda i: F.when((i == n) & (k % 4 == 0), F.lit(90)).otherwise(5 + i * (k % 3))
     slides = F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(F.lit("## Slide "), i.cast("string"), F.lit("\n"), F.repeat(F.lit("word "), words(i)), F.lit("\n")))
@@ -192,5 +196,6 @@ def analyze_plan(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT id, path, score FROM (SELECT id, path, coalesce(char_count, 0) AS score FROM {LAST} ORDER BY score DESC, id LIMIT 50)")
 def translation_index(spark: SparkSession, sf: str) -> DataFrame:
     """Index rows of finished translations, best first."""
-    r = ingest.dedup(table(spark, sf, "records"), "last").select("id", "path", F.coalesce("char_count", F.lit(0)).alias("score"))
+    slim = table(spark, sf, "records").select("id", "shard_file", "line_no", "path", F.coalesce("char_count", F.lit(0)).alias("score"))
+    r = ingest.dedup(slim, "last").select("id", "path", "score")
     return r.orderBy(F.desc("score"), "id").limit(50)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import chunking, search
+from ..operators import chunking, index, search
+from ..session import fresh_folder
 from ..sources import io
 from ..tables import table
 
@@ -65,6 +66,17 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "chunks")
 
 
+_stores: dict[tuple[str, str], index.Store] = {}
+
+
+def _store(spark: SparkSession, sf: str) -> index.Store:
+    """The stored index of the chunk table, built in the shared folder by the first query of a session that asks."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stores:
+        _stores[key] = index.build(spark, fresh_folder(spark), _chunks(spark, sf))
+    return _stores[key]
+
+
 def _vector_queries(spark: SparkSession, sf: str, texts: list[str] | None = None) -> list[search.Query]:
     """The three smallest ids with a usable vector ask for what is like them."""
     usable = (F.size("vector") == 128) & F.exists("vector", lambda x: x != 0)
@@ -84,12 +96,18 @@ def bm25_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT query_id, chunk_id, score, rank FROM {bm25_sql(TEXTS, 50)}")
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return search.bm25(_store(spark, sf), _queries(TEXTS), 50).select("query_id", "chunk_id", "score", F.col("rank").cast("long"))
+
+
+@query(f"SELECT query_id, chunk_id, score, rank FROM {bm25_sql(TEXTS, 50)}")
+def bm25_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The same without an index, by a scan of the chunks."""
     return search.bm25(_chunks(spark, sf), _queries(TEXTS), 50).select("query_id", "chunk_id", "score", F.col("rank").cast("long"))
 
 
 @query(f"SELECT query_id, chunk_id, score, rank FROM {bm25_sql({'id': 'v1.18.38 LAB-21'}, 20)}")
 def fts_exact_identifier(spark: SparkSession, sf: str) -> DataFrame:
-    return search.bm25(_chunks(spark, sf), [search.Query("id", "v1.18.38 LAB-21")], 20).select("query_id", "chunk_id", "score", F.col("rank").cast("long"))
+    return search.bm25(_store(spark, sf), [search.Query("id", "v1.18.38 LAB-21")], 20).select("query_id", "chunk_id", "score", F.col("rank").cast("long"))
 
 
 @query(f"SELECT chunk_id, doc_id, path FROM {CHUNKS} WHERE contains(' ' || array_to_string({TOKENS}, ' ') || ' ', ' packet parser ')")
@@ -99,7 +117,7 @@ def fts_phrase(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT query_id, chunk_id, score, rank FROM {bm25_sql(TEXTS, 30, keep='starts_with(p.path, $$tracker_export/$$)')}")
 def search_prefilter(spark: SparkSession, sf: str) -> DataFrame:
-    hits = search.bm25(_chunks(spark, sf), _queries(TEXTS), 30, search.where(["tracker_export/"]))
+    hits = search.bm25(_store(spark, sf), _queries(TEXTS), 30, search.where(["tracker_export/"]))
     return hits.select("query_id", "chunk_id", "score", F.col("rank").cast("long"))
 
 
@@ -139,18 +157,18 @@ FUSED = f"(SELECT query_id, chunk_id, min(doc_id) AS doc_id, round(sum(1 / (60 +
 def rrf_fuse(spark: SparkSession, sf: str) -> DataFrame:
     c, qs = _chunks(spark, sf), _vector_queries(spark, sf, VTEXT)
     cols = ["query_id", "chunk_id", "rank"]
-    return search.fuse(search.bm25(c, qs, 50).select(*cols).unionByName(search.dense(c, qs, 50).select(*cols)))
+    return search.fuse(search.bm25(_store(spark, sf), qs, 50).select(*cols).unionByName(search.dense(c, qs, 50).select(*cols)))
 
 
 @query(f"SELECT query_id, doc_id, doc_score, doc_rank, chunk_id, score, chunk_rank FROM {group_sql(FUSED, 2, 10)}")
 def hybrid_search(spark: SparkSession, sf: str) -> DataFrame:
-    out = search.search(_chunks(spark, sf), _vector_queries(spark, sf, VTEXT), "hybrid")
+    out = search.search(_store(spark, sf), _vector_queries(spark, sf, VTEXT), "hybrid")
     return out.withColumns({c: F.col(c).cast("long") for c in ("doc_rank", "chunk_rank")})
 
 
 @query(f"SELECT query_id, doc_id, doc_score, doc_rank, chunk_id, score, chunk_rank FROM {group_sql(bm25_sql(TEXTS, 50), 2, 10)}")
 def group_by_doc(spark: SparkSession, sf: str) -> DataFrame:
-    out = search.search(_chunks(spark, sf), _queries(TEXTS), "fts")
+    out = search.search(_store(spark, sf), _queries(TEXTS), "fts")
     return out.withColumns({c: F.col(c).cast("long") for c in ("doc_rank", "chunk_rank")})
 
 
@@ -158,7 +176,7 @@ LEG_HITS = group_sql(bm25_sql(LEGS, 100), 6, 12)
 
 
 def leg_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return search.search(_chunks(spark, sf), _queries(LEGS), "fts", top=12, per_doc=6, fetch_k=100)
+    return search.search(_store(spark, sf), _queries(LEGS), "fts", top=12, per_doc=6, fetch_k=100)
 
 
 @query(f"SELECT query_id, doc_id, doc_score, doc_rank, chunk_id, score, chunk_rank FROM {LEG_HITS}")
@@ -193,19 +211,19 @@ def union_context(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT query_id, doc_id, min(rank) AS best_rank FROM {bm25_sql(LEGS, 100)} GROUP BY query_id, doc_id")
 def term_rank_probe(spark: SparkSession, sf: str) -> DataFrame:
-    hits = search.bm25(_chunks(spark, sf), _queries(LEGS), 100)
+    hits = search.bm25(_store(spark, sf), _queries(LEGS), 100)
     return search.term_ranks(hits).withColumn("best_rank", F.col("best_rank").cast("long"))
 
 
 @query(None)
 def search_json(spark: SparkSession, sf: str) -> DataFrame:
-    return io.json_hits(search.search(_chunks(spark, sf), _queries(TEXTS), "fts"))
+    return io.json_hits(search.search(_store(spark, sf), _queries(TEXTS), "fts"))
 
 
 @query(f"""SELECT doc_id AS id, doc_score AS score, doc_rank AS rank FROM (SELECT DISTINCT query_id, doc_id, doc_score, doc_rank FROM {group_sql(bm25_sql(TEXTS, 50), 2, 10)}) WHERE query_id = 'q1'""")
 def search_to_triage(spark: SparkSession, sf: str) -> DataFrame:
     """Hits of one query in the shape of triage rows."""
-    hits = search.search(_chunks(spark, sf), _queries(TEXTS), "fts").where("query_id = 'q1'")
+    hits = search.search(_store(spark, sf), _queries(TEXTS), "fts").where("query_id = 'q1'")
     return hits.select(F.col("doc_id").alias("id"), F.col("doc_score").alias("score"), F.col("doc_rank").cast("long").alias("rank")).distinct()
 
 
@@ -238,9 +256,10 @@ def chunk_docs(spark: SparkSession, sf: str) -> DataFrame:
     return _greedy(spark, sf)
 
 
-@query("SELECT 0 AS n_bad_text, 0 AS n_bad_order")
+@query(f"SELECT 0 AS n_bad_text, 0 AS n_bad_order, count_if(regexp_matches(coalesce(text, ''), '[^ \\t\\n\\x0b\\f\\r]')) AS n_docs FROM {DOCS}")
 def chunk_roundtrip_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks whose text isn't the record's slice, and gaps in a record's numbering: none."""
+    """Chunks whose text isn't the record's slice, and gaps in a record's numbering: none; and records with chunks: all
+    that hold a token."""
     from ..operators import ingest
 
     r = ingest.dedup(table(spark, sf, "records"), "last").select("id", F.col("text").alias("doc"))
@@ -248,13 +267,13 @@ def chunk_roundtrip_check(spark: SparkSession, sf: str) -> DataFrame:
     bad = F.col("text") != F.substring("doc", F.col("char_start") + 1, F.col("char_end") - F.col("char_start"))
     a = c.agg(F.count_if(bad).cast("int").alias("n_bad_text")).withColumn("k", F.lit(1))
     n = c.groupBy("id").agg(F.count("*").alias("n"), F.max("chunk_index").alias("m"), F.min("chunk_index").alias("z"))
-    b = n.agg(F.count_if((F.col("m") + 1 != F.col("n")) | (F.col("z") != 0)).cast("int").alias("n_bad_order")).withColumn("k", F.lit(1))
+    b = n.agg(F.count_if((F.col("m") + 1 != F.col("n")) | (F.col("z") != 0)).cast("int").alias("n_bad_order"), F.count("*").alias("n_docs")).withColumn("k", F.lit(1))
     return a.join(b, "k").drop("k")
 
 
-@query("SELECT 0 AS n_gaps")
+@query(f"SELECT 0 AS n_gaps, CAST(sum(greatest(CAST(ceil((len(toks) - 100) / 85.0) AS BIGINT), 0)) AS BIGINT) AS n_joints FROM (SELECT {STUB} AS toks FROM {DOCS}) WHERE len(toks) > 0")
 def chunk_overlap_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Fixed windows that don't share their overlap with the one before: none."""
+    """Fixed windows that don't share their overlap with the one before: none, of all that have one before."""
     from pyspark.sql import Window
 
     from ..operators import ingest
@@ -262,4 +281,5 @@ def chunk_overlap_check(spark: SparkSession, sf: str) -> DataFrame:
     w = chunking.fixed_windows(ingest.dedup(table(spark, sf, "records"), "last"), 100, 15)
     prev = F.lag("tokens").over(Window.partitionBy("id").orderBy("chunk_index"))
     bad = prev.isNotNull() & (F.slice(prev, -15, 15) != F.slice("tokens", 1, 15))
-    return w.withColumn("bad", bad).agg(F.count_if("bad").cast("int").alias("n_gaps"))
+    w = w.withColumns({"bad": bad, "joint": F.when(prev.isNotNull(), 1)})
+    return w.agg(F.count_if("bad").cast("int").alias("n_gaps"), F.count("joint").alias("n_joints"))

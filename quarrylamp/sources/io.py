@@ -132,6 +132,21 @@ def write_shards(records: DataFrame, path: str, mode: str = "append") -> None:
     records.write.option("maxRecordsPerFile", SHARD_ROWS).option("ignoreNullFields", "true").mode(mode).json(path)
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """One <shard_file>.jsonl for each shard (shard_file, line_no, value), lines in order. Each task writes whole shards
+    through the file system of the folder, so a shard's place in it is known."""
+    spark = lines.sparkSession
+    rows = lines.repartition("shard_file").sortWithinPartitions("shard_file", "line_no").select("shard_file", "value")
+    named = f"{path}/_by_shard"
+    rows.write.mode("overwrite").partitionBy("shard_file").text(named)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.globStatus(fs_path(f"{named}/shard_file=*/part-*")):
+        name = f.getPath().getParent().getName().removeprefix("shard_file=")
+        fs.rename(f.getPath(), fs_path(f"{path}/{name}.jsonl"))
+    fs.delete(fs_path(named), True)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("nullValue", "\\N").csv(path)
 
