@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +34,26 @@ def fixed_windows(docs: DataFrame, size: int, overlap: int, key: str = "id") ->
     return w.select(key, "chunk_index", cut.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
 
 
+def _windows(n: int, size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Windows of `size` over n tokens that step by size - overlap, at least 1; the last one reaches the end."""
+    step = max(1, size - overlap)
+    return ((k * step, min(k * step + size, n)) for k in range(1 + max(0, -(-(n - size) // step))))
+
+
+def _groups(sizes: list[int], target: int, overlap: int, strict: bool) -> Iterator[tuple[int, int]]:
+    """Groups (first, after the last) of neighbouring paragraphs of these sizes, found on their running sums: each reaches
+    as far as `target` allows, but beyond the one before it; the next begins where the last `overlap` tokens do."""
+    total = [0, *accumulate(sizes)]
+    first, least = 0, 1
+    while least <= len(sizes):
+        last = max(bisect_right(total, total[first] + target) - 1, least)
+        yield first, last
+        again = max(first, bisect_right(total, total[last] - overlap) - 1)
+        # of several paragraphs not all are repeated; a lone one is, unless that is ruled out
+        first = again + 1 if again == first and (strict or last - first > 1) else again
+        least = last + 1
+
+
 def chunk_spans(
     text: str, tokenize: Tokenizer = stub_tokenizer, target: int = TARGET, most: int = MAX_TOKENS, overlap: int = OVERLAP,
     max_chunks: int = 0, separator: str = "\n\n", strict_overlap: bool = False,
@@ -44,41 +66,17 @@ def chunk_spans(
     than `most` tokens is cut into windows of its own, which share `overlap` tokens and hand nothing on. With
     strict_overlap a lone paragraph isn't handed on, so no chunk outgrows the target by it. max_chunks 0 is no limit.
     """
+    starts = accumulate((len(p) + len(separator) for p in text.split(separator)), initial=0)
+    parts = [(at, at + len(p), tokenize(p)) for at, p in zip(starts, text.split(separator), strict=False) if p.strip()]
     spans: list[tuple[int, int]] = []
-    held: list[tuple[int, int, int]] = []  # start, end, tokens
-
-    def close() -> None:
-        if held:
-            spans.append((held[0][0], held[-1][1]))
-
-    at = 0
-    for part in text.split(separator):
-        start, at = at, at + len(part) + len(separator)
-        if not part.strip() or not (tokens := tokenize(part)):
-            continue
-        n = len(tokens)
-        if n > most:
-            close()
-            held.clear()
-            low = 0
-            while True:
-                high = min(low + most, n)
-                spans.append((start + tokens[low][0], start + tokens[high - 1][1]))
-                if high == n:
-                    break
-                low += max(1, most - overlap)
-            continue
-        if held and sum(t for _, _, t in held) + n > target:
-            close()
-            first, total = len(held), 0
-            while first and total < overlap:
-                first -= 1
-                total += held[first][2]
-            if first == 0 and (len(held) > 1 or strict_overlap):
-                first = 1
-            del held[:first]
-        held.append((start, start + len(part), n))
-    close()
+    for long, run in groupby((p for p in parts if p[2]), key=lambda p: len(p[2]) > most):
+        some = list(run)
+        if long:
+            for at, _, tokens in some:
+                spans += [(at + tokens[a][0], at + tokens[z - 1][1]) for a, z in _windows(len(tokens), most, overlap)]
+        else:
+            sizes = [len(tokens) for _, _, tokens in some]
+            spans += [(some[a][0], some[z - 1][1]) for a, z in _groups(sizes, target, overlap, strict_overlap)]
     return spans[:max_chunks] if max_chunks else spans
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from pathlib import Path
 from typing import Protocol
 
@@ -15,40 +16,50 @@ CONTEXT_CHARS, NUM_CTX, OVERHEAD, RESERVE = 1500, 24_576, 800, 1_200
 
 
 class Completer(Protocol):
-    def complete(self, prompt: str) -> str: ...
+    """A model: the answer to a prompt and images (base64), of at most max_tokens."""
+
+    def complete(self, prompt: str, images: Sequence[str] = (), max_tokens: int | None = None) -> str: ...
 
 
 class EchoCompleter:
-    """Offline stand-in: answers with the head of the prompt."""
+    """Offline stand-in: answers with the head of the prompt and the number of images."""
 
     def __init__(self, chars: int = 80):
         self.chars = chars
 
-    def complete(self, prompt: str) -> str:
-        return prompt[: self.chars]
+    def complete(self, prompt: str, images: Sequence[str] = (), max_tokens: int | None = None) -> str:
+        return prompt[: self.chars] + (f" [{len(images)} images]" if images else "")
+
 
+#: Answer of a call that failed (fixed value, part of the answers' format).
+NOT_FOUND = "FOUND: no"
 
-def complete_all(prompts: DataFrame, completer: Completer, attempts: int = 2) -> DataFrame:
-    """id, answer, error for prompts (id, prompt): an empty answer is asked for again; a failing call becomes a
-    'FOUND: no' answer with its error, so one bad row fails no task."""
+
+def complete_all(prompts: DataFrame, completer: Completer, attempts: int = 2, max_tokens: int | None = None) -> DataFrame:
+    """id, answer, error for prompts (id, prompt and, where there are some, images): an empty answer is asked for again; a
+    failing call becomes NOT_FOUND with its error, so one bad row fails no task."""
+    seen = "images" in prompts.columns
 
     def run(batches):
         import pandas as pd
 
         for pdf in batches:
             out = []
-            for i, p in zip(pdf["id"], pdf["prompt"], strict=True):
+            for i, p, images in zip(pdf["id"], pdf["prompt"], pdf["images"] if seen else [None] * len(pdf), strict=True):
+                extra = {"images": list(images)} if images is not None and len(images) else {}
+                if max_tokens:
+                    extra["max_tokens"] = max_tokens
                 answer, error = "", ""
                 for _ in range(attempts):
                     try:
-                        if answer := completer.complete(p):
+                        if answer := completer.complete(p, **extra):
                             break
                     except Exception as exc:  # noqa: BLE001
                         error = f"{type(exc).__name__}: {exc}"
-                out.append((i, answer or "FOUND: no", "" if answer else error or "empty answer"))
+                out.append((i, answer or NOT_FOUND, "" if answer else error or "empty answer"))
             yield pd.DataFrame(out, columns=["id", "answer", "error"])
 
-    return prompts.select("id", "prompt").mapInPandas(run, "id string, answer string, error string")
+    return prompts.select("id", "prompt", *(["images"] if seen else [])).mapInPandas(run, "id string, answer string, error string")
 
 
 def windows(hits: DataFrame, records: DataFrame, chars: int = CONTEXT_CHARS) -> DataFrame:
@@ -89,14 +100,11 @@ def union_context(hits: DataFrame, most: int = 40) -> DataFrame:
 
 
 def prompt(max_chars: int) -> Column:
-    """A record's prompt: path, label, triage line, note of a cut, text."""
-    cut = F.length(F.coalesce("text", F.lit(""))) > max_chars
-    return F.concat(
-        F.lit("Path: "), F.coalesce("path", F.lit("")),
-        F.lit("\nDetected language: "), F.when(F.coalesce("lang", F.lit("")) == "", "unknown").otherwise(F.col("lang")),
-        F.lit("\n"), F.when(cut, F.lit(f"[TRUNCATED to first {max_chars} chars]")).otherwise(F.lit("")),
-        F.lit("\n\n--- DOCUMENT TEXT ---\n"), F.left(F.coalesce("text", F.lit("")), F.lit(max_chars)),
-    )
+    """A record's prompt: where it lies, its language label, whether it was cut, and its text."""
+    text = F.coalesce("text", F.lit(""))
+    label = F.coalesce(F.nullif(F.col("lang"), F.lit("")), F.lit("not known"))
+    whole = F.when(F.length(text) > max_chars, F.lit(f"the first {max_chars} characters")).otherwise(F.lit("whole"))
+    return F.format_string("document %s\nlanguage: %s\ntext (%s):\n%s", F.coalesce("path", F.lit("")), label, whole, F.left(text, F.lit(max_chars)))
 
 
 def load_battery(spark: SparkSession, path: str | Path, sections: list[str] | None = None, topics: list[str] | None = None) -> DataFrame:

@@ -168,8 +168,8 @@ def truncate_flag(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("id", (F.length("text") > 2000).alias("truncated"), F.sha1(F.left("text", F.lit(2000))).alias("head_sha1"))
 
 
-@query("""SELECT id, 'Path: ' || coalesce(path, '') || chr(10) || 'Detected language: ' || CASE WHEN coalesce(lang, '') = '' THEN 'unknown' ELSE lang END || chr(10) ||
-CASE WHEN length(coalesce(text, '')) > 1000 THEN '[TRUNCATED to first 1000 chars]' ELSE '' END || chr(10) || chr(10) || '--- DOCUMENT TEXT ---' || chr(10) || left(coalesce(text, ''), 1000) AS prompt FROM """ + LAST)
+@query("""SELECT id, 'document ' || coalesce(path, '') || chr(10) || 'language: ' || coalesce(nullif(lang, ''), 'not known') || chr(10) || 'text (' ||
+CASE WHEN length(coalesce(text, '')) > 1000 THEN 'the first 1000 characters' ELSE 'whole' END || '):' || chr(10) || left(coalesce(text, ''), 1000) AS prompt FROM """ + LAST)
 def prompt_text(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import ingest, rag
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
+from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import BinaryIO
 
 import pandas as pd
 import pyarrow as pa
@@ -20,8 +22,9 @@ SKIP_DIRS = [".git", "node_modules", "__pycache__", ".venv", "venv"]
 SHARD_ROWS = 1000
 
 
-def walk(spark: SparkSession, root: str) -> DataFrame:
-    """Inventory of all files below a folder: id, path, abs_path, ext, ext_group, size_bytes, mtime. Contents aren't read."""
+def walk(spark: SparkSession, root: str, sniff: bool = False) -> DataFrame:
+    """Inventory of all files below a folder: id, path, abs_path, ext, ext_group, size_bytes, mtime; contents aren't read.
+    With `sniff` also mime: by content for files whose extension says little and that aren't huge, '' for others."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
         .select(F.col("path").alias("abs_path"), F.col("length").alias("size_bytes"), F.unix_timestamp("modificationTime").alias("mtime"))
@@ -29,10 +32,69 @@ def walk(spark: SparkSession, root: str) -> DataFrame:
     base = "file:" + root.rstrip("/") + "/" if root.startswith("/") else root.rstrip("/") + "/"
     rel = F.when(F.startswith("abs_path", F.lit(base)), F.substring("abs_path", len(base) + 1, 1 << 20)).otherwise(F.col("abs_path"))
     skip = r"(^|/)(" + "|".join(d.replace(".", r"\.") for d in SKIP_DIRS) + ")/"
-    return (
-        files.withColumn("path", rel).where(~F.col("path").rlike(skip))
-        .select(tx.sha1_id("path").alias("id"), "path", "abs_path", tx.suffix("path").alias("ext"), tx.ext_group(tx.suffix("path")).alias("ext_group"), "size_bytes", "mtime")
+    inventory = files.select("*", rel.alias("path")).where(~F.col("path").rlike(skip)).select(
+        tx.sha1_id("path").alias("id"), "path", "abs_path", tx.suffix("path").alias("ext"), tx.ext_group(tx.suffix("path")).alias("ext_group"), "size_bytes", "mtime"
     )
+    return with_mime(spark, inventory) if sniff else inventory
+
+
+def with_mime(spark: SparkSession, inventory: DataFrame) -> DataFrame:
+    """inventory (abs_path, ext_group, size_bytes) with mime. Only the files that are to be looked into are opened, each by
+    the task that has its row, and only their first bytes are read."""
+    from ..operators.ingest import needs_sniffing, sniff
+
+    want = F.coalesce(needs_sniffing(F.col("ext_group"), F.col("size_bytes")), F.lit(False))
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for path, look in zip(b.column("abs_path").to_pylist(), b.column("_want").to_pylist(), strict=True):
+                out.append(_head(path) if look else None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "_head"])
+
+    kinds = ", ".join(f"`{n}` {t}" for n, t in inventory.dtypes)
+    looked = inventory.withColumn("_want", want).mapInArrow(run, f"{kinds}, _want boolean, _head binary")
+    return looked.withColumn("mime", sniff(F.coalesce("_head", F.lit(b"")))).drop("_want", "_head")
+
+
+def open_uri(path: str) -> pa.NativeFile:
+    """A file by the name that Spark gives it; works in tasks, for any file system that Arrow knows."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    if path.startswith(("file:", "/")):
+        return fs.LocalFileSystem().open_input_stream("/" + path.removeprefix("file:").lstrip("/"))
+    place, name = fs.FileSystem.from_uri(quote(path, safe=":/"))
+    return place.open_input_stream(name)
+
+
+def _head(path: str, size: int = 64) -> bytes:
+    """First bytes of a file; nothing if it can't be opened."""
+    try:
+        with open_uri(path) as f:
+            return f.read(size)
+    except (OSError, pa.ArrowInvalid):
+        return b""
+
+
+def with_content(rows: DataFrame) -> DataFrame:
+    """rows (abs_path …) with content: each file is read by the task that has its row, one at a time."""
+    kinds = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.names.index("abs_path")
+            for r in range(b.num_rows):
+                one = b.slice(r, 1)
+                try:
+                    with open_uri(one.column(at)[0].as_py()) as f:
+                        data = f.read()
+                except (OSError, pa.ArrowInvalid):
+                    data = None
+                yield pa.RecordBatch.from_arrays([*one.columns, pa.array([data], pa.binary())], names=[*one.schema.names, "content"])
+
+    return rows.mapInArrow(run, f"{kinds}, content binary")
 
 
 def loose_files(spark: SparkSession, root: str, exts: tuple[str, ...] = ("docx", "pdf", "pptx", "xlsx")) -> DataFrame:
@@ -41,28 +103,59 @@ def loose_files(spark: SparkSession, root: str, exts: tuple[str, ...] = ("docx",
     return files.where(F.lower(F.regexp_extract("path", r"\.([^.]+)$", 1)).isin(*exts)).select(F.col("path").alias("abs_path"), F.col("length").alias("size_bytes"))
 
 
+#: Archives inside archives are opened down to this depth.
+ARCHIVE_DEPTH = 5
+_ARCHIVE = (".tar", ".tar.gz", ".tgz", ".tar.xz", ".txz", ".tar.zst", ".tzst", ".zip")
+
+
+def _members(name: str, stream: BinaryIO, depth: int) -> Iterator[tuple[str, bytes]]:
+    """(name, content) of the files of an archive, one after the other; of an archive in it the files of that, named
+    <archive>!<member>. A stream is read once and forwards where its format allows."""
+    low = name.lower()
+    if low.endswith(".zip"):
+        whole = stream if stream.seekable() else io.BytesIO(stream.read())
+        with zipfile.ZipFile(whole) as z:
+            for n in z.namelist():
+                if not n.endswith("/"):
+                    with z.open(n) as f:
+                        yield from _member(n, f, depth)
+        return
+    if low.endswith("zst"):
+        import zstandard
+
+        stream = zstandard.ZstdDecompressor().stream_reader(stream)
+    with tarfile.open(fileobj=stream, mode="r|" if low.endswith("zst") else "r|*") as t:
+        for m in t:
+            if m.isfile():
+                yield from _member(m.name, t.extractfile(m), depth)
+
+
+def _member(name: str, stream: BinaryIO, depth: int) -> Iterator[tuple[str, bytes]]:
+    if depth and name.lower().endswith(_ARCHIVE):
+        data = stream.read()
+        try:
+            for n, content in _members(name, io.BytesIO(data), depth - 1):
+                yield f"{name}!{n}", content
+        except (tarfile.TarError, zipfile.BadZipFile, EOFError):
+            yield name, data  # called an archive but none
+    else:
+        yield name, stream.read()
+
+
 def expand_archives(archives: DataFrame) -> DataFrame:
-    """member, content, error of every file in the archives (path, content): tar (plain, gz, xz, zst) and zip. A broken
-    archive gives one row with an error, so it fails no task."""
+    """archive, member, content, error of every file in the archives (path, content): tar (plain, gz, xz, zst) and zip, also
+    those inside other archives. Members go on one by one; a broken archive gives a row with an error behind what could be
+    read, so it fails no task."""
 
     def run(batches):
         for pdf in batches:
-            out = []
             for path, raw in zip(pdf["path"], pdf["content"], strict=True):
                 try:
-                    if path.endswith(".zst"):
-                        import zstandard
-
-                        raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw)).read()
-                    if zipfile.is_zipfile(io.BytesIO(raw)):
-                        with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                            out += [(path, n, z.read(n), None) for n in z.namelist() if not n.endswith("/")]
-                    else:
-                        with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as t:
-                            out += [(path, m.name, t.extractfile(m).read(), None) for m in t.getmembers() if m.isfile()]
+                    for name, content in _members(path, io.BytesIO(raw), ARCHIVE_DEPTH):
+                        yield pd.DataFrame([(path, name, content, None)], columns=["archive", "member", "content", "error"])
                 except Exception as exc:  # noqa: BLE001
-                    out.append((path, None, None, f"{type(exc).__name__}: {exc}"[:200]))
-            yield pd.DataFrame(out, columns=["archive", "member", "content", "error"])
+                    error = f"{type(exc).__name__}: {exc}"[:200]
+                    yield pd.DataFrame([(path, None, None, error)], columns=["archive", "member", "content", "error"])
 
     return archives.select("path", "content").mapInPandas(run, "archive string, member string, content binary, error string")
 
