@@ -246,55 +246,89 @@ def term_ranks(hits: DataFrame) -> DataFrame:
     return hits.groupBy("query_id", "doc_id").agg(F.min("rank").alias("best_rank"))
 
 
-def ivf_cells(vectors: DataFrame, key: str, vector: str, sample: int = 20_000, seed: int = 11):
-    """(centroids, vectors with `cell`): an inverted-file index with about the square root of n cells, fitted by
-    k-means on a bounded sample; every row gets the cell of its nearest centroid."""
+#: Vectors from which an inverted file pays, sampled rows on which its cells are fitted and cells, both at most.
+IVF_ROWS, IVF_SAMPLE, IVF_CELLS = 50_000, 20_000, 4_096
+
+
+def fit_cells(vectors: DataFrame, key: str, vector: str, seed: int = 11) -> np.ndarray:
+    """Unit centroids of about the square root of n cells, by k-means on a bounded sample picked by the hash of the key."""
     n = vectors.count()
-    cells = max(1, int(n**0.5))
-    share = min(1.0, 1.2 * sample / max(n, 1))
-    rows = vectors.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20))).select(vector).limit(sample).collect()
-    x = np.array([r[0] for r in rows], np.float64)
+    share = min(1.0, 1.2 * IVF_SAMPLE / max(n, 1))
+    rows = vectors.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20))).select(vector).limit(IVF_SAMPLE).collect()
+    x = np.array([r[0] for r in rows], np.float32).reshape(len(rows), -1)
     x /= np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None]
     rng = np.random.default_rng(seed)
-    cells = min(cells, len(x))
-    c = x[rng.choice(len(x), cells, replace=False)]
-    for _ in range(8):
+    cells = min(max(1, int(n**0.5)), IVF_CELLS, len(x))
+    c = x[rng.choice(len(x), cells, replace=False)] if cells else x[:0]
+    for _ in range(8 if cells else 0):
         near = (x @ c.T).argmax(axis=1)
-        for j in range(cells):
-            if len(m := x[near == j]):
-                c[j] = m.mean(axis=0)
-        c /= np.maximum(np.linalg.norm(c, axis=1), 1e-12)[:, None]
-    shared = vectors.sparkSession.sparkContext.broadcast(c)
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema)
-    at = vectors.columns.index(vector)
+        total = np.zeros_like(c)
+        np.add.at(total, near, x)
+        norm = np.linalg.norm(total, axis=1)
+        c = np.where(norm[:, None] > 1e-9, total / np.maximum(norm, 1e-9)[:, None], c)
+    return c
+
+
+def build_ivf(vectors: DataFrame, folder: str, key: str, vector: str, least: int = IVF_ROWS) -> None:
+    """Writes usable vectors (key, vector) under their cell, a folder each, and the centroids last. With fewer
+    than `least` vectors there is one cell, so a search is exact."""
+    spark = vectors.sparkSession
+    usable = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & F.exists(vector, lambda x: x != 0))
+    dim = usable.groupBy(F.size(vector).alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
+    usable = usable.where(F.size(vector) == (dim[0].dim if dim else 0)).select(key, F.col(vector).cast("array<float>").alias("v"))
+    c = fit_cells(usable, key, "v") if usable.count() >= least else np.zeros((1, dim[0].dim if dim else 0), np.float32)
+    shared = spark.sparkContext.broadcast(c)
 
     def assign(batches):
         for b in batches:
             if b.num_rows:
-                v = b.column(at).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array((v @ shared.value.T).argmax(axis=1), pa.int32())], names=[*b.schema.names, "cell"])
-
-    return c, vectors.mapInArrow(assign, fields + ", cell int")
-
+                x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                x = x / np.linalg.norm(x, axis=1)[:, None]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((x @ shared.value.T).argmax(axis=1), pa.int32())], names=[key, "v", "cell"])
+
+    placed = usable.mapInArrow(assign, f"{key} {dict(usable.dtypes)[key]}, v array<float>, cell int")
+    placed.repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(f"{folder}/cells")
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(c)]
+    spark.createDataFrame(rows, "cell int, centroid array<float>").coalesce(1).write.mode("overwrite").parquet(f"{folder}/centroids")
+
+
+def ann(spark: SparkSession, folder: str, queries: list[Query], k: int, probes: float, key: str) -> DataFrame:
+    """query_id, key, score, rank: the k nearest rows of each query among those of its `probes` nearest cells (below 1: that
+    share of all cells), by exact cosine. Only the folders of cells that some query probes are read; each task multiplies
+    a cell's rows with the queries that probe it and keeps its own best."""
+    rows = spark.read.parquet(f"{folder}/centroids").orderBy("cell").collect()
+    c = np.array([r.centroid for r in rows], np.float32).reshape(len(rows), -1)
+    asked = [q for q in queries if q.vector is not None and len(q.vector) == c.shape[1]]
+    cells = spark.read.parquet(f"{folder}/cells")
+    schema = f"query_id string, {key} {dict(cells.dtypes)[key]}, score double"
+    if not asked:
+        return spark.createDataFrame([], schema + ", rank int")
+    q = np.array([p.vector for p in asked], np.float64)
+    q /= np.maximum(np.linalg.norm(q, axis=1), 1e-12)[:, None]
+    most = int(np.ceil(probes * len(c))) if probes < 1 else min(int(probes), len(c))
+    near = np.argsort(-(q @ c.T), axis=1, kind="stable")[:, :most]
+    by_cell = {int(j): np.flatnonzero((near == j).any(axis=1)) for j in np.unique(near)}
+    shared = spark.sparkContext.broadcast(([p.query_id for p in asked], q, by_cell))
+    kind = pa.string() if dict(cells.dtypes)[key] == "string" else None
 
-def ann(indexed: DataFrame, centroids: np.ndarray, queries: list[Query], k: int, probes: int, key: str, vector: str) -> DataFrame:
-    """The k nearest rows of each query among those of its `probes` nearest cells, by exact cosine."""
-    spark = indexed.sparkSession
-    out = None
-    by_cells: dict[tuple[int, ...], list[Query]] = {}
-    for q in queries:
-        v = np.array(q.vector) / max(float(np.linalg.norm(q.vector)), 1e-12)
-        near = tuple(sorted(np.argsort(-(centroids @ v))[:probes].tolist()))
-        by_cells.setdefault(near, []).append(q)
-    pairs = [(q.query_id, c) for near, qs in by_cells.items() for q in qs for c in near]
-    wanted = spark.createDataFrame(pairs, "query_id string, cell int")
-    asked = spark.createDataFrame([(q.query_id, [float(x) for x in q.vector]) for q in queries], "query_id string, q array<double>")
-    cells = sorted({c for _, c in pairs})
-    met = indexed.where(F.col("cell").isin(cells)).join(F.broadcast(wanted), "cell").join(F.broadcast(asked), "query_id")
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
-    cos = dot(F.col(vector), F.col("q")) / F.sqrt(dot(F.col(vector), F.col(vector)) * dot(F.col("q"), F.col("q")))
-    out = met.select("query_id", key, F.round(cos, 6).alias("score"))
-    return top_k(out, k, key=key)
+    def run(batches):
+        names, vectors, wanted = shared.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.float64)
+            x /= np.linalg.norm(x, axis=1)[:, None]
+            cell = b.column(2).to_numpy(zero_copy_only=False)
+            for j in np.unique(cell):
+                rows, ask = np.flatnonzero(cell == j), wanted[int(j)]
+                sims = np.round(vectors[ask] @ x[rows].T, 6)
+                edge = -np.partition(-sims, min(k, len(rows)) - 1, axis=1)[:, min(k, len(rows)) - 1]
+                qi, xi = np.nonzero(sims >= edge[:, None])
+                ids = b.column(0).take(pa.array(rows[xi]))
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in ask[qi]], pa.string()), ids if kind is None else ids.cast(kind), pa.array(sims[qi, xi])], names=["query_id", key, "score"])
+
+    found = cells.where(F.col("cell").isin(list(by_cell))).select(key, "v", "cell").mapInArrow(run, schema)
+    return top_k(found.distinct(), k, key=key)
 
 
 def hash_encode(chunks: DataFrame, dim: int = 256, text: str = "text") -> DataFrame:

@@ -1,8 +1,8 @@
 """Topic triage: weighted capped term counts, bonuses, penalty, hits and snippets, rank, tiers.
 
-The plan is one projection with a generated count for each term: no join, no shuffle before the top-k, and the text
-column is read once. Beyond MANY_TERMS terms the counts come from an array built by a loop in the expression, which
-keeps generated code small.
+The plan is projections with a generated count for each term: no join, no shuffle before the top-k, and the text column
+is read once. Terms are counted in blocks of BLOCK, a projection each, and summed by a loop over the counted array, so
+generated code stays small however long the list is.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from ..session import spread
 WEIGHTS = {"high": 10, "medium": 3, "low": 1}
 TIER_BONUS = {"high": 10, "medium": 3}
 DATA_EXTS = [".csv", ".xls", ".xlsx"]
+#: Terms that one projection counts.
+BLOCK = 40
 
 
 @dataclass(frozen=True)
@@ -59,8 +61,12 @@ def with_hits(records: DataFrame, topic: Topic) -> DataFrame:
         for i, (t, x) in enumerate(topic.terms())
     ]
     kind = "array<struct<term:string,tier:string,ord:int,n:int>>"
-    # through a generator of one row, so that the counts are made once and not wherever they are used
-    return records.select("*", F.explode(F.array(F.array(*one) if one else F.array().cast(kind))).alias("hits"))
+    out, names = records, []
+    for k in range(0, len(one), BLOCK):
+        # through a generator of one row, so that the counts are made once and not wherever they are used
+        names.append(f"_hits{k}")
+        out = out.select("*", F.explode(F.array(F.array(*one[k : k + BLOCK]))).alias(names[-1]))
+    return out.withColumn("hits", F.concat(*names) if names else F.array().cast(kind)).drop(*names)
 
 
 def _of_tier(tier: str):
@@ -84,13 +90,17 @@ def score(
     to one place. A term in two tiers scores twice and counts once as distinct. Null and empty texts match nothing.
     """
     counted = with_hits(spread(records.where(F.coalesce("text", F.lit("")) != "")), topic)
-    points = F.lit(0)
-    for i, (tier, _) in enumerate(topic.terms()):
-        n = F.col("hits")[i]["n"]
-        cap = _cap(tier, low_cap, mid_cap)
-        points = points + topic.weights[tier] * (n if cap is None else F.least(n, F.lit(cap)))
+
+    def points(h: Column) -> Column:
+        out = F.lit(0)
+        for tier, weight in topic.weights.items():
+            cap = _cap(tier, low_cap, mid_cap)
+            out = F.when(h["tier"] == tier, weight * (h["n"] if cap is None else F.least(h["n"], F.lit(cap)))).otherwise(out)
+        return out.cast("long")
+
+    raw = F.aggregate("hits", F.lit(0).cast("long"), lambda total, h: total + points(h))
     hit = F.filter("hits", lambda h: h["n"] > 0)
-    out = counted.withColumn("raw_score", points.cast("long")).withColumn("hits", hit).where(F.col("raw_score") >= min_score)
+    out = counted.withColumn("raw_score", raw).withColumn("hits", hit).where(F.col("raw_score") >= min_score)
     distinct = F.size(F.array_distinct(F.transform("hits", lambda h: h["term"])))
     high = F.size(F.array_distinct(F.transform(F.filter("hits", lambda h: h["tier"] == "high"), lambda h: h["term"])))
     bonus = F.lit(0)

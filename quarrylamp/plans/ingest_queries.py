@@ -275,10 +275,16 @@ def lang_detect(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "records").select("id", "shard_file", "line_no", ingest.detect_lang(F.col("text")).alias("lang"))
 
 
-@query(None)
+_SPACE = r"[\s\p{Z}\x{0085}\x{001c}-\x{001f}]+"
+BLOCKS = f"list_filter(list_transform(string_split(coalesce(text, ''), chr(10) || chr(10)), lambda p: trim(regexp_replace(p, '{_SPACE}', ' ', 'g'))), lambda p: p <> '')"
+
+
+@query(f"SELECT id, array_to_string(b, chr(10) || chr(10)) AS text, len(b) AS n_elements, length(array_to_string(b, chr(10) || chr(10))) AS char_count, '' AS error FROM (SELECT id, {BLOCKS} AS b FROM {LAST})")
 def html_extract(spark: SparkSession, sf: str) -> DataFrame:
-    """Records' texts wrapped as pages and extracted again."""
-    pages = ingest.dedup(table(spark, sf, "records"), "last").where("ext = '.html'").select(
-        "id", F.concat(F.lit("<html><head><title>t</title></head><body><p>"), F.replace(F.coalesce("text", F.lit("")), F.lit("\n\n"), F.lit("</p><p>")), F.lit("</p></body></html>")).alias("html")
-    )
-    return io.html_records(pages)
+    """All records' texts made into pages, a paragraph for each block, and extracted again."""
+    text = F.coalesce("text", F.lit(""))
+    for raw, mark in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\n\n", "</p><p>")):
+        text = F.replace(text, F.lit(raw), F.lit(mark))
+    pages = ingest.dedup(table(spark, sf, "records").select("id", "shard_file", "line_no", "text"), "last")
+    pages = pages.select("id", F.concat(F.lit("<html><head><title>t</title></head><body><p>"), text, F.lit("</p></body></html>")).alias("html"))
+    return io.html_records(pages).withColumns({c: F.col(c).cast("long") for c in ("n_elements", "char_count")})

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, ingest, rag, search
+from ..operators import audit, ingest, rag, runs, search
 from ..sources import io
 from ..tables import table
 from .ingest_queries import LAST
@@ -77,26 +80,29 @@ def budget_trim(spark: SparkSession, sf: str) -> DataFrame:
     return rag.trim(ranked.join(sizes, "doc_id"), BUDGET).select("doc_id", F.col("rank").cast("long"), F.col("total_tokens").cast("long"))
 
 
-BATTERY = {
-    "sections": [
-        {"id": "net", "name": "Network", "topics": [
-            {"id": "loss", "topic": "Loss", "question": "what lost samples", "terms": ["collector", "samples"], "fields": ["CAUSE", "SITE"]},
-            {"id": "delay", "topic": "Delay", "question": "what raised latency", "terms": ["latency", "912"], "fields": ["CAUSE"], "use_union_context": True},
-        ]},
-        {"id": "docs", "name": "Documents", "topics": [{"id": "lists", "topic": "Lists", "question": "which handbook was sent", "terms": ["handbook"], "fields": ["NAME"]}]},
-    ]
-}
-
+BATTERY_FILE = Path(__file__).with_name("battery.yaml")
+BATTERY = yaml.safe_load(BATTERY_FILE.read_text(encoding="utf-8"))
 
 @query("SELECT * FROM (VALUES ('net', 'loss', 'collector, samples', false), ('net', 'delay', 'latency, 912', true)) t(section_id, id, terms, use_union_context)")
 def battery_load(spark: SparkSession, sf: str) -> DataFrame:
-    return rag.battery(spark, BATTERY, ["net"]).select("section_id", "id", F.array_join("terms", ", ").alias("terms"), "use_union_context")
+    """The topics of one section of the battery's file."""
+    return rag.load_battery(spark, BATTERY_FILE, ["net"]).select("section_id", "id", F.array_join("terms", ", ").alias("terms"), "use_union_context")
 
 
-@query(None)
+QUESTIONS = {t["id"]: t["question"] for s in BATTERY["sections"] for t in s["topics"]}
+TOPICS = ", ".join(
+    "('" + "', '".join((t["id"], t["topic"], t["question"], ", ".join(t["terms"]), "\n".join(f"{f}:" for f in t["fields"]))) + "')"
+    for s in BATTERY["sections"] for t in s["topics"]
+)
+CONTEXT_300 = f"""(SELECT query_id, string_agg('### Source: ' || coalesce(path, '') || chr(10) || {STRIP}, chr(10) || chr(10) ORDER BY doc_rank, chunk_rank, chunk_id) AS context
+FROM (SELECT g.query_id, g.doc_rank, g.chunk_rank, g.chunk_id, c.path, {WINDOW.replace('1500', '300')} AS w FROM {group_sql(bm25_sql(QUESTIONS, 50), 2, 5)} g JOIN {ONE} c ON c.chunk_id = g.chunk_id LEFT JOIN {LAST} r ON r.id = c.doc_id) GROUP BY query_id)"""
+
+
+@query(f"""SELECT t.id, 'TOPIC: ' || topic || chr(10) || 'QUESTION: ' || question || chr(10) || 'TERMS: ' || terms || chr(10) || 'Answer from the context only; write NOT FOUND if it has no answer, and quote each source.' || chr(10) || fields ||
+chr(10) || 'CONTEXT:' || chr(10) || coalesce(context, '') AS prompt FROM (VALUES {TOPICS}) t(id, topic, question, terms, fields) LEFT JOIN {CONTEXT_300} c ON c.query_id = t.id""")
 def battery_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    topics = rag.battery(spark, BATTERY)
-    qs = [search.Query(t["id"], t["question"]) for s in BATTERY["sections"] for t in s["topics"]]
+    topics = rag.load_battery(spark, BATTERY_FILE)
+    qs = [search.Query(k, v) for k, v in QUESTIONS.items()]
     hits = search.search(_store(spark, sf), qs, "fts", top=5).drop("doc_id")
     context = rag.gather(rag.windows(hits.join(_one(spark, sf), "chunk_id"), table(spark, sf, "records"), 300))
     return rag.battery_prompts(topics, context)
@@ -104,21 +110,22 @@ def battery_prompt(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(None)
 def battery_answers(spark: SparkSession, sf: str) -> DataFrame:
-    """Prompts answered by the offline stand-in."""
-    return rag.complete_all(battery_prompt(spark, sf), rag.EchoCompleter())
+    """A whole run over the battery, answered by the offline stand-in."""
+    return runs.answer_battery(spark, _store(spark, sf), table(spark, sf, "records"), BATTERY, rag.EchoCompleter())
 
 
-@query("SELECT sha1(string_agg(region.r_name, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY r_regionkey)) AS text_sha1 FROM region")
+@query("SELECT sha1(string_agg(body, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY ord)) AS text_sha1 FROM (SELECT DISTINCT source AS ord, source || ' belongs to ' || coalesce(project, '') AS body FROM sources WHERE source IS NOT NULL AND project IS NOT NULL)")
 def synthesis_input(spark: SparkSession, sf: str) -> DataFrame:
-    """A report's parts joined in order; regions stand in for the few outputs that a synthesis reads."""
-    parts = table(spark, sf, "region").select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("body"))
-    return rag.synthesis_input(parts).select(F.sha1("text").alias("text_sha1"))
+    """Notes joined in order, one for each source; a synthesis reads as few outputs as a prompt holds."""
+    notes = table(spark, sf, "sources").where("source is not null and project is not null").select(F.col("source").alias("ord"), F.concat("source", F.lit(" belongs to "), F.coalesce("project", F.lit(""))).alias("body"))
+    return rag.synthesis_input(notes.distinct()).select(F.sha1("text").alias("text_sha1"))
 
 
-@query(None)
+@query("""SELECT string_agg('## ' || title || chr(10) || chr(10) || body, chr(10) || chr(10) ORDER BY ord) AS value FROM (SELECT source AS ord, source AS title, count(*)::VARCHAR || ' documents' AS body FROM documents WHERE source IS NOT NULL GROUP BY source)""")
 def report_md(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "region").select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("title"), F.col("r_name").alias("body"))
-    return io.report_lines(rows)
+    """A report with a block for each source of the documents."""
+    per = table(spark, sf, "documents").where("source is not null").groupBy("source").agg(F.concat(F.count("*").cast("string"), F.lit(" documents")).alias("body"))
+    return io.report_lines(per.select(F.col("source").alias("ord"), F.col("source").alias("title"), "body"))
 
 
 # Translations made from records: the number of slides, the last block's length and the header vary with the text.

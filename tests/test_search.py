@@ -71,16 +71,55 @@ def test_fusion(spark):
     assert out["x"] == out["y"] == pytest.approx(1 / 61 + 1 / 62, abs=1e-6) and out["z"] == out["w"] == pytest.approx(1 / 63, abs=1e-6)
 
 
-def test_inverted_file_recall(spark):
+def test_inverted_file_recall(spark, tmp_path):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((600, 16))
-    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id int, embedding array<float>")
-    centroids, cells = search.ivf_cells(df, "vec_id", "embedding")
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    dirt = [(900, None), (901, [0.0] * 16), (902, [1.0]), (None, rows[0][1]), rows[5]]
+    df = spark.createDataFrame(rows + dirt, "vec_id int, embedding array<float>")
     qs = [search.Query(str(i), "", tuple(x[i])) for i in range(0, 600, 50)]
-    out = search.ann(cells, centroids, qs, 10, len(centroids) // 2, "vec_id", "embedding").collect()
     u = x / np.linalg.norm(x, axis=1)[:, None]
-    hit = sum(len(set(np.argsort(-(u @ u[int(q.query_id)]))[:10]) & {r.vec_id for r in out if r.query_id == q.query_id}) for q in qs)
-    assert hit / (10 * len(qs)) >= 0.9
+    want = {q.query_id: set(np.argsort(-(u @ u[int(q.query_id)]))[:10]) for q in qs}
+    for least, probes, recall in ((0, 0.5, 0.9), (50_000, 1, 1.0)):
+        search.build_ivf(df, str(tmp_path / "i"), "vec_id", "embedding", least)
+        out = search.ann(spark, str(tmp_path / "i"), qs, 10, probes, "vec_id").collect()
+        assert len(out) == 10 * len(qs) and sum(r.vec_id in want[r.query_id] for r in out) >= recall * len(out)
+    plan = search.ann(spark, str(tmp_path / "i"), qs[:1], 10, 1, "vec_id")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan
+    assert search.ann(spark, str(tmp_path / "i"), [search.Query("t", "x")], 3, 1, "vec_id").count() == 0
+    search.build_ivf(df.limit(0), str(tmp_path / "e"), "vec_id", "embedding")
+
+
+def test_repeated_ids_hold_no_places(spark):
+    rows = [("a", [1.0, 0.0])] * 30 + [("b", [0.9, 0.1]), ("c", [0.8, 0.2])]
+    df = spark.createDataFrame([(k, k, "p", v) for k, v in rows], "chunk_id string, doc_id string, path string, vector array<float>").coalesce(1)
+    assert ids(search.dense(df, [search.Query("q", "", (1.0, 0.0))], 3)) == ["a", "b", "c"]
+
+
+def test_hash_encoder_by_hand(spark):
+    import xxhash
+
+    df = spark.createDataFrame([("a", "one two two"), ("b", "Two one two"), ("e", ""), ("n", None)], "chunk_id string, text string")
+    out = {r.chunk_id: np.array(r.vector) for r in search.hash_encode(df, 32).collect()}
+    v = np.zeros(32)
+    for t in ("one", "two", "two"):
+        h = xxhash.xxh64_intdigest(t.encode(), seed=42)
+        h -= (h >> 63) << 64
+        v[h % 32] += 1 if (h >> 40) & 1 else -1
+    assert np.allclose(out["a"], v / np.linalg.norm(v), atol=1e-6) and np.allclose(out["a"], out["b"]) and not out["e"].any() and not out["n"].any()
+
+
+def test_index_gives_what_the_scan_gives(spark, chunks, tmp_path):
+    from quarrylamp.operators import index
+
+    store = index.build(spark, str(tmp_path / "s"), chunks)
+    rows = lambda df: sorted(tuple(r) for r in df.select("query_id", "chunk_id", "doc_id", "path", "score", "rank").collect())
+    qs = [search.Query("a", "flow tables"), search.Query("b", "RESEAU privé"), search.Query("c", "unseen"), search.Query("d", "")]
+    for condition in (None, search.where(["out_"], "en")):
+        assert rows(search.bm25(store, qs, 5, condition)) == rows(search.bm25(chunks, qs, 5, condition))
+    plan = store.postings(spark, ["flow"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and f"({index.term_bucket('flow')})" in plan.replace(" = ", " (").replace("IN ", "") or str(index.term_bucket("flow")) in plan
+    assert search.search(store, qs, "fts").count() == search.search(chunks, qs, "fts").count()
 
 
 PARAGRAPHS = "\n\n".join(f"Paragraph {i} has some words in it" for i in range(40))
@@ -116,3 +155,33 @@ def test_chunk_documents_and_windows(spark):
     assert {r.id for r in out} == {"a", "e"} and all(PARAGRAPHS[r.char_start : r.char_end] == r.text for r in out if r.id == "a")
     w = chunking.fixed_windows(df, 4, 1).where("id = 'e'").collect()
     assert [r.tokens for r in w] == [["one", "two"]]
+
+
+def gathered(text, target, most, overlap):
+    """The chunker as its description says it, paragraph by paragraph."""
+    tokens = lambda a, z: [m for m in chunking.stub_tokenizer(text[a:z])]
+    paragraphs, at = [], 0
+    for p in text.split("\n\n"):
+        paragraphs.append((at, at + len(p)))
+        at += len(p) + 2
+    out, now = [], []
+    for a, z in [p for p in paragraphs if tokens(*p)]:
+        weigh = lambda ps: sum(len(tokens(*p)) for p in ps)
+        size = weigh([(a, z)])
+        if now and (size > most or weigh(now) + size > target):
+            out.append((now[0][0], now[-1][1]))
+            tail = next((now[k:] for k in range(len(now), -1, -1) if weigh(now[k:]) >= overlap), now)
+            now = [] if size > most else tail[1:] if len(tail) == len(now) > 1 else tail
+        if size <= most:
+            now.append((a, z))
+            continue
+        step, spans = max(1, most - overlap), tokens(a, z)
+        out += [(a + spans[k][0], a + spans[min(k + most, size) - 1][1]) for k in range(0, max(size - most, 0) + step, step)]
+    return out + ([(now[0][0], now[-1][1])] if now else [])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 14), max_size=9), st.integers(1, 12), st.integers(3, 12), st.integers(0, 6))
+def test_chunks_as_described(sizes, target, most, overlap):
+    text = "\n\n".join(" ".join("wv"[: 1 + k % 2] for k in range(n)) for n in sizes)
+    assert chunking.chunk_spans(text, target=target, most=most, overlap=overlap) == gathered(text, target, most, overlap)

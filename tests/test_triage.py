@@ -51,3 +51,12 @@ def test_topic_file(tmp_path):
     assert t.terms() == [("high", "特征库"), ("high", "912")]
     with pytest.raises(FileNotFoundError):
         triage.Topic.load(tmp_path / "no.yaml")
+
+
+def test_long_term_lists_are_counted_in_blocks(spark):
+    words = [f"w{i:03d}" for i in range(300)]
+    topic = triage.Topic("long", high=tuple(words[:100]), medium=tuple(words[100:200]), low=tuple(words[200:]))
+    text = " ".join(words[i] for i in (0, 0, 150, 250, 250, 299))
+    df = spark.createDataFrame([("a", "p/a", ".txt", "en", 1, text), ("b", "p/b", ".txt", "en", 1, None)], "id string, path string, ext string, lang string, char_count bigint, text string")
+    r = triage.score(df, topic).collect()
+    assert len(r) == 1 and r[0].raw_score == 2 * 10 + 3 + 3 and r[0].n_unique_terms == 4 and [(h.term, h.n) for h in r[0].hits] == [("w000", 2), ("w150", 1), ("w250", 2), ("w299", 1)]
