@@ -10,13 +10,16 @@ opens the node with the largest least margin on its path, over all trees; since
 parent's, the first P leaves that it yields are those with the P largest path priorities, which is how they are found
 here, for a whole batch at once by matrix products.
 
-Rows meet their leaf's other rows in one shuffle, as eight-bit vectors (their dot products are off by some 0.001).
+Rows meet their leaf's other rows in one shuffle, as eight-bit vectors (their dot products are off by some 0.001). A task
+holds a bounded block of a leaf's members; those who ask pass by in batches.
 Candidates that reach the threshold less SLACK, or are among the best k + SPARE of a query, are reranked by the cosine
 of the full vectors.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +31,12 @@ DIM, K = 128, 10
 #: Rows on which trees are fitted at most; trees; rows aimed at in a leaf; levels at most, which bounds the tree table
 #: that is sent to tasks to TREES * 2**MAX_DEPTH vectors (8 MB).
 SAMPLE, TREES, LEAF, MAX_DEPTH = 16_384, 4, 1024, 12
-#: Leaves that a query visits besides its own; eight-bit error allowed for; rows of a leaf compared at once
-#: (with 4 * BLOCK members).
+#: Leaves that a query visits besides its own; eight-bit error allowed for; further candidates kept; rows compared at once.
 VISITS, SLACK, SPARE, BLOCK = 6, 0.01, 6, 2048
+#: Members of a leaf that a task holds together. A leaf that is to get more is dealt over as many blocks as it needs, and
+#: whoever asks in it asks in all of them, so large leaves (beyond 2**MAX_DEPTH * LEAF rows, or where many vectors are
+#: nearly equal) lose nothing.
+HELD = 8192
 
 
 def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -223,7 +229,8 @@ def _pairs_and_members(
     )
     sample = np.stack([np.frombuffer(r.unit, np.float32) for r in picked]) if picked else np.empty((0, dim), np.float32)
     normals, offsets = fit_forest(sample, depth, trees)
-    shared = chunks.sparkSession.sparkContext.broadcast((normals, offsets))
+    blocks = _blocks(sample, normals, offsets, depth, trees, count)
+    shared = chunks.sparkSession.sparkContext.broadcast((normals, offsets, blocks))
     asked = units.withColumn("asked", F.lit(True))
     if queries is not None:
         # a copy is asked for by the id that stands for it
@@ -232,7 +239,7 @@ def _pairs_and_members(
         asked = units.join(wanted, "id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
 
     def place(batches):
-        forest = shared.value
+        *forest, parts = shared.value
         for b in batches:
             for s in range(0, len(b["id"]), 1024):
                 ids, asks = b["id"][s : s + 1024], np.array(b["asked"][s : s + 1024])
@@ -241,19 +248,25 @@ def _pairs_and_members(
                 scale = np.abs(x).max(axis=1)
                 small = np.round(x / scale[:, None] * 127).astype(np.int8)
                 packed = [r.tobytes() for r in small]
-                o = {k: [] for k in ("leaf", "id", "member", "asked", "scale", "v")}
+                o = {k: [] for k in ("leaf", "part", "id", "member", "asked", "scale", "v")}
                 for i in range(len(ids)):
-                    for leaves, member in ((own[i], True), (visited[i] if asks[i] else (), False)):
-                        for p in leaves:
-                            for key, value in zip(o, (int(p), ids[i], member, bool(asks[i]), float(scale[i]), packed[i]), strict=True):
-                                o[key].append(value)
+                    ask = bool(asks[i])
+                    rows = []
+                    for p in map(int, own[i]):
+                        mine = zlib.crc32(ids[i].encode()) % parts[p]
+                        rows += [(p, j, j == mine) for j in (range(parts[p]) if ask else (mine,))]
+                    if ask:
+                        rows += [(p, j, False) for p in map(int, visited[i]) for j in range(parts[p])]
+                    for p, j, member in rows:
+                        for key, value in zip(o, (p, j, ids[i], member, ask, float(scale[i]), packed[i]), strict=True):
+                            o[key].append(value)
                 yield o
 
-    placed = map_batches(asked, place, "leaf int, id string, member boolean, asked boolean, scale float, v binary")
-    placed = placed.repartition("leaf").sortWithinPartitions("leaf", F.col("member").desc())
+    placed = map_batches(asked, place, "leaf int, part int, id string, member boolean, asked boolean, scale float, v binary")
+    placed = placed.repartition("leaf", "part").sortWithinPartitions("leaf", "part", F.col("member").desc())
 
     def compare(batches):
-        parts = (p for rows in _runs(batches) for p in _in_leaf(*rows, k, min_similarity))
+        parts = _met(batches, k, min_similarity)
         yield from parts if min_similarity is not None else _best_of(parts, k + SPARE)
 
     found = map_batches(placed, compare, "id string, neighbour string, similarity float").where(F.col("id") != F.col("neighbour"))
@@ -277,55 +290,84 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
 
 
-def _runs(batches):
-    """(ids, members, asked, x) of one leaf after the other."""
-    held: dict[str, list] = {}
-    at = None
+def _blocks(sample: np.ndarray, normals: np.ndarray, offsets: np.ndarray, depth: int, trees: int, count: int) -> np.ndarray:
+    """Blocks that each leaf's members are dealt over, by the share of the sample that lies in it."""
+    out = np.ones(trees * 2**depth, np.int64)
+    if len(sample) and count > HELD:
+        own, _ = search_leaves(sample, normals, offsets, depth, trees, 0)
+        held = np.bincount(own.reshape(-1), minlength=len(out)) * (count / len(sample))
+        out = np.maximum(1, np.ceil(held / HELD)).astype(np.int64)
+    elif count > HELD:  # no tree: one leaf holds all
+        out[:] = -(-count // HELD)
+    return out
+
+
+def _vectors(scale: list[float], packed: list[bytes]) -> np.ndarray:
+    x = np.frombuffer(b"".join(packed), np.int8).reshape(len(packed), -1).astype(np.float32)
+    x *= (np.array(scale, np.float32) / 127)[:, None]
+    return x
 
-    def flush():
-        if held and len(held["id"]) > 1:
-            scale = np.array(held["scale"], np.float32)
-            x = np.frombuffer(b"".join(held["v"]), np.int8).reshape(len(scale), -1).astype(np.float32)
-            x *= (scale / 127)[:, None]
-            yield held["id"], np.array(held["member"]), np.array(held["asked"]), x
+
+def _met(batches, k: int, least: float | None):
+    """Candidates of one block after the other. Its members come first and are held; those who ask are compared with them
+    in batches, members who ask too at once and visitors as they come."""
+    at = None
+    ids: list[str] = []
+    member_rows: list[tuple] = []
+    x = None
+    waiting: list[tuple] = []
+
+    def members() -> None:
+        nonlocal x, ids
+        if x is None and member_rows:
+            ids = [r[0] for r in member_rows]
+            x = _vectors([r[2] for r in member_rows], [r[3] for r in member_rows])
+
+    def ask(rows: list[tuple]):
+        if rows and member_rows:
+            members()
+            yield from _in_block([r[0] for r in rows], _vectors([r[2] for r in rows], [r[3] for r in rows]), ids, x, k, least)
 
     for b in batches:
-        cuts = np.flatnonzero(np.diff(np.array(b["leaf"]))) + 1
-        for s, e in zip([0, *cuts], [*cuts, len(b["leaf"])], strict=True):
-            if b["leaf"][s] != at:
-                yield from flush()
-                held, at = {k: [] for k in ("id", "member", "asked", "scale", "v")}, b["leaf"][s]
-            for key, rows in held.items():
-                rows.extend(b[key][s:e])
-    yield from flush()
-
-
-def _in_leaf(ids: list[str], member: np.ndarray, asked: np.ndarray, x: np.ndarray, k: int, least: float | None):
-    """Every asked row against every member, in blocks of both."""
-    names = np.array(ids, object)
-    members, ask = np.flatnonzero(member), np.flatnonzero(asked)
-    for t in range(0, len(members), 4 * BLOCK):
-        index = members[t : t + 4 * BLOCK]
-        of_index = x[index]
-        for s in range(0, len(ask), BLOCK):
-            rows = ask[s : s + BLOCK]
-            sims = x[rows] @ of_index.T
-            sims[rows[:, None] == index[None, :]] = -2  # a row is in a leaf once
-            if least is not None:
-                q, j = np.nonzero(sims >= least - SLACK)
-            else:
-                take = min(k + SPARE, len(index))
-                j = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-                q = np.repeat(np.arange(len(rows)), take)
-                j = j.reshape(-1)
-                ok = sims[q, j] > -2
-                q, j = q[ok], j[ok]
-            a, b = names[rows[q]], names[index[j]]
-            if least is not None and len(a):  # either order will do
-                swap = a > b
-                a, b = np.where(swap, b, a), np.where(swap, a, b)
-            if len(a):
-                yield {"id": a.tolist(), "neighbour": b.tolist(), "similarity": sims[q, j].tolist()}
+        for leaf, part, *row, member in zip(b["leaf"], b["part"], b["id"], b["asked"], b["scale"], b["v"], b["member"], strict=True):
+            if (leaf, part) != at:
+                yield from ask(waiting)
+                at, member_rows, waiting, x = (leaf, part), [], [], None
+            if member:
+                member_rows.append(tuple(row))
+            if row[1]:
+                waiting.append(tuple(row))
+            if len(waiting) >= BLOCK and not member:
+                yield from ask(waiting)
+                waiting = []
+    yield from ask(waiting)
+
+
+def _in_block(asking: list[str], y: np.ndarray, ids: list[str], x: np.ndarray, k: int, least: float | None):
+    """Every asking row against every member."""
+    index, names = np.array(ids, object), np.array(asking, object)
+    own = {i: j for j, i in enumerate(ids)}
+    me = np.array([own.get(i, -1) for i in asking])
+    for s in range(0, len(asking), BLOCK):
+        rows = slice(s, s + BLOCK)
+        sims = y[rows] @ x.T
+        here = np.flatnonzero(me[rows] >= 0)
+        sims[here, me[rows][here]] = -2
+        if least is not None:
+            q, j = np.nonzero(sims >= least - SLACK)
+        else:
+            take = min(k + SPARE, len(ids))
+            j = np.argpartition(-sims, take - 1, axis=1)[:, :take]
+            q = np.repeat(np.arange(len(sims)), take)
+            j = j.reshape(-1)
+            ok = sims[q, j] > -2
+            q, j = q[ok], j[ok]
+        a, b = names[rows][q], index[j]
+        if least is not None and len(a):  # either order will do
+            swap = a > b
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+        if len(a):
+            yield {"id": a.tolist(), "neighbour": b.tolist(), "similarity": sims[q, j].tolist()}
 
 
 def _best_of(parts, most: int, held: int = 400_000):

@@ -79,16 +79,56 @@ def test_copies_get_all_their_pairs_and_neighbours(spark):
     assert ids <= {r.neighbour for r in out if r.id == "c0107"}
 
 
-def test_large_leaf_loses_no_pair(monkeypatch):
+def test_large_leaves_in_blocks_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "HELD", 300)  # a leaf of all rows in six blocks
+    x, df = _table(spark)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    s = u @ u.T
+    want = {(f"c{i:04d}", f"c{j:04d}") for i, j in zip(*np.nonzero(s >= 0.8), strict=True) if i != j}
+    out = {(r.id, r.neighbour) for r in neighbours.similar_pairs(df, min_similarity=0.8, leaf=4096).collect()}
+    assert {p for p in out if not {"d1", "d2"} & set(p)} == want
+    q = spark.createDataFrame([("c0003",), ("c0107",)], "id string")
+    near = neighbours.similar_pairs(df, k=10, queries=q, leaf=4096).collect()
+    best = {f"c{j:04d}" for j in np.argsort(-s[3]) if j != 3}
+    got = [r.neighbour for r in near if r.id == "c0003"]
+    assert len(near) == 20 and got and set(got) == {f"c{j:04d}" for j in [j for j in np.argsort(-s[3]) if j != 3][:10]} and best
+
+
+def test_blocks_follow_the_share_of_a_leaf():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2000, 8)).astype("f4")
+    x[:700] = x[0] + 1e-4 * rng.standard_normal((700, 8))  # a crowd that medians can't divide well
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    forest = neighbours.fit_forest(x, 3, 2)
+    blocks = neighbours._blocks(x, *forest, 3, 2, 2_000_000)
+    own, _ = neighbours.search_leaves(x, *forest, 3, 2, 0)
+    size = np.bincount(own.reshape(-1), minlength=16) * 1000
+    assert (size / blocks <= neighbours.HELD).all() and blocks.min() >= 1
+    assert (neighbours._blocks(x[:0], *neighbours.fit_forest(x[:0], 0, 2), 0, 2, 100_000) == 13).all()
+
+
+def test_visitors_pass_by_in_batches(monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 4)
     x = np.random.default_rng(3).standard_normal((100, 16)).astype("f4")
     x /= np.linalg.norm(x, axis=1)[:, None]
-    ids, yes = [f"c{i:03d}" for i in range(100)], np.ones(100, bool)
-    s = x @ x.T
-    want = {(ids[i], ids[j]) for i, j in zip(*np.nonzero(s >= 0.4), strict=True) if i < j}
-    parts = list(neighbours._in_leaf(ids, yes, yes, x, 10, 0.4 + neighbours.SLACK))
-    assert {p for b in parts for p in zip(b["id"], b["neighbour"], strict=True)} == want
-    parts = list(neighbours._in_leaf(ids, yes, yes, x, 10, None))
-    got = {p for b in parts for p in zip(b["id"], b["neighbour"], strict=True)}
+    ids = [f"c{i:03d}" for i in range(100)]
+    scale = np.abs(x).max(axis=1)
+    small = np.round(x / scale[:, None] * 127).astype(np.int8)
+    y = small * (scale / 127)[:, None]
+    s = y @ y.T
     np.fill_diagonal(s, -2)
-    assert {(ids[i], ids[j]) for i in range(100) for j in np.argsort(-s[i])[:10]} <= got
+
+    def rows(leaf, members, asks):
+        order = sorted(range(100), key=lambda i: i not in members)
+        keep = [i for i in order if i in members or i in asks]
+        return [(leaf, 0, ids[i], i in asks, float(scale[i]), small[i].tobytes(), i in members) for i in keep]
+
+    every, few = set(range(100)), set(range(10))
+    table = rows(1, every, every) + rows(2, few, every) + rows(3, every, few)
+    names = ("leaf", "part", "id", "asked", "scale", "v", "member")
+    batches = [dict(zip(names, map(list, zip(*table[k : k + 37], strict=True)), strict=True)) for k in range(0, len(table), 37)]
+    got = [p for b in neighbours._met(iter(batches), 3, 0.4) for p in zip(b["id"], b["neighbour"], strict=True)]
+    full = {(ids[i], ids[j]) for i, j in zip(*np.nonzero(s >= 0.39), strict=True) if i < j}
+    assert set(got) == full
+    best = [(p, b) for b in neighbours._met(iter(batches[:3]), 3, None) for p in zip(b["id"], b["neighbour"], strict=True)]
+    assert {(ids[i], ids[j]) for i in range(100) for j in np.argsort(-s[i])[:3]} <= {p for p, _ in best}
