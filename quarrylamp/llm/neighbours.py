@@ -37,6 +37,8 @@ VISITS, SLACK, SPARE, BLOCK = 6, 0.01, 6, 2048
 #: whoever asks in it asks in all of them, so large leaves (beyond 2**MAX_DEPTH * LEAF rows, or where many vectors are
 #: nearly equal) lose nothing.
 HELD = 8192
+#: Members of a group of leaves that a task holds where every row visits a share of all leaves.
+GROUP = 65_536
 
 
 def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +147,8 @@ def similar_pairs(
     (equal ids have equal vectors). Vectors of exactly one direction form a class that its smallest id stands for in
     the search. With `min_similarity` its other members get one row to and from that id, so a class of n copies gives
     2 (n - 1) rows (expand_copies gives all); else every asked member gets its own `k` neighbours, copies included.
-    `visits` below 1 is a share of all leaves.
+    `visits` below 1 is a share of all leaves; where every row is asked for and visits many, it does so by groups of leaves
+    (_in_groups) after a first search in a few.
     `queries` (column id) restricts whose neighbours are looked for; every row is indexed. Ties go to the smaller
     id. An empty table gives no rows.
     """
@@ -220,6 +223,9 @@ def _pairs_and_members(
     units = _units(join_counted(good, members.select("id"), "id", "left_anti"))
     depth = int(np.clip(np.ceil(np.log2(max(count, 1) / leaf)), 0, MAX_DEPTH))
     visits = int(np.ceil(visits * trees * 2**depth)) if visits < 1 else int(visits)
+    # many leaves for every row: a few first, which tell what the others must reach to count
+    further = visits if min_similarity is None and queries is None and visits > 4 * VISITS else 0
+    visits = VISITS if further else visits
     # a bounded sample: hashes of ids are as good as random
     share = min(1.0, 1.2 * SAMPLE / max(count, 1))
     picked = (
@@ -272,6 +278,10 @@ def _pairs_and_members(
     found = map_batches(placed, compare, "id string, neighbour string, similarity float").where(F.col("id") != F.col("neighbour"))
     if min_similarity is None:  # what is best by eight bits over all leaves goes on
         found = _top(found.groupBy("id", "neighbour").agg(F.max("similarity").alias("similarity")), k + SPARE)
+        if further:
+            found = checkpointed(found)
+            more = _in_groups(asked, found, shared, depth, trees, further, k, count)
+            found = _top(found.unionByName(more).groupBy("id", "neighbour").agg(F.max("similarity").alias("similarity")), k + SPARE)
     exact = _rerank(found.select("id", "neighbour").distinct(), units)
     if min_similarity is not None:
         best = exact.where(F.col("similarity") >= min_similarity)
@@ -302,6 +312,96 @@ def _blocks(sample: np.ndarray, normals: np.ndarray, offsets: np.ndarray, depth:
     return out
 
 
+def _in_groups(asked: DataFrame, first: DataFrame, shared, depth: int, trees: int, visits: int, k: int, count: int) -> DataFrame:
+    """(id, neighbour, similarity by eight bits) from the `visits` leaves that each row opens first, of those that reach its
+    k-th best of `first` (less SLACK).
+
+    A task holds the members of a group of leaves, about GROUP of them, and a row passes by each group once with the list
+    of its leaves there, not each leaf; only what counts is handed on. So the rows moved are those of the table times the
+    groups, and the products those of the table times the share of the leaves."""
+    groups = max(-(-count * trees // GROUP), asked.sparkSession.sparkContext.defaultParallelism)
+    bound = first.groupBy("id").agg(F.min("similarity").alias("low"), F.count("*").alias("n"))
+    bound = bound.select("id", F.when(F.col("n") >= k, F.col("low") - SLACK).otherwise(-2.0).cast("float").alias("bound"))
+    rows = asked.select("id", "unit").join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(-2.0).cast("float")))
+
+    def place(batches):
+        *forest, _ = shared.value
+        for b in batches:
+            for s in range(0, len(b["id"]), 1024):
+                ids, bounds = b["id"][s : s + 1024], b["bound"][s : s + 1024]
+                x = np.stack([np.frombuffer(u, np.float32) for u in b["unit"][s : s + 1024]])
+                own, visited = search_leaves(x, *forest, depth, trees, visits)
+                opened = np.sort(np.concatenate([own, visited], axis=1), axis=1)
+                scale = np.abs(x).max(axis=1)
+                small = np.round(x / scale[:, None] * 127).astype(np.int8)
+                o = {c: [] for c in ("group", "leaf", "leaves", "id", "bound", "scale", "v")}
+                for i, name in enumerate(ids):
+                    packed, size = small[i].tobytes(), float(scale[i])
+                    table = [(int(p) % groups, int(p), None) for p in own[i]]
+                    at = opened[i] % groups
+                    table += [(int(g), -1, opened[i][at == g].astype(np.int32).tobytes()) for g in np.unique(at)]
+                    for g, leaf, leaves in table:
+                        for c, v in zip(o, (g, leaf, leaves, name, bounds[i], size, packed), strict=True):
+                            o[c].append(v)
+                yield o
+
+    placed = map_batches(rows, place, "group int, leaf int, leaves binary, id string, bound float, scale float, v binary")
+    placed = placed.repartition(groups, "group").sortWithinPartitions("group", F.col("leaf").desc())
+
+    def compare(batches):
+        at, members, ids, x, slices = None, [], None, None, {}
+        for b in batches:
+            cuts = np.flatnonzero(np.diff(np.array(b["group"]))) + 1
+            for s, e in zip([0, *cuts], [*cuts, len(b["group"])], strict=True):
+                if b["group"][s] != at:
+                    at, members, ids = b["group"][s], [], None
+                leaf = np.array(b["leaf"][s:e])
+                m = s + int((leaf >= 0).sum())  # members come first
+                members += zip(b["leaf"][s:m], b["id"][s:m], b["scale"][s:m], b["v"][s:m], strict=True)
+                if m < e:
+                    if ids is None:
+                        ids, x, slices = _held(members)
+                    for q in range(m, e, BLOCK):
+                        z = min(q + BLOCK, e)
+                        yield _reaching(b["id"][q:z], b["leaves"][q:z], np.array(b["bound"][q:z], np.float32), _vectors(b["scale"][q:z], b["v"][q:z]), ids, x, slices)
+
+    found = map_batches(placed, compare, "id string, neighbour string, similarity float")
+    return found.where(F.col("id") != F.col("neighbour"))
+
+
+def _held(members: list[tuple]) -> tuple[np.ndarray, np.ndarray, dict[int, slice]]:
+    """(ids, vectors, where each leaf lies among them)."""
+    if not members:
+        return np.empty(0, object), np.empty((0, 0), np.float32), {}
+    leaf = np.array([r[0] for r in members])
+    ends = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
+    where = {int(leaf[a]): slice(a, z) for a, z in zip(ends, ends[1:], strict=False)}
+    return np.array([r[1] for r in members], object), _vectors([r[2] for r in members], [r[3] for r in members]), where
+
+
+def _reaching(asking: list[str], leaves: list[bytes], bound: np.ndarray, y: np.ndarray, ids: np.ndarray, x: np.ndarray, slices: dict[int, slice]) -> dict[str, list]:
+    """Members of its leaves that reach each asking row's bound."""
+    lists = [np.frombuffer(v, np.int32) for v in leaves]
+    flat, row = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(v) for v in lists])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    ends = [0, *(np.flatnonzero(np.diff(flat)) + 1).tolist(), len(flat)]
+    q_all, j_all, s_all = [], [], []
+    for a, z in zip(ends, ends[1:], strict=False):
+        if (where := slices.get(int(flat[a]))) is None:
+            continue
+        q = row[a:z]
+        sims = y[q] @ x[where].T
+        i, j = np.nonzero(sims >= bound[q][:, None])
+        q_all.append(q[i])
+        j_all.append(j + where.start)
+        s_all.append(sims[i, j])
+    if not q_all:
+        return {"id": [], "neighbour": [], "similarity": []}
+    q, j, sims = map(np.concatenate, (q_all, j_all, s_all))
+    return {"id": np.array(asking, object)[q].tolist(), "neighbour": ids[j].tolist(), "similarity": sims.tolist()}
+
+
 def _vectors(scale: list[float], packed: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(packed), np.int8).reshape(len(packed), -1).astype(np.float32)
     x *= (np.array(scale, np.float32) / 127)[:, None]

@@ -132,3 +132,20 @@ def test_visitors_pass_by_in_batches(monkeypatch):
     assert set(got) == full
     best = [(p, b) for b in neighbours._met(iter(batches[:3]), 3, None) for p in zip(b["id"], b["neighbour"], strict=True)]
     assert {(ids[i], ids[j]) for i in range(100) for j in np.argsort(-s[i])[:3]} <= {p for p, _ in best}
+
+
+def test_every_row_by_groups_of_leaves(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "GROUP", 700)
+    x, df = _table(spark)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    out = {}
+    for r in neighbours.similar_pairs(df, k=10, leaf=64, visits=0.6).collect():
+        out.setdefault(r.id, {})[r.neighbour] = r.similarity
+    assert len(out) == 1502 and all(len(v) == 10 for v in out.values())
+    hit = sum(len({f"c{j:04d}" for j in np.argsort(-s[i])[:10]} & set(out[f"c{i:04d}"])) for i in range(1500) if i != 7)
+    assert hit / 14990 >= 0.9
+    every = neighbours.similar_pairs(df, k=10, leaf=64, visits=0.99).where("id = 'c0100'").collect()
+    want = {j: s[100][j] for j in np.argsort(-s[100])[:8]}
+    assert all(abs(r.similarity - s[100][int(r.neighbour[1:])]) < 1e-5 for r in every if r.neighbour[0] == "c") and {f"c{j:04d}" for j in want} <= {r.neighbour for r in every} | {"c0007"}
