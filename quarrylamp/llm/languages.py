@@ -28,7 +28,7 @@ LANGS = ("zh", "ru", "en", "fr", "es", "de")
 #: What a text in none of these languages comes out as.
 OTHER = "other"
 #: Labelled texts on which a language's model is fitted, at most, and characters of each of them.
-SAMPLE, SAMPLE_CHARS = 500, 20_000
+SAMPLE, SAMPLE_CHARS = 500, 8_000
 MIN_CHARS = 60
 #: Log-likelihood that a further language must gain; whole sentences of a passage in it.
 PENALTY, SENTENCES = 12.0, 2
@@ -149,19 +149,20 @@ def fit(texts: dict[str, list[str]]) -> Model:
     """Fits the models on texts by label, then again on those segments of them only that the first fit puts under their
     label, since labels are unreliable and texts are mixed. A language without texts gets the pooled counts of all, so it
     never wins by being unknown."""
-    cut = {k: [(t, segments(t)) for t in texts.get(k, [])] for k in LANGS}
+    cut = {k: [[u for s, e in segments(t) if (u := _units(t[s:e]))] for t in texts.get(k, [])] for k in LANGS}
     model = None
     for _ in range(2):
         counts: dict[str, Counter] = {}
         for j, k in enumerate(LANGS):
             units: Counter = Counter()
-            for t, spans in cut[k]:
-                keep = spans
-                if model and spans:
-                    best = likelihoods(t, spans, model)[0].argmax(axis=1)
-                    keep = [span for span, i in zip(spans, best, strict=True) if i == j]
-                for s, e in keep:
-                    units.update(_units(t[s:e]))
+            for parts in cut[k]:
+                keep = [True] * len(parts)
+                if model and parts:
+                    ends = np.cumsum([0, *map(len, parts[:-1])])
+                    keep = np.add.reduceat(model.units([u for p in parts for u in p]), ends, axis=0).argmax(axis=1) == j
+                for p, ok in zip(parts, keep, strict=True):
+                    if ok:
+                        units.update(p)
             counts[k] = Counter()
             for u, n in units.items():
                 for g in _grams(u):
