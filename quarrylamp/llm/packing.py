@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .base import join_hot, map_batches
+from .base import SMALL, join_hot, map_batches
 from .token_budget import token_counts
 
 #: Items of one size that are ranked together in a task.
@@ -94,6 +94,11 @@ def _slots(fillings: list[tuple[int, dict[int, int]]]) -> dict[int, tuple[np.nda
     return {s: tuple(np.array(c, np.int64) for c in zip(*r, strict=True)) for s, r in rows.items()}
 
 
+def _joined(df: DataFrame, side: DataFrame, on: list[str], size: str, rows: int) -> DataFrame:
+    """`df` with `side`, whose number of rows is known: broadcast if it is small, else by a shuffle that splits hot keys."""
+    return df.join(F.broadcast(side), on) if rows <= SMALL else join_hot(df, side, on, size)
+
+
 def pack(items: DataFrame, capacities: DataFrame) -> DataFrame:
     """Bins for items (item_id string, n_tokens) under every row of capacities (bin_kind, capacity_tokens).
 
@@ -143,8 +148,9 @@ def pack(items: DataFrame, capacities: DataFrame) -> DataFrame:
     w = Window.partitionBy("k", "rest", "bucket").orderBy("item_id")
     earlier = Window.partitionBy("k", "rest").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     begin = sizes.select("k", "rest", "bucket", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    n_buckets = sum(-(-n // BUCKET_ROWS) for h in hist.values() for n in h.values())
     ranked = (
-        join_hot(dealt.withColumn("r", F.row_number().over(w) - 1), begin, ["k", "rest", "bucket"], "n")
+        _joined(dealt.withColumn("r", F.row_number().over(w) - 1), begin, ["k", "rest", "bucket"], "n", n_buckets)
         .select("k", "rest", (F.col("begin") + F.col("r")).alias("rank"), "item_id", "full")
     )
     names = [kind for kind, _ in kinds]
@@ -178,7 +184,7 @@ def pack(items: DataFrame, capacities: DataFrame) -> DataFrame:
     at = at.select("k", "bucket", "rows", (planned + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("offset"))
     run = Window.partitionBy("k", "bucket").orderBy("item_id").rowsBetween(Window.unboundedPreceding, -1)
     alone = (
-        join_hot(large.withColumn("before", F.coalesce(F.sum("full").over(run), F.lit(0))), at, ["k", "bucket"], "rows")
+        _joined(large.withColumn("before", F.coalesce(F.sum("full").over(run), F.lit(0))), at, ["k", "bucket"], "rows", sum(-(-n // BUCKET_ROWS) for n in counts.values()))
         .select("k", "item_id", "cap", (F.col("offset") + F.col("before")).alias("at"), F.posexplode(F.sequence(F.lit(1), F.col("full"))).alias("part", "_n"))
         .select(
             kind_of.alias("bin_kind"), (F.col("at") + F.col("part")).cast("long").alias("bin_id"), "item_id",
