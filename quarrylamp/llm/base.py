@@ -146,3 +146,20 @@ def join_hot(df: DataFrame, side: DataFrame, on: list[str], size: str) -> DataFr
         return df.join(side, on)
     rest = df.join(F.broadcast(hot.select(*on)), on, "left_anti")
     return df.join(F.broadcast(hot), on).unionByName(rest.join(side.where(~large), on))
+
+
+#: Members of one class that a task puts in together.
+DEALT = 4096
+
+
+def put_members(df: DataFrame, at: str, members: DataFrame) -> DataFrame:
+    """`df` with the id that stands for a class in column `at` replaced by each of the class's members (rep, id, n; n the
+    size of the class, the standing id among them). Other ids stay. Members of a large class are dealt over parts, so that
+    no task gets them all."""
+    parts = F.ceil(F.col("n") / F.lit(DEALT)).cast("int")
+    sizes = members.where(F.col("id") == F.col("rep")).select(F.col("rep").alias(at), "n")
+    sized = df.join(sizes, at, "left")
+    dealt = sized.where("n is not null").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n")
+    each = members.select(F.col("rep").alias(at), F.pmod(F.xxhash64("id"), parts).cast("int").alias("_part"), F.col("id").alias("_id"))
+    put = dealt.join(each, [at, "_part"]).withColumn(at, F.col("_id")).select(*df.columns)
+    return put.unionByName(sized.where("n is null").select(*df.columns))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, spread
-from .base import join_counted, map_batches
+from .base import join_counted, join_hot, map_batches, put_members
 
 DIM, K = 128, 10
 #: Rows on which trees are fitted at most; trees; rows aimed at in a leaf; levels at most, which bounds the tree table
@@ -37,6 +37,8 @@ VISITS, SLACK, SPARE, BLOCK = 6, 0.01, 6, 2048
 #: whoever asks in it asks in all of them, so large leaves (beyond 2**MAX_DEPTH * LEAF rows, or where many vectors are
 #: nearly equal) lose nothing.
 HELD = 8192
+#: Size up to which expand_copies writes out all pairs of a class of equal directions.
+EXPAND = 64
 #: Members of a group of leaves that a task holds where every row visits a share of all leaves.
 GROUP = 65_536
 
@@ -160,9 +162,10 @@ def similar_pairs(
     return best.unionByName(star).unionByName(back)
 
 
-def _with_rep(members: DataFrame) -> DataFrame:
-    """rep, id of all members of each class with copies, its smallest id among them."""
-    return members.select("rep", "id").unionByName(members.select("rep", F.col("rep").alias("id"))).distinct()
+def _classes(members: DataFrame) -> DataFrame:
+    """rep, id, n of all members of each class with copies, the id that stands for it among them; n is the class's size."""
+    every = checkpointed(members.select("rep", "id").unionByName(members.select("rep", F.col("rep").alias("id"))).distinct())
+    return checkpointed(join_hot(every, every.groupBy("rep").agg(F.count("*").alias("n")), ["rep"], "n").select("rep", "id", "n"))
 
 
 def _copies_answered(best: DataFrame, members: DataFrame, queries: DataFrame | None, k: int) -> DataFrame:
@@ -172,30 +175,45 @@ def _copies_answered(best: DataFrame, members: DataFrame, queries: DataFrame | N
 
     if not members.count():
         return best
-    every = checkpointed(_with_rep(members))
-    asked = every if queries is None else every.join(queries.select("id").distinct(), "id", "left_semi")
+    every = _classes(members)
+    # ranked within tasks first, so a large class hands on k + 1 rows of each
     w = Window.partitionBy("rep").orderBy("id")
-    first = every.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k + 1).select(F.col("rep"), F.col("id").alias("copy"))
+    first = every.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k + 1).select("rep", F.col("id").alias("copy"))
     near = join_counted(best, first.withColumnRenamed("rep", "neighbour"), "neighbour", "left")
     near = near.select("id", F.coalesce("copy", "neighbour").alias("neighbour"), "similarity")
-    near = join_counted(near, asked.select(F.col("rep").alias("id"), F.col("id").alias("own")), "id", "left")
-    near = near.select(F.coalesce("own", "id").alias("id"), "neighbour", "similarity")
-    own = asked.join(first, "rep").where(F.col("id") != F.col("copy"))
-    return _top(near.unionByName(own.select("id", F.col("copy").alias("neighbour"), F.lit(1.0).alias("similarity"))), k)
+    twins = first.select(F.col("rep").alias("id"), F.col("copy").alias("neighbour"), F.lit(1.0).alias("similarity"))
+    # one more than k, as an asked id is not its own neighbour
+    kept = _top(near.unionByName(twins), k + 1)
+    answered = put_members(kept, "id", every).where(F.col("id") != F.col("neighbour"))
+    if queries is not None:
+        answered = answered.join(queries.select("id").distinct(), "id", "left_semi")
+    return _top(answered, k)
+
 
+def expand_copies(chunks: DataFrame, min_similarity: float, expand: int = EXPAND, **kw) -> DataFrame:
+    """similar_pairs with `min_similarity`, members of each class of equal directions put in: directed rows (id, neighbour,
+    similarity).
 
-def expand_copies(chunks: DataFrame, min_similarity: float, **kw) -> DataFrame:
-    """similar_pairs with `min_similarity`, all members of each class put in: directed rows (id, neighbour,
-    similarity). Nothing is capped, so a class of n copies gives n (n - 1) rows and each of its partners 2 n."""
+    All come out where of two classes at least one has `expand` members or fewer, and within a class of so many. A larger
+    class isn't squared: its members have rows to and from its smallest id, and of two large near classes each member
+    has rows to and from the other's smallest id. similar_pairs and the classes give back what is left out."""
     best, members = _pairs_and_members(chunks, min_similarity, **kw)
     if not members.count():
         return best
-    every = checkpointed(_with_rep(members))
-    for side in ("id", "neighbour"):
-        best = join_counted(best, every.select(F.col("rep").alias(side), F.col("id").alias("copy")), side, "left")
-        best = best.withColumn(side, F.coalesce("copy", side)).select("id", "neighbour", "similarity")
-    within = every.join(every.select("rep", F.col("id").alias("neighbour")), "rep").where(F.col("id") != F.col("neighbour"))
-    return best.unionByName(within.select("id", "neighbour", F.lit(1.0).alias("similarity")))
+    every = _classes(members)
+    sizes = every.where(F.col("id") == F.col("rep")).select(F.col("rep"), "n")
+    size = best.join(sizes.select(F.col("rep").alias("id"), F.col("n").alias("_a")), "id", "left").join(sizes.select(F.col("rep").alias("neighbour"), F.col("n").alias("_b")), "neighbour", "left")
+    small = F.least(F.coalesce("_a", F.lit(1)), F.coalesce("_b", F.lit(1))) <= expand
+    cols = ["id", "neighbour", "similarity"]
+    full, large = size.where(small).select(*cols), size.where(~small).select(*cols)
+    across = put_members(put_members(full, "id", every), "neighbour", every)
+    across = across.unionByName(put_members(large, "id", every)).unionByName(put_members(large, "neighbour", every))
+    few = every.where(F.col("n") <= expand)
+    within = few.select("rep", "id").join(few.select("rep", F.col("id").alias("neighbour")), "rep").select("id", "neighbour")
+    star = every.where(F.col("n") > expand).select("id", F.col("rep").alias("neighbour"))
+    within = within.unionByName(star).unionByName(star.select(F.col("neighbour").alias("id"), F.col("id").alias("neighbour")))
+    within = within.where(F.col("id") != F.col("neighbour")).withColumn("similarity", F.lit(1.0))
+    return across.unionByName(within).distinct()
 
 
 def _pairs_and_members(
@@ -214,11 +232,11 @@ def _pairs_and_members(
     good = spread(usable(chunks, id_col, vector, dim))
     keyed = _hashed(good)
     classes = checkpointed(
-        keyed.groupBy("a", "b").agg(F.min("id").alias("rep"), (F.min("id") != F.max("id")).alias("copied"))
+        keyed.groupBy("a", "b").agg(F.min("id").alias("rep"), (F.min("id") != F.max("id")).alias("copied"), F.count("*").alias("n"))
     )
     count = classes.count()
     members = checkpointed(
-        keyed.join(classes.where("copied").select("a", "b", "rep"), ["a", "b"]).where(F.col("id") != F.col("rep")).select("id", "rep").distinct()
+        join_hot(keyed, classes.where("copied").select("a", "b", "rep", "n"), ["a", "b"], "n").where(F.col("id") != F.col("rep")).select("id", "rep").distinct()
     )
     units = _units(join_counted(good, members.select("id"), "id", "left_anti"))
     depth = int(np.clip(np.ceil(np.log2(max(count, 1) / leaf)), 0, MAX_DEPTH))

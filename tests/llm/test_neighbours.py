@@ -149,3 +149,29 @@ def test_every_row_by_groups_of_leaves(spark, monkeypatch):
     every = neighbours.similar_pairs(df, k=10, leaf=64, visits=0.99).where("id = 'c0100'").collect()
     want = {j: s[100][j] for j in np.argsort(-s[100])[:8]}
     assert all(abs(r.similarity - s[100][int(r.neighbour[1:])]) < 1e-5 for r in every if r.neighbour[0] == "c") and {f"c{j:04d}" for j in want} <= {r.neighbour for r in every} | {"c0007"}
+
+
+def test_many_copies(spark, monkeypatch):
+    from quarrylamp.llm import base
+
+    monkeypatch.setattr(base, "DEALT", 4)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((40, 128))
+    y = x[0] + 0.05 * rng.standard_normal(128)
+    z = x[0] + 0.06 * rng.standard_normal(128)
+    rows = [(f"a{i:02d}", x[0]) for i in range(15)] + [(f"b{i}", y) for i in range(6)] + [("z", z)] + [(f"o{i:02d}", x[i]) for i in range(1, 40)]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in rows], "chunk_id string, vector array<float>")
+    group = [i for i, _ in rows if i[0] in "abz"]
+    every = {(p, q) for p in group for q in group if p != q}
+    got = [(r.id, r.neighbour) for r in neighbours.expand_copies(df, 0.8).collect()]
+    assert set(got) == every and len(got) == len(every)
+    few = {(r.id, r.neighbour) for r in neighbours.expand_copies(df, 0.8, expand=5).collect()}
+    a, b = [i for i in group if i[0] == "a"], [i for i in group if i[0] == "b"]
+    half = {("a00", i) for i in a[1:]} | {("b0", i) for i in b[1:]} | {("a00", i) for i in b} | {(i, "b0") for i in a} | {(i, "z") for i in a + b}
+    assert few == half | {(q, p) for p, q in half}
+    # fifteen copies and two asked ids: ten neighbours each, all copies
+    q = spark.createDataFrame([("a07",), ("o03",)], "id string")
+    near = neighbours.similar_pairs(df, k=10, queries=q).collect()
+    assert len(near) == 20 and {r.neighbour for r in near if r.id == "a07"} == set(a[:7] + a[8:11])
+    each = neighbours.similar_pairs(df, k=10).collect()
+    assert len(each) == 10 * len(rows) and {r.neighbour for r in each if r.id == "a00"} == set(a[1:11])
