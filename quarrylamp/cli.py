@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as tx
+from .functions.config import load_yaml
 from .operators import audit, chunking, index, ingest, rag, runs, search, triage
 from .sources import extract, io, tools
 
@@ -237,10 +238,8 @@ def ask(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def battery(spark: SparkSession, a: argparse.Namespace) -> int:
-    import yaml
-
     try:
-        data = yaml.safe_load(Path(a.topics_file).read_text(encoding="utf-8"))
+        data = load_yaml(a.topics_file)
     except FileNotFoundError as exc:
         raise Missing(a.topics_file) from exc
     sections = [{**s, "topics": [t for t in s["topics"] if not a.topic or t["id"] in a.topic]} for s in data["sections"] if not a.section or s["id"] in a.section]

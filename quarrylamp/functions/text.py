@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 #: Extension groups of the inventory (fixed values).
 EXT_GROUPS = {
-    "doc": ".docx .doc .pdf .pptx .ppt .xlsx .xls .odt .rtf .txt .md .html .htm .eml .msg".split(),
-    "data": ".json .jsonl .xml .csv .tsv .yaml .yml".split(),
-    "code": ".py .c .cpp .h .hpp .rs .go .js .ts .java .sh .sql .tf".split(),
-    "image": ".png .jpg .jpeg .gif .svg .bmp .webp .tiff".split(),
-    "binary": ".tar .zip .gz .zst .7z .rpm .deb .so .o .pyc .jar .war .class .rar".split(),
-}
+    "doc": [".docx", ".doc", ".pdf", ".pptx", ".ppt", ".xlsx", ".xls", ".odt", ".rtf", ".txt", ".md", ".html", ".htm", ".eml", ".msg"],
+    "data": [".json", ".jsonl", ".xml", ".csv", ".tsv", ".yaml", ".yml"],
+    "code": [".py", ".c", ".cpp", ".h", ".hpp", ".rs", ".go", ".js", ".ts", ".java", ".sh", ".sql", ".tf"],
+    "image": [".png", ".jpg", ".jpeg", ".gif", ".svg", ".bmp", ".webp", ".tiff"],
+    "binary": [".tar", ".zip", ".gz", ".zst", ".7z", ".rpm", ".deb", ".so", ".o", ".pyc", ".jar", ".war", ".class", ".rar"],
+}
 #: Extensions that text is extracted from (fixed values).
 EXTRACTABLE = [*EXT_GROUPS["doc"], *EXT_GROUPS["data"]]
 

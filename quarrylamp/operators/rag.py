@@ -9,7 +9,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import text as tx
+from ..functions.config import load_yaml
 from .ingest import dedup
 
 CONTEXT_CHARS, NUM_CTX, OVERHEAD, RESERVE = 1500, 24_576, 800, 1_200
@@ -110,10 +110,7 @@ def prompt(max_chars: int) -> Column:
 def load_battery(spark: SparkSession, path: str | Path, sections: list[str] | None = None, topics: list[str] | None = None) -> DataFrame:
     """section_id, section_name, id, topic, question, terms, fields, use_union_context of a YAML battery; empty lists
     of ids take all."""
-    import yaml
-
-    data = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
-    return battery(spark, data, sections, topics)
+    return battery(spark, load_yaml(path), sections, topics)
 
 
 def battery(spark: SparkSession, data: dict, sections: list[str] | None = None, topics: list[str] | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.config import load_yaml
 from ..session import spread
 
 #: Defaults (fixed values): weights of the tiers, bonus of a tier that is hit, extensions of bulk data.
@@ -41,9 +42,7 @@ class Topic:
     @classmethod
     def load(cls, path: str | Path) -> Topic:
         """From YAML with high_signal, medium_signal and low_signal; a missing file raises FileNotFoundError."""
-        import yaml
-
-        data = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+        data = load_yaml(path)
         tiers = {k: tuple(map(str, data.get(f"{k}_signal") or ())) for k in WEIGHTS}
         return cls(str(data.get("topic", Path(path).stem)), description=str(data.get("description", "")), **tiers)
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pathlib import Path
 
-import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.config import load_yaml
 from ..operators import audit, ingest, rag, runs, search
 from ..sources import io
 from ..tables import table
@@ -81,7 +81,7 @@ def budget_trim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 BATTERY_FILE = Path(__file__).with_name("battery.yaml")
-BATTERY = yaml.safe_load(BATTERY_FILE.read_text(encoding="utf-8"))
+BATTERY = load_yaml(BATTERY_FILE)
 
 @query("SELECT * FROM (VALUES ('net', 'loss', 'collector, samples', false), ('net', 'delay', 'latency, 912', true)) t(section_id, id, terms, use_union_context)")
 def battery_load(spark: SparkSession, sf: str) -> DataFrame:
