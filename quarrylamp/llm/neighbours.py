@@ -70,14 +70,33 @@ def fit_forest(sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 7
     return normals.reshape(trees * nodes, normals.shape[2]), offsets.reshape(-1)
 
 
+#: Bytes that search_leaves holds at once for one of its arrays.
+SEARCHED = 1 << 24
+
+
 def search_leaves(
     unit: np.ndarray, normals: np.ndarray, offsets: np.ndarray, depth: int, trees: int, visits: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """(own, visited): for each row its leaf in every tree, and the `visits` other leaves that the shared queue
-    opens first. Leaves are numbered tree * 2**depth + place."""
-    n, leaves, nodes = len(unit), 2**depth, 2**depth - 1
+    opens first. Leaves are numbered tree * 2**depth + place. Rows go through in blocks, so that memory doesn't grow with
+    rows times nodes."""
     if depth == 0:
-        return np.tile(np.arange(trees), (n, 1)), np.empty((n, 0), int)
+        return np.tile(np.arange(trees), (len(unit), 1)), np.empty((len(unit), 0), int)
+    leaves, dim = 2**depth, normals.shape[1]
+    visits = min(visits, trees * leaves - trees)
+    # few leaves: only the nodes on their paths
+    few = depth * (trees + visits) * 8 < trees * leaves
+    step = max(1, SEARCHED // (4 * ((trees + visits) * dim if few else trees * leaves)))
+    search = _open_few if few else _open_all
+    own, visited = np.empty((len(unit), trees), int), np.empty((len(unit), visits), int)
+    for s in range(0, len(unit), step):
+        own[s : s + step], visited[s : s + step] = search(unit[s : s + step], normals, offsets, depth, trees, visits)
+    return own, visited
+
+
+def _open_all(unit: np.ndarray, normals: np.ndarray, offsets: np.ndarray, depth: int, trees: int, visits: int) -> tuple[np.ndarray, np.ndarray]:
+    """search_leaves by the priorities of all leaves."""
+    n, leaves, nodes = len(unit), 2**depth, 2**depth - 1
     margin = (unit @ normals.T - offsets).reshape(n, trees, nodes)
     priority = np.full((n, trees, 1), np.inf, np.float32)
     for level in range(depth):
@@ -86,11 +105,36 @@ def search_leaves(
     own = priority.argmax(axis=2) + np.arange(trees) * leaves
     flat = priority.reshape(n, -1)
     np.put_along_axis(flat, own, -np.inf, axis=1)
-    visits = min(visits, flat.shape[1] - trees)
     visited = np.argpartition(-flat, visits - 1, axis=1)[:, :visits] if visits else np.empty((n, 0), int)
     return own, visited
 
 
+def _open_few(unit: np.ndarray, normals: np.ndarray, offsets: np.ndarray, depth: int, trees: int, visits: int) -> tuple[np.ndarray, np.ndarray]:
+    """search_leaves level by level. Off a row's own paths the nearer child has its parent's priority, so every node has a
+    leaf with its own priority below it, and the best `visits` leaves lie below the best `visits` nodes of each level."""
+    n, nodes = len(unit), 2**depth - 1
+    first = np.arange(trees) * nodes
+    own = np.zeros((n, trees), int)  # places within the tree
+    tree, node, priority = np.empty((n, 0), int), np.empty((n, 0), int), np.empty((n, 0), np.float32)
+
+    def margins(at: np.ndarray) -> np.ndarray:
+        return (normals[at] @ unit[:, :, None])[:, :, 0] - offsets[at]
+
+    for _ in range(depth):
+        m = margins(own + first)
+        right = m > 0
+        if visits:
+            o = margins(tree * nodes + node)
+            tree = np.concatenate([np.broadcast_to(np.arange(trees), (n, trees)), tree, tree], axis=1)
+            node = np.concatenate([2 * own + 2 - right, 2 * node + 1, 2 * node + 2], axis=1)
+            priority = np.concatenate([-np.abs(m), np.minimum(priority, -o), np.minimum(priority, o)], axis=1)
+            if node.shape[1] > visits:
+                best = np.argpartition(-priority, visits - 1, axis=1)[:, :visits]
+                tree, node, priority = (np.take_along_axis(x, best, axis=1) for x in (tree, node, priority))
+        own = 2 * own + 1 + right
+    return own - nodes + np.arange(trees) * 2**depth, tree * 2**depth + node - nodes
+
+
 def usable(chunks: DataFrame, id_col: str = "chunk_id", vector: str = "vector", dim: int = DIM) -> DataFrame:
     """id, vector of rows whose vector has `dim` finite values, not all zero; one row for each id."""
     good = (F.size(vector) == dim) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

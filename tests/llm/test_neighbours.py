@@ -175,3 +175,43 @@ def test_many_copies(spark, monkeypatch):
     assert len(near) == 20 and {r.neighbour for r in near if r.id == "a07"} == set(a[:7] + a[8:11])
     each = neighbours.similar_pairs(df, k=10).collect()
     assert len(each) == 10 * len(rows) and {r.neighbour for r in each if r.id == "a00"} == set(a[1:11])
+
+
+def test_searching_a_deep_forest_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((4096, 16)).astype("f4")
+    forest = neighbours.fit_forest(x, 10, 4)
+    for visits in (0, 6, 1228):  # by paths and by all leaves; rows times nodes are 67 MB
+        tracemalloc.start()
+        own, visited = neighbours.search_leaves(x, *forest, 10, 4, visits)
+        peak = tracemalloc.get_traced_memory()[1] - visited.nbytes
+        tracemalloc.stop()
+        assert own.shape == (4096, 4) and visited.shape == (4096, visits)
+        assert peak < 130e6 if visits > 6 else peak < 40e6
+
+
+def test_paths_open_the_same_leaves_as_all_priorities():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((3000, 16)).astype("f4")
+    forest = neighbours.fit_forest(x, 8, 4)
+    normals, offsets = forest
+    x = rng.standard_normal((200, 16)).astype("f4")
+    own, visited = neighbours._open_few(x, *forest, 8, 4, 6)
+    every, _ = neighbours._open_all(x, *forest, 8, 4, 6)
+    assert (own == every).all()
+    margin = x @ normals.T - offsets
+    for r in range(200):
+        priority = np.empty(4 * 256)
+        for p in range(4 * 256):
+            t, node, low = p // 256, p % 256 + 255, np.inf
+            while node:
+                above = (node - 1) // 2
+                low = min(low, margin[r, t * 255 + above] * (1 if node == 2 * above + 2 else -1))
+                node = above
+            priority[p] = low
+        chosen = priority[visited[r]]
+        priority[own[r]] = -np.inf
+        assert len(set(visited[r])) == 6 and not set(visited[r]) & set(own[r])
+        assert np.allclose(np.sort(chosen), np.sort(priority)[-6:], atol=1e-5)
