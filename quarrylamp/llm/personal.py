@@ -6,12 +6,15 @@ only wrap a line disappear or become blanks. It keeps the source place of every
 a detector finds is mapped back to the characters it was written with, and the rest of the text stays as it is.
 
 Names are found by wordings, titles, frequent given names, their place beside other items in rows of people, and by parts
-learned from those: what is mostly part of a name in a bounded sample of the corpus.
+learned from those: what is mostly part of a name in the whole corpus. The detectors run once: that pass also counts parts
+and hands on the places where learned parts could make a name; these meet the learned parts as tables.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,8 +22,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
-from .base import has_text, map_batches, one_row_per_id
+from ..session import checkpointed, spread
+from .base import has_text, join_counted, map_batches, one_row_per_id
 
 # ------------------------------------------------------------------ transducer
 
@@ -179,9 +182,13 @@ _HAN = re.compile("[一-鿿]")
 _BETWEEN = re.compile(r"\s(?:[A-ZА-ЯЁ]\.\s)?")
 #: What a surname isn't (fixed values): second words of the names of places and bodies.
 _NO_SURNAME = frozenset("Street Road Avenue Lane Square River Island Bay Station University College School Hospital Company Group Institute Foundation Bank Airport Bridge Park Hall House Church Day Platz Straße".split())
-#: Records that the names are learned from, at most; occurrences of a part of a name from which it counts, and the share
-#: of all its occurrences as a capitalised word; parts that are sent to the tasks, at most.
-NAME_SAMPLE, NAME_COUNT, NAME_SHARE, NAME_PARTS = 4000, 2, 0.6, 50_000
+#: Occurrences of a part of a name from which it counts, and the share of all its occurrences as a capitalised word.
+NAME_COUNT, NAME_SHARE = 2, 0.6
+#: Share of all its occurrences that a further ideograph of a name has in names, or share of the names that it stands in;
+#: one of the two will do. What has neither is the start of a word that a wording ran into.
+FURTHER_SHARE = 0.01
+#: Different parts that a task counts before it hands them on.
+COUNTED = 200_000
 
 
 @dataclass(frozen=True)
@@ -193,8 +200,23 @@ class Names:
     further: frozenset[str] = frozenset()
 
 
-def _known(word: str, names: Names) -> bool:
-    return word in names.words or "-" in word and all(w in names.words for w in word.split("-"))
+def _known(word: str, words: frozenset[str] | set[str]) -> bool:
+    return word in words or "-" in word and all(w in words for w in word.split("-"))
+
+
+def _is_name(a: str, b: str, words: frozenset[str] | set[str]) -> bool:
+    """Whether two words that follow each other are a name by the learned `words`: a learned part or a frequent given name
+    before a learned part, or a frequent given name before any other word that names no place or body."""
+    given = a in _GIVEN
+    return (given or _known(a, words)) and (_known(b, words) or given and b not in _NO_SURNAME)
+
+
+def _adjacent(text: str):
+    """(start, end, first, second) of capitalised words that follow each other, with an initial between them at most."""
+    words = list(_CAPPED.finditer(text))
+    for a, b in zip(words, words[1:], strict=False):
+        if b.start() - a.end() in (1, 4) and _BETWEEN.fullmatch(text, a.end(), b.start()):
+            yield a.start(), b.end(), a.group(), b.group()
 
 
 @lru_cache(maxsize=8)
@@ -202,20 +224,20 @@ def _ideographs(names: Names) -> re.Pattern:
     return re.compile(f"[{''.join(sorted(names.first))}][{''.join(sorted(names.further))}]{{1,2}}")
 
 
-def _listed(text: str, names: Names):
-    """Spans of names by their parts: a word that is a learned part or a frequent given name before a learned part, and a
-    frequent given name before any other capitalised word that names no place or body; ideographs likewise."""
-    words = list(_CAPPED.finditer(text))
-    for a, b in zip(words, words[1:], strict=False):
-        given = a.group() in _GIVEN
-        if (given or _known(a.group(), names)) and _BETWEEN.fullmatch(text, a.end(), b.start()):
-            if _known(b.group(), names) or given and b.group() not in _NO_SURNAME:
-                yield a.start(), b.end()
+def _listed_ideographs(text: str, names: Names):
     if names.first and names.further and not text.isascii():
         for m in _ideographs(names).finditer(text):
             yield m.span()
 
 
+def _listed(text: str, names: Names):
+    """Spans of names by their parts: two words (_is_name), or a learned first and one or two further ideographs."""
+    for s, e, a, b in _adjacent(text):
+        if _is_name(a, b, names.words):
+            yield s, e
+    yield from _listed_ideographs(text, names)
+
+
 #: Weights and check digits of Chinese identity numbers (fixed values, GB 11643).
 _ID_WEIGHTS, _ID_CHECK = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2), "10X98765432"
 
@@ -342,14 +364,19 @@ def find(text: str | None, names: Names | None = Names()) -> list[tuple[int, int
     new, places = plain(text)
     out = []
     for s, e, kind in _spans(new, names):
-        if places is not None:
-            s, e = places[s], places[e - 1] + 1 if places[e] == places[e - 1] + 1 else places[e]
-            while e > s and text[e - 1].isspace():
-                e -= 1
-        out.append((s, e, kind))
+        out.append((*_source(text, places, s, e), kind))
     return out
 
 
+def _source(text: str, places: list[int] | None, s: int, e: int) -> tuple[int, int]:
+    """Where a span of the rewritten text lies in `text`."""
+    if places is not None:
+        s, e = places[s], places[e - 1] + 1 if places[e] == places[e - 1] + 1 else places[e]
+        while e > s and text[e - 1].isspace():
+            e -= 1
+    return s, e
+
+
 def value_of(text: str, s: int, e: int, kind: str) -> str:
     """The item as written: white space runs as one blank, without surrounding punctuation."""
     v = " ".join(text[s:e].split())
@@ -360,88 +387,180 @@ def value_of(text: str, s: int, e: int, kind: str) -> str:
 
 def redact(text: str | None, names: Names | None = Names()) -> str | None:
     """The text with each item replaced by its kind in square brackets; all else is unchanged."""
-    if not text:
-        return text
+    return _replaced(text, find(text, names)) if text else text
+
+
+def _replaced(text: str, spans: list[tuple[int, int, str]]) -> str:
     out, at = [], 0
-    for s, e, kind in find(text, names):
+    for s, e, kind in spans:
         out += [text[at:s], f"[{kind.upper()}]"]
         at = e
     out.append(text[at:])
     return "".join(out)
 
 
-def learn_names(records: DataFrame, sample: int = NAME_SAMPLE) -> Names:
-    """Parts of the names that stand in wordings and beside other items, in about `sample` records picked by the hash of
-    their id: those that are mostly part of a name wherever they stand. At most NAME_PARTS, the most frequent ones."""
-    share = min(1.0, sample / max(records.count(), 1))
-    rows = records.where(F.col("id").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))).where(has_text()).select("text")
+_HAN_RUN = re.compile("[一-鿿]{2}")
+
+
+def _count_parts(text: str, spans: list[tuple[int, int, str]], in_names: dict[str, Counter], anywhere: dict[str, Counter]) -> None:
+    """Adds the parts of names in `text` and what is capitalised, or an ideograph, outside of items."""
+
+    def words(counter: Counter, found: list[str]) -> None:
+        counter.update(found)
+        for c in found:
+            if "-" in c:
+                counter.update({*c.split("-")})
 
-    def count(batches):
-        in_names: Counter = Counter()
-        anywhere: Counter = Counter()
+    at, rest = 0, []
+    for s, e, kind in spans:
+        if kind == "person":
+            name = text[s:e]
+            if name[0] >= "一":
+                in_names["first"][name[0]] += 1
+                in_names["further"].update(name[1:])
+            else:
+                words(in_names["words"], _CAPPED.findall(name))
+        rest.append(text[at:s])
+        at = e
+    other = "\0".join([*rest, text[at:]])
+    words(anywhere["words"], _CAPPED.findall(other))
+    if not other.isascii():
+        anywhere["first"].update(_HAN.findall(other))
+
+
+def _marked(records: DataFrame) -> DataFrame:
+    """One pass over all texts, stored: rows (id, at, spans, more, words), `at` the text's hash, with the items that need no
+    learned part, what learned parts could make a name of, and the words that it depends on; and rows (kind, part, n,
+    other), how often a part occurs in such names and elsewhere."""
+    rows = records.where(F.col("id").isNotNull() & has_text()).select("id", "text", F.xxhash64("text").alias("at"))
+    schema = "id string, at bigint, spans array<struct<s:int,e:int,kind:string,value:string>>, more binary, words array<string>, kind string, part string, n bigint, other bigint"
+    names = [c.split()[0] for c in re.split(r", (?=\w+ )", schema)]
+
+    def counted(in_names: dict[str, Counter], anywhere: dict[str, Counter]) -> dict[str, list]:
+        o = {c: [] for c in names}
+        for kind in in_names:
+            mine, other = in_names[kind], anywhere["words" if kind == "words" else "first"]
+            for part in mine.keys() | other.keys():
+                for c, v in zip(names, (None, None, None, None, None, kind, part, mine[part], other[part]), strict=True):
+                    o[c].append(v)
+        return o
+
+    def run(batches):
+        in_names, anywhere = ({k: Counter() for k in ("words", "first", "further")} for _ in range(2))
         for b in batches:
-            for t in b["text"]:
-                text = plain(t)[0]
-                spans = _spans(text)
-                at, rest = 0, []
-                for s, e, kind in spans:
-                    if kind == "person":
-                        name = text[s:e]
-                        if name[0] >= "一":
-                            in_names.update({("first", name[0]): 1})
-                            in_names.update(("further", c) for c in name[1:])
-                        else:
-                            in_names.update(("words", w) for c in _CAPPED.findall(name) for w in {c, *c.split("-")})
-                    rest.append(text[at:s])
-                    at = e
-                rest.append(text[at:])
-                for part in rest:
-                    anywhere.update(("words", w) for c in _CAPPED.findall(part) for w in {c, *c.split("-")})
-                    anywhere.update(("first", c) for c in _HAN.findall(part))
-        both = in_names.keys()
-        yield {"kind": [k for k, _ in both], "part": [p for _, p in both], "n": [in_names[x] for x in both], "other": [0] * len(both)}
-        both = anywhere.keys()
-        yield {"kind": [k for k, _ in both], "part": [p for _, p in both], "n": [0] * len(both), "other": [anywhere[x] for x in both]}
-
-    counted = map_batches(spread(rows), count, "kind string, part string, n bigint, other bigint").groupBy("kind", "part").agg(F.sum("n").alias("n"), F.sum("other").alias("other"))
+            o = {c: [] for c in names}
+            for i, text, at in zip(b["id"], b["text"], b["at"], strict=True):
+                new, places = plain(text)
+                spans = _spans(new)
+                _count_parts(new, spans, in_names, anywhere)
+                items = [(*(p := _source(text, places, s, e)), kind, value_of(text, *p, kind)) for s, e, kind in spans]
+                pairs, words = [], set()
+                for s, e, x, y in _adjacent(new):
+                    if any(s < z and a < e for a, z, _ in spans):
+                        continue
+                    p = _source(text, places, s, e)
+                    pairs.append((*p, value_of(text, *p, "person"), x, y))
+                    words.update((x, y, *x.split("-"), *y.split("-")))
+                han = (text, spans) if not new.isascii() and _HAN_RUN.search(new) else None
+                more = zlib.compress(pickle.dumps((pairs, han)), 1) if pairs or han else None
+                if items or more:
+                    for c, v in zip(names, (i, at, items, more, sorted(words), None, None, 0, 0), strict=True):
+                        o[c].append(v)
+            yield o
+            if sum(map(len, anywhere.values())) + sum(map(len, in_names.values())) > COUNTED:
+                yield counted(in_names, anywhere)
+                for c in (*in_names.values(), *anywhere.values()):
+                    c.clear()
+        yield counted(in_names, anywhere)
+
+    return checkpointed(map_batches(spread(rows), run, schema))
+
+
+def _parts(marked: DataFrame) -> DataFrame:
+    """kind, part, n, other of what is mostly part of a name wherever it stands, and of further ideographs; stored."""
+    counted = marked.where("kind is not null").groupBy("kind", "part").agg(F.sum("n").alias("n"), F.sum("other").alias("other"))
     # what follows a surname may be any ideograph elsewhere
     sure = (F.col("n") >= NAME_COUNT) & ((F.col("kind") == "further") | (F.col("n") >= NAME_SHARE * (F.col("n") + F.col("other"))))
+    return checkpointed(counted.where(sure))
+
+
+def _names(parts: DataFrame) -> Names:
+    rows = parts.collect()
     found: dict[str, set[str]] = {"words": set(), "first": set(), "further": set()}
-    for r in counted.where(sure).orderBy(F.desc("n"), "kind", "part").limit(NAME_PARTS).collect():
-        found[r.kind].add(r.part)
+    total = sum(r.n for r in rows if r.kind == "first")
+    for r in rows:
+        if r.kind != "further" or r.n >= FURTHER_SHARE * min(r.n + r.other, total):
+            found[r.kind].add(r.part)
     return Names(**{k: frozenset(v) for k, v in found.items()})
 
 
-def found_items(records: DataFrame) -> DataFrame:
-    """id, kind, value of every item in the records' texts; distinct rows.
+def learn_names(records: DataFrame) -> Names:
+    """Parts of the names that stand in wordings and beside other items in all records: those that are mostly part of a
+    name wherever they stand. All of them come to the driver, for use on single texts; the queries leave words in a table."""
+    return _names(_parts(_marked(records)))
 
-    Null ids, null, blank and item-free texts give no row. Each text is read whole, in one pass without a shuffle of
-    texts; the final distinct moves only the found values. Names are learned before, from a bounded sample.
-    """
-    shared = records.sparkSession.sparkContext.broadcast(learn_names(records))
-    rows = records.where(F.col("id").isNotNull() & has_text()).select("id", "text")
+
+def _items(records: DataFrame) -> DataFrame:
+    """id, at (hash of the text), s, e, kind, value of every item in the records' texts; a row that comes twice may come
+    out twice."""
+    marked = _marked(records)
+    parts = _parts(marked)
+    # ideographs are a few thousand; words are as many as there are names, so they meet the places as a table
+    shared = records.sparkSession.sparkContext.broadcast(_names(parts.where("kind <> 'words'")))
+    found = marked.where("id is not null")
+    more = found.where("more is not null").dropDuplicates(["id", "at"])
+    asked = found.select("id", "at", F.explode("words").alias("part"))
+    known = join_counted(asked, parts.where("kind = 'words'").select("part"), "part", "left_semi").groupBy("id", "at").agg(F.collect_set("part").alias("known"))
+    rows = more.select("id", "at", "more").join(known, ["id", "at"], "left")
 
     def run(batches):
         for b in batches:
-            o = {"id": [], "kind": [], "value": []}
-            for i, text in zip(b["id"], b["text"], strict=True):
-                for kind, value in {(k, value_of(text, s, e, k)) for s, e, k in find(text, shared.value)}:
-                    o["id"].append(i)
-                    o["kind"].append(kind)
-                    o["value"].append(value)
+            o = {c: [] for c in ("id", "at", "s", "e", "kind", "value")}
+            for i, at, packed, words in zip(b["id"], b["at"], b["more"], b["known"], strict=True):
+                pairs, han = pickle.loads(zlib.decompress(packed))
+                words, end, out = set(words or ()), 0, []
+                for s, e, value, x, y in pairs:
+                    if s >= end and _is_name(x, y, words):
+                        out.append((s, e, value))
+                        end = e
+                if han:
+                    text, spans = han
+                    new, places = plain(text)
+                    for s, e in _listed_ideographs(new, shared.value):
+                        if not any(s < z and a < e for a, z, _ in spans):
+                            p = _source(text, places, s, e)
+                            out.append((*p, value_of(text, *p, "person")))
+                for s, e, value in out:
+                    for c, v in zip(o, (i, at, s, e, "person", value), strict=True):
+                        o[c].append(v)
             yield o
 
-    return map_batches(spread(rows), run, "id string, kind string, value string").distinct()
+    listed = map_batches(rows, run, "id string, at bigint, s int, e int, kind string, value string")
+    return found.select("id", "at", F.inline("spans")).unionByName(listed)
+
+
+def found_items(records: DataFrame) -> DataFrame:
+    """id, kind, value of every item in the records' texts; distinct rows.
+
+    Null ids, null, blank and item-free texts give no row. Each text is read whole, in one pass without a shuffle of
+    texts but for those with ideographs, which meet the names learned from all texts; else only found values and places
+    where names may stand move.
+    """
+    return _items(records).select("id", "kind", "value").distinct()
 
 
 def redacted(records: DataFrame) -> DataFrame:
     """id, text with typed placeholders, n_items; one row for each id (its row with text). Null stays null."""
-    rows = one_row_per_id(records, ["text"])
-    shared = records.sparkSession.sparkContext.broadcast(learn_names(records))
+    rows = one_row_per_id(records, ["text"]).withColumn("at", F.xxhash64("text"))
+    marks = _items(records).groupBy("id", "at").agg(F.array_sort(F.collect_set(F.struct("s", "e", "kind"))).alias("spans"))
+    marks = marks.select(F.col("id").alias("_id"), F.col("at").alias("_at"), "spans")
+    # no key of the join, so that texts stay where they met by id
+    joined = rows.join(marks, (F.col("id") == F.col("_id")) & (F.col("at").bitwiseXOR(F.col("_at")) == 0), "left").select("id", "text", "spans")
 
     def run(batches):
         for b in batches:
-            spans = [find(t, shared.value) for t in b["text"]]
-            yield {"id": b["id"], "text": [redact(t, shared.value) for t in b["text"]], "n_items": [len(s) for s in spans]}
+            spans = [[(x["s"], x["e"], x["kind"]) for x in row or ()] for row in b["spans"]]
+            texts = [_replaced(t, row) if row else t for t, row in zip(b["text"], spans, strict=True)]
+            yield {"id": b["id"], "text": texts, "n_items": [len(row) for row in spans]}
 
-    return map_batches(rows, run, "id string, text string, n_items int")
+    return map_batches(joined, run, "id string, text string, n_items int")

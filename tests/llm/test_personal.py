@@ -111,3 +111,47 @@ def test_names_in_wordings_not_seen(spark, make_records):
     for text in ("The Station Report was sent", "San Jose Street is closed", "John Street and Victoria Station", "Zorvan is a town", "訾为姓"):
         assert not {k for k, _ in found(text, names)} & {"person"}
     assert personal.learn_names(make_records([])) == personal.Names()
+
+
+def _many_names(n=400):
+    import itertools
+
+    given = ["".join(p).capitalize() + "wyn" for p in itertools.product(("ba", "ke", "lo", "mu", "zi", "ro"), repeat=4)]
+    last = ["".join(p).capitalize() + "mont" for p in itertools.product(("da", "fe", "go", "nu", "ti", "wo"), repeat=4)]
+    rows = []
+    for i in range(n):
+        name = f"{given[i]} {last[i]}"
+        rows += [(f"s{i}", f"Contact: {name}."), (f"t{i}", f"Prepared by {name}."), (f"u{i}", f"we saw {name} there")]
+    return rows + [(f"x{i}", "nothing to be seen here") for i in range(8000)], [f"{g} {f}" for g, f in zip(given[:n], last, strict=False)]
+
+
+def test_names_are_learned_from_every_record(spark, make_records, monkeypatch):
+    from quarrylamp.llm import base
+
+    rows, names = _many_names()
+    out = {(r.id, r.value) for r in personal.found_items(make_records(rows)).where("id like 'u%'").collect()}
+    assert out == {(f"u{i}", name) for i, name in enumerate(names)}
+    monkeypatch.setattr(base, "SMALL", 0)  # parts meet the places by a shuffle
+    texts = {r.id: r.text for r in personal.redacted(make_records(rows)).where("id like 'u%'").collect()}
+    assert set(texts.values()) == {"we saw [PERSON] there"} and len(texts) == len(names)
+
+
+def test_tables_find_what_single_texts_give(make_records, monkeypatch):
+    monkeypatch.setattr(personal, "COUNTED", 3)  # parts handed on between batches
+    seeds = ["Contact: Zorvan Quillbeck.", "Prepared by Mirela Marrowin.", "Signed by Mirela Marrowin.", "Contact: Zorvan Marrowin.", "Reviewed by Mirela Quillbeck.", "联系人：訾望霁。", "编写：訾望霁，"]
+    texts = 4 * seeds + [t for t, _ in HELD_OUT] + [t for t, _ in CASES] + ["昨天訾望\n霁来了，ｔel", "met Zorvan Quillbeck Marrowin and Mirela\nMarrowin-Quillbeck, ada [at] mail [dot] example [dot] org"]
+    rows = [(f"r{i}", t) for i, t in enumerate(texts)] + [("r0", texts[0]), ("r1", "Ask Zorvan Quillbeck about it"), (None, seeds[0]), ("n", None)]
+    df = make_records(rows)
+    names = personal.learn_names(df)
+    assert {"Zorvan", "Mirela"} <= names.words and names.first == {"訾"}
+    want = {(i, k, personal.value_of(t, s, e, k)) for i, t in rows if i and t for s, e, k in personal.find(t, names)}
+    assert {tuple(r) for r in personal.found_items(df).collect()} == want
+    for r in personal.redacted(df).collect():
+        kept = [t for i, t in rows if i == r.id]
+        assert (r.text, r.n_items) in {(personal.redact(t, names), len(personal.find(t, names))) for t in kept}
+
+
+def test_words_after_names_are_no_part_of_them(make_records):
+    rows = [(f"a{i}", f"编写：訾望霁。联系方式见下。编号{i}。") for i in range(300)] + [(f"b{i}", "编写：訾望联系电话。") for i in range(2)]
+    names = personal.learn_names(make_records(rows))
+    assert names.first == {"訾"} and names.further == {"望", "霁"}
